@@ -5,7 +5,9 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -128,7 +130,22 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once an application; their Python need not have it on its path."""
+    if spark.sparkContext.applicationId not in _shipped:
+        top = Path(__file__).resolve().parents[1]
+        with zipfile.ZipFile(Path(tempfile.mkdtemp(prefix="groundmill-")) / f"{top.name}.zip", "w") as bundle:
+            for source in sorted(top.rglob("*.py")):
+                bundle.write(source, source.relative_to(top.parent))
+        spark.sparkContext.addPyFile(bundle.filename)
+        _shipped.add(spark.sparkContext.applicationId)
+
+
 def map_arrow(df: DataFrame, body: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` over few rows at a time, since texts can be long."""
+    ship(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return df.mapInArrow(body, schema)

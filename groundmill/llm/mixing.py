@@ -59,17 +59,20 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: fl
     Every document of a source expects f = target / source_size copies. The source's documents, ordered by size,
     carry the running sum of f plus one random start, and a document is taken once for each integer that its part
     of the sum crosses; so it gets floor(f) or ceil(f) copies and neighbours of like size share the rounding, which
-    leaves a source within about one document of its target. The running sum needs only a document's rank: counts of
-    (source, size, run) groups are summed over the groups before, and a window ranks inside one group, so a hot
-    source costs no hot task. A null text has size 0; equal rows are interchangeable; a source of size 0 has
+    leaves a source within about one document of its target. The running sum needs only a document's rank: counts
+    are summed over a source's larger sizes, then over the runs before in one size, and a window ranks inside one
+    run; so the widest window holds a source's distinct sizes and a hot source costs no hot task. A null text has size 0; equal rows are interchangeable; a source of size 0 has
     target 0 and takes nothing; null is a source of its own, ordered last.
     """
     sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
     runs = sized.withColumn("run", F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 2), 16, 10).cast("int") % RUNS)
     groups = runs.groupBy("source", "size", "run").count()
-    ranks = Window.partitionBy("source").orderBy(F.col("size").desc(), "run").rowsBetween(Window.unboundedPreceding, -1)
+    by_size = Window.partitionBy("source").orderBy(F.col("size").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    by_run = Window.partitionBy("source", "size").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     targets = source_targets(groups.select("source", (F.col("size") * F.col("count")).alias("size")), weights, share, most)
-    starts = groups.withColumn("before", F.coalesce(F.sum("count").over(ranks), F.lit(0))).drop("count")
+    larger = groups.groupBy("source", "size").agg(F.sum("count").alias("n")).withColumn("larger", F.coalesce(F.sum("n").over(by_size), F.lit(0))).drop("n")
+    starts = groups.withColumn("earlier", F.coalesce(F.sum("count").over(by_run), F.lit(0))).drop("count")
+    starts = starts.join(larger, _same(starts, larger, ["source", "size"])).select(starts["source"], starts["size"], "run", (F.col("larger") + F.col("earlier")).alias("before"))
     starts = starts.join(targets.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
     inside = runs.withColumn("place", F.row_number().over(Window.partitionBy("source", "size", "run").orderBy("doc_id")))
     placed = inside.join(starts, _same(inside, starts, ["source", "size", "run"])).select(

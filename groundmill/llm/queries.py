@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from groundmill.llm import chat, mixing
+from groundmill.llm import chat, mixing, substring_dedup
 
 
 def queries():
-    return {"op4_chat_format": chat.op4_chat_format, "op8_mixing": mixing.op8_mixing}
+    return {"op4_chat_format": chat.op4_chat_format, "op8_mixing": mixing.op8_mixing, "op9_substring_dedup": substring_dedup.op9_substring_dedup}
 
 
 def oracle_sql():
-    return {"op4_chat_format": chat.OP4_SQL, "op8_mixing": mixing.OP8_SQL}
+    return {"op4_chat_format": chat.OP4_SQL, "op8_mixing": mixing.OP8_SQL, "op9_substring_dedup": substring_dedup.OP9_SQL}
