@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from groundmill.llm import chat, mixing, substring_dedup
+from groundmill.llm import chat, mixing, substring_dedup, suffix_dedup
 
 
 def queries():
-    return {"op4_chat_format": chat.op4_chat_format, "op8_mixing": mixing.op8_mixing, "op9_substring_dedup": substring_dedup.op9_substring_dedup}
+    return {
+        "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
+        "op4_chat_format": chat.op4_chat_format,
+        "op8_mixing": mixing.op8_mixing,
+        "op9_substring_dedup": substring_dedup.op9_substring_dedup,
+    }
 
 
 def oracle_sql():
