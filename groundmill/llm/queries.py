@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from groundmill.llm import chat, mixing, substring_dedup, suffix_dedup
+from groundmill.llm import chat, mixing, near_dedup, substring_dedup, suffix_dedup
 
 
 def queries():
     return {
+        "op2_minhash_near_dedup": near_dedup.op2_minhash_near_dedup,
         "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
         "op4_chat_format": chat.op4_chat_format,
         "op8_mixing": mixing.op8_mixing,
@@ -15,4 +16,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"op4_chat_format": chat.OP4_SQL, "op8_mixing": mixing.OP8_SQL, "op9_substring_dedup": substring_dedup.OP9_SQL}
+    return {"op2_minhash_near_dedup": near_dedup.OP2_SQL, "op4_chat_format": chat.OP4_SQL, "op8_mixing": mixing.OP8_SQL, "op9_substring_dedup": substring_dedup.OP9_SQL}
