@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from groundmill.llm import chat, mixing, near_dedup, substring_dedup, suffix_dedup
+from groundmill.llm import chat, mixing, near_dedup, range_join, substring_dedup, suffix_dedup
 
 
 def queries():
@@ -12,8 +12,9 @@ def queries():
         "op4_chat_format": chat.op4_chat_format,
         "op8_mixing": mixing.op8_mixing,
         "op9_substring_dedup": substring_dedup.op9_substring_dedup,
+        "op10_embedding_near_dedup": range_join.op10_embedding_near_dedup,
     }
 
 
 def oracle_sql():
-    return {"op2_minhash_near_dedup": near_dedup.OP2_SQL, "op4_chat_format": chat.OP4_SQL, "op8_mixing": mixing.OP8_SQL, "op9_substring_dedup": substring_dedup.OP9_SQL}
+    return {"op2_minhash_near_dedup": near_dedup.OP2_SQL, "op4_chat_format": chat.OP4_SQL, "op8_mixing": mixing.OP8_SQL, "op9_substring_dedup": substring_dedup.OP9_SQL, "op10_embedding_near_dedup": range_join.OP10_SQL}
