@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from groundmill.llm import chat, mixing, near_dedup, range_join, substring_dedup, suffix_dedup
+from groundmill.llm import chat, mixing, near_dedup, range_join, substring_dedup, suffix_dedup, toxicity
 
 
 def queries():
@@ -10,6 +10,7 @@ def queries():
         "op2_minhash_near_dedup": near_dedup.op2_minhash_near_dedup,
         "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
         "op4_chat_format": chat.op4_chat_format,
+        "op5_toxicity": toxicity.op5_toxicity,
         "op8_mixing": mixing.op8_mixing,
         "op9_substring_dedup": substring_dedup.op9_substring_dedup,
         "op10_embedding_near_dedup": range_join.op10_embedding_near_dedup,
