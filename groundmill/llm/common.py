@@ -43,10 +43,19 @@ def _remove(spark: SparkSession, folder: str) -> None:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared folder and read back: lineage ends here and a lost executor costs nothing."""
-    path = f"{scratch_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` written once to the shared folder and read back: lineage ends here and a lost executor costs nothing.
+
+    The shuffle files behind it go as soon as it is written, so an operator's disk is that of its widest step.
+    """
+    spark = df.sparkSession
+    path, setting = f"{scratch_folder(spark)}/{uuid.uuid4().hex}", "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, "false")
+    spark.conf.set(setting, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(setting, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def word_count(text: Column) -> Column:

@@ -202,7 +202,7 @@ def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80) -> Data
     sized = clusters.groupBy("component").count().select(F.col("component").alias("cluster"), F.col("count").alias("n"))
     wanted = clusters.join(sized, F.col("component") == F.col("cluster")).select(F.col("node").alias("rep"), "cluster", "n")
     texts = docs.select(F.col("doc_id").alias("rep"), F.coalesce("text", F.lit("")).cast("binary").alias("body"))
-    filled = map_arrow(texts.join(wanted, "rep"), sets, "rep long, cluster long, n long, shingles binary").where(F.length("shingles") > 0)
+    filled = map_arrow(texts.join(wanted.hint("merge"), "rep"), sets, "rep long, cluster long, n long, shingles binary").where(F.length("shingles") > 0)
     links = connected_components(_edges(_cells(filled, "n", SETS, "cluster", "rep"), lambda t: _linked(t, percent), ["rep", "shingles"]))
 
     placed = members.join(links, F.col("rep") == F.col("node"), "left").select("digest", F.coalesce("component", "rep").alias("component_id"))

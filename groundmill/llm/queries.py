@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from groundmill.llm import chat, mixing, near_dedup, pieces, range_join, substring_dedup, suffix_dedup, toxicity
+from groundmill.llm import additive_search, chat, mixing, near_dedup, pieces, range_join, substring_dedup, suffix_dedup, toxicity
 
 
 def queries():
@@ -11,6 +11,7 @@ def queries():
         "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
         "op4_chat_format": chat.op4_chat_format,
         "op5_toxicity": toxicity.op5_toxicity,
+        "op6_additive_search": additive_search.op6_additive_search,
         "op7_sentencepiece": pieces.op7_sentencepiece,
         "op8_mixing": mixing.op8_mixing,
         "op9_substring_dedup": substring_dedup.op9_substring_dedup,

@@ -72,9 +72,9 @@ def anchors(units: np.ndarray, gram: int, window: int) -> tuple[np.ndarray, np.n
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """``(doc_id, body, class)``: texts as UTF-8 bytes, null as none, and a digest that exact copies share."""
+    """``(doc_id, part, body)``: texts as UTF-8 bytes, null as none; ``part`` tells several texts of one doc_id apart."""
     body = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return docs.select("doc_id", body.alias("body"), F.md5(body).alias("class"))
+    return docs.select("doc_id", F.hash(body).alias("part"), body.alias("body"))
 
 
 def lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
@@ -87,7 +87,7 @@ def signed(x: np.ndarray) -> np.ndarray:
 
 
 def anchored(docs: DataFrame, units: Callable[[bytes], np.ndarray], gram: int, window: int) -> DataFrame:
-    """``(doc_id, class, anchors, places)`` of every document that holds a window; stored."""
+    """``(doc_id, part, digest, anchors, places)`` of every document that holds a window; stored."""
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, ["body"]):
@@ -99,34 +99,34 @@ def anchored(docs: DataFrame, units: Callable[[bytes], np.ndarray], gram: int, w
                     keep.append(i)
                     hashes.append(signed(value))
                     places.append(place)
-            some = batch.select(["doc_id", "class"]).take(pa.array(keep, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*some.columns, lists(hashes, pa.int64()), lists(places, pa.int32())], ["doc_id", "class", "anchors", "places"])
+            some = batch.select(["doc_id", "part", "digest"]).take(pa.array(keep, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*some.columns, lists(hashes, pa.int64()), lists(places, pa.int32())], ["doc_id", "part", "digest", "anchors", "places"])
 
-    return stored(map_arrow(keyed(docs).where("doc_id IS NOT NULL"), body, "doc_id long, class string, anchors array<long>, places array<int>"))
+    return stored(map_arrow(keyed(docs).where("doc_id IS NOT NULL").withColumn("digest", F.unhex(F.md5("body"))), body, "doc_id long, part int, digest binary, anchors array<long>, places array<int>"))
 
 
 def originals(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The first document of each group of exact copies, and the later ones."""
-    firsts = found.groupBy("class").agg(F.min("doc_id").alias("first"))
-    both = found.join(firsts, "class")
-    return both.where("doc_id = first").drop("first").dropDuplicates(["doc_id", "class"]), both.where("doc_id > first").select("doc_id", "class").distinct()
+    firsts = found.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    both = found.join(firsts, "digest")
+    return both.where("doc_id = first").drop("first", "digest").dropDuplicates(["doc_id", "part"]), both.where("doc_id > first").select("doc_id", "part").distinct()
 
 
 def live_places(first: DataFrame, across: bool) -> DataFrame:
-    """``(doc_id, class, live)``: the places of grams that occur twice; ``across``: in two documents."""
-    seen = first.select("doc_id", "class", F.explode(F.arrays_zip("anchors", "places")).alias("x")).select("doc_id", "class", F.col("x.anchors").alias("anchor"), F.col("x.places").alias("place"))
+    """``(doc_id, part, live)``: the places of grams that occur twice; ``across``: in two documents. Stored."""
+    seen = first.select("doc_id", "part", F.explode(F.arrays_zip("anchors", "places")).alias("x")).select("doc_id", "part", F.col("x.anchors").alias("anchor"), F.col("x.places").alias("place"))
     twice = F.min("doc_id") < F.max("doc_id") if across else F.count("*") > 1
     live = seen.groupBy("anchor").agg(twice.alias("twice")).where("twice").select("anchor")
-    return seen.join(live, "anchor").groupBy("doc_id", "class").agg(F.collect_list("place").alias("live"))
+    return stored(seen.join(live, "anchor").groupBy("doc_id", "part").agg(F.collect_list("place").alias("live")))
 
 
 def merged(spans: DataFrame) -> DataFrame:
-    """``(doc_id, class, spans)`` from rows ``(doc_id, class, start, end)``: overlapping and touching ones become one."""
-    order = Window.partitionBy("doc_id", "class").orderBy("start", "end")
+    """``(doc_id, part, spans)`` from rows ``(doc_id, part, start, end)``: overlapping and touching ones become one."""
+    order = Window.partitionBy("doc_id", "part").orderBy("start", "end")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     runs = spans.withColumn("opens", F.when(F.col("start") <= reach, 0).otherwise(1)).withColumn("run", F.sum("opens").over(order))
-    whole = runs.groupBy("doc_id", "class", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    return whole.groupBy("doc_id", "class").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    whole = runs.groupBy("doc_id", "part", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return whole.groupBy("doc_id", "part").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
 
 
 def spans_removed(spans: str = "spans"):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 from groundmill.llm import repeats
-from groundmill.llm.common import WORD_GAP, WORD_GAP_CHARS, map_arrow, slices
+from groundmill.llm.common import WORD_GAP, WORD_GAP_CHARS, map_arrow, slices, stored
 
 
 def word_units(text: bytes) -> np.ndarray:
@@ -20,8 +20,8 @@ def word_units(text: bytes) -> np.ndarray:
     return np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
 
 
-def repeated_words(docs: DataFrame, window: int = 50, gram: int = 16) -> DataFrame:
-    """``(doc_id, class, spans)``: word ranges [start, end) covered by windows that a smaller doc_id holds too.
+def repeated_words(docs: DataFrame, window: int = 50, gram: int = 8) -> DataFrame:
+    """``(doc_id, part, spans)``: word ranges [start, end) covered by windows that a smaller doc_id holds too.
 
     Every window whose smallest ``gram`` words occur in two documents gets its Rabin-Karp hash (64 and 32 bits, two
     bases); Spark takes the smallest doc_id of each hash, and the windows of larger ones merge into spans. Exact
@@ -29,7 +29,7 @@ def repeated_words(docs: DataFrame, window: int = 50, gram: int = 16) -> DataFra
     """
     first, later = repeats.originals(repeats.anchored(docs, word_units, gram, window))
     places = repeats.live_places(first, across=True)
-    texts = repeats.keyed(docs).where("doc_id IS NOT NULL").join(places, ["doc_id", "class"]).select("doc_id", "class", "body", "live")
+    texts = repeats.keyed(docs).where("doc_id IS NOT NULL").join(places.hint("merge"), ["doc_id", "part"]).select("doc_id", "part", "body", "live")
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, ["body"]):
@@ -46,19 +46,19 @@ def repeated_words(docs: DataFrame, window: int = 50, gram: int = 16) -> DataFra
                 checks.append((repeats.rolling(units, window, repeats.OTHER_BASE)[at] >> np.uint64(33)).astype(np.int64))
                 starts.append(at)
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["class"], repeats.lists(hashes, pa.int64()), repeats.lists(checks, pa.int32()), repeats.lists(starts, pa.int32())], ["doc_id", "class", "hashes", "checks", "starts"]
+                [batch["doc_id"], batch["part"], repeats.lists(hashes, pa.int64()), repeats.lists(checks, pa.int32()), repeats.lists(starts, pa.int32())], ["doc_id", "part", "hashes", "checks", "starts"]
             )
 
-    found = map_arrow(texts, body, "doc_id long, class string, hashes array<long>, checks array<int>, starts array<int>")
-    windows = found.select("doc_id", "class", F.explode(F.arrays_zip("hashes", "checks", "starts")).alias("x")).select("doc_id", "class", F.col("x.hashes").alias("hash"), F.col("x.checks").alias("check"), F.col("x.starts").alias("start"))
+    found = stored(map_arrow(texts, body, "doc_id long, part int, hashes array<long>, checks array<int>, starts array<int>"))
+    windows = found.select("doc_id", "part", F.explode(F.arrays_zip("hashes", "checks", "starts")).alias("x")).select("doc_id", "part", F.col("x.hashes").alias("hash"), F.col("x.checks").alias("check"), F.col("x.starts").alias("start"))
     counted = windows.groupBy("hash", "check").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
     again = windows.join(counted, ["hash", "check"]).where("doc_id > least")
-    spans = again.select("doc_id", "class", F.col("start").cast("long").alias("start"), (F.col("start") + window).cast("long").alias("end"))
-    whole = later.select("doc_id", "class", F.lit(0).cast("long").alias("start"), F.lit(1 << 40).cast("long").alias("end"))
-    return repeats.merged(spans.unionByName(whole))
+    spans = again.select("doc_id", "part", F.col("start").cast("long").alias("start"), (F.col("start") + window).cast("long").alias("end"))
+    whole = later.select("doc_id", "part", F.lit(0).cast("long").alias("start"), F.lit(1 << 40).cast("long").alias("end"))
+    return stored(repeats.merged(spans.unionByName(whole)))
 
 
-def drop_repeated_words(docs: DataFrame, window: int = 50, gram: int = 16) -> DataFrame:
+def drop_repeated_words(docs: DataFrame, window: int = 50, gram: int = 8) -> DataFrame:
     """``(doc_id, n_words, n_removed, spans, kept)``: texts without the words of repeated windows.
 
     ``kept`` joins the remaining words by one space. A null, blank or short text keeps all its words. Rows without
@@ -68,7 +68,7 @@ def drop_repeated_words(docs: DataFrame, window: int = 50, gram: int = 16) -> Da
     text = F.btrim(F.coalesce(F.col("body").cast("string"), F.lit("")), F.lit(WORD_GAP_CHARS))
     words = F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, WORD_GAP))
     spans = repeated_words(docs, window, gram)
-    joined = repeats.keyed(docs).join(spans, ["doc_id", "class"], "left").select("doc_id", words.alias("words"), F.coalesce("spans", F.expr("CAST(array() AS array<struct<start:bigint,end:bigint>>)")).alias("spans"))
+    joined = repeats.keyed(docs).join(spans.hint("merge"), ["doc_id", "part"], "left").select("doc_id", words.alias("words"), F.coalesce("spans", F.expr("CAST(array() AS array<struct<start:bigint,end:bigint>>)")).alias("spans"))
     n = F.size("words").cast("long")
     cut = joined.select("doc_id", "words", n.alias("n_words"), F.transform("spans", lambda s: F.struct(s["start"], F.least(s["end"], F.size("words").cast("long")).alias("end"))).alias("spans"))
     begins = F.concat(F.array(F.lit(0).cast("long")), F.transform("spans", lambda s: s["end"]))

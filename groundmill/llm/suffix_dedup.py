@@ -121,7 +121,7 @@ def _bucket_spans(docs: np.ndarray, begins: np.ndarray, texts: list[bytes], wind
 
 
 def repeated_bytes(docs: DataFrame, window: int = 100, gram: int = 24) -> DataFrame:
-    """``(doc_id, class, spans)``: byte ranges covered by ``window``-byte strings that also start earlier.
+    """``(doc_id, part, spans)``: byte ranges covered by ``window``-byte strings that also start earlier.
 
     Exact copies are settled by digest. Stretches of windows around a gram that occurs twice are cut out with their
     surroundings; equal surroundings of one gram count once, at their first place. The rest are dealt out by gram,
@@ -129,7 +129,7 @@ def repeated_bytes(docs: DataFrame, window: int = 100, gram: int = 24) -> DataFr
     """
     first, later = repeats.originals(repeats.anchored(docs, byte_units, gram, window))
     places = repeats.live_places(first, across=False)
-    texts = repeats.keyed(docs).where("doc_id IS NOT NULL").join(places, ["doc_id", "class"]).select("doc_id", "class", "body", "live")
+    texts = repeats.keyed(docs).where("doc_id IS NOT NULL").join(places.hint("merge"), ["doc_id", "part"]).select("doc_id", "part", "body", "live")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, ["body"], 4 << 20):
@@ -143,33 +143,32 @@ def repeated_bytes(docs: DataFrame, window: int = 100, gram: int = 24) -> DataFr
                 begins.append(begin[held])
                 pieces += [data[b : e + window] for b, e in zip(begin[held].tolist(), end[held].tolist(), strict=True)]
             at = pa.array(np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64))
-            cols = [batch["doc_id"].take(at), batch["class"].take(at), pa.array(repeats.signed(np.concatenate([*grams, np.zeros(0, np.uint64)]))), pa.array(np.concatenate([*begins, np.zeros(0, np.int64)]).astype(np.int64)), pa.array(pieces, pa.binary())]
-            for part in pa.Table.from_arrays(cols, ["doc_id", "class", "anchor", "start", "piece"]).to_batches(max_chunksize=20_000):
+            cols = [batch["doc_id"].take(at), batch["part"].take(at), pa.array(repeats.signed(np.concatenate([*grams, np.zeros(0, np.uint64)]))), pa.array(np.concatenate([*begins, np.zeros(0, np.int64)]).astype(np.int64)), pa.array(pieces, pa.binary())]
+            for part in pa.Table.from_arrays(cols, ["doc_id", "part", "anchor", "start", "piece"]).to_batches(max_chunksize=20_000):
                 yield part
 
-    pieces = stored(map_arrow(texts, cut, "doc_id long, class string, anchor long, start long, piece binary").withColumn("digest", F.xxhash64("piece", F.lit(1))))
-    whole = later.select("doc_id", "class", F.lit(0).cast("long").alias("start"), F.lit(1 << 40).cast("long").alias("end"))
-    same = pieces.groupBy("anchor", "digest").agg(F.min(F.struct("doc_id", "start")).alias("at"))
-    again = pieces.join(same, ["anchor", "digest"]).where("struct(doc_id, start) <> at").select("doc_id", "class", "start", (F.col("start") + F.length("piece")).alias("end"))
-    once = pieces.join(same.select("anchor", "digest", "at"), ["anchor", "digest"]).where("struct(doc_id, start) = at").select("doc_id", "class", "anchor", "start", "piece")
+    pieces = stored(map_arrow(texts, cut, "doc_id long, part int, anchor long, start long, piece binary").withColumn("digest", F.xxhash64("piece", F.lit(1))))
+    whole = later.select("doc_id", "part", F.lit(0).cast("long").alias("start"), F.lit(1 << 40).cast("long").alias("end"))
+    same = stored(pieces.groupBy("anchor", "digest").agg(F.min(F.struct("doc_id", "start")).alias("at")))
+    again = pieces.join(same, ["anchor", "digest"]).where("struct(doc_id, start) <> at").select("doc_id", "part", "start", (F.col("start") + F.length("piece")).alias("end"))
     counts = same.groupBy("anchor").count().where("count > 1")
-    met = once.join(counts, "anchor")
-    crowd = met.where(F.col("count") > CROWD).select("doc_id", "class", F.col("start").alias("from"), "piece", F.explode(F.sequence(F.lit(0), F.length("piece") - window)).alias("k"))
-    single = crowd.select("doc_id", "class", (F.col("from") + F.col("k")).alias("start"), F.expr(f"substring(piece, k + 1, {window})").alias("piece")).withColumn("anchor", F.xxhash64("piece"))
-    dealt = met.where(F.col("count") <= CROWD).select("doc_id", "class", "anchor", "start", "piece").unionByName(single)
+    met = pieces.join(same, ["anchor", "digest"]).where("struct(doc_id, start) = at").select("doc_id", "part", "anchor", "start", "piece").join(counts, "anchor")
+    crowd = met.where(F.col("count") > CROWD).select("doc_id", "part", F.col("start").alias("from"), "piece", F.explode(F.sequence(F.lit(0), F.length("piece") - window)).alias("k"))
+    single = crowd.select("doc_id", "part", (F.col("from") + F.col("k")).alias("start"), F.expr(f"substring(piece, k + 1, {window})").alias("piece")).withColumn("anchor", F.xxhash64("piece"))
+    dealt = met.where(F.col("count") <= CROWD).select("doc_id", "part", "anchor", "start", "piece").unionByName(single)
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _sized(sorted_groups(batches, "anchor")):
             joined = table.combine_chunks()
             row, start, end = _bucket_spans(joined["doc_id"].to_numpy(), joined["start"].to_numpy(), joined["piece"].to_pylist(), window)
             at = pa.array(row)
-            out = pa.Table.from_arrays([joined["doc_id"].take(at), joined["class"].take(at), pa.array(start), pa.array(end)], ["doc_id", "class", "start", "end"])
+            out = pa.Table.from_arrays([joined["doc_id"].take(at), joined["part"].take(at), pa.array(start), pa.array(end)], ["doc_id", "part", "start", "end"])
             yield from out.combine_chunks().to_batches()
 
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = dealt.repartition(parts, "anchor").sortWithinPartitions("anchor")
-    found = map_arrow(ordered, sort, "doc_id long, class string, start long, end long")
-    return repeats.merged(found.unionByName(again).unionByName(whole))
+    found = map_arrow(ordered, sort, "doc_id long, part int, start long, end long")
+    return stored(repeats.merged(found.unionByName(again).unionByName(whole)))
 
 
 def _sized(tables: Iterator[pa.Table]) -> Iterator[pa.Table]:
@@ -194,7 +193,7 @@ def drop_repeated_bytes(docs: DataFrame, window: int = 100, gram: int = 24) -> D
     rows share their result; several texts of one doc_id are each taken for themselves.
     """
     spans = repeated_bytes(docs, window, gram)
-    joined = repeats.keyed(docs).join(spans, ["doc_id", "class"], "left").select("doc_id", "body", "spans")
+    joined = repeats.keyed(docs).join(spans.hint("merge"), ["doc_id", "part"], "left").select("doc_id", "body", "spans")
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, ["body"]):
