@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from groundmill.llm import additive_search, chat, mixing, near_dedup, pieces, range_join, substring_dedup, suffix_dedup, toxicity
+import corpus_pipeline
+from groundmill.llm import additive_search, chat, licences, mixing, near_dedup, pieces, range_join, substring_dedup, suffix_dedup, toxicity
 
 
 def queries():
     return {
+        "pipeline": corpus_pipeline.run,
+        "op1_license_scan": licences.op1_license_scan,
         "op2_minhash_near_dedup": near_dedup.op2_minhash_near_dedup,
         "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
         "op4_chat_format": chat.op4_chat_format,

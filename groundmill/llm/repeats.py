@@ -71,10 +71,10 @@ def anchors(units: np.ndarray, gram: int, window: int) -> tuple[np.ndarray, np.n
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def keyed(docs: DataFrame) -> DataFrame:
+def keyed(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """``(doc_id, part, body)``: texts as UTF-8 bytes, null as none; ``part`` tells several texts of one doc_id apart."""
     body = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return docs.select("doc_id", F.hash(body).alias("part"), body.alias("body"))
+    return docs.select("doc_id", F.hash(body).alias("part"), body.alias("body"), *carry)
 
 
 def lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:

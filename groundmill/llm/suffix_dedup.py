@@ -185,15 +185,18 @@ def _sized(tables: Iterator[pa.Table]) -> Iterator[pa.Table]:
         yield pa.concat_tables(held)
 
 
-def drop_repeated_bytes(docs: DataFrame, window: int = 100, gram: int = 24) -> DataFrame:
-    """``(doc_id, n_bytes, n_removed, spans, kept)``: texts, as UTF-8 bytes, without what starts earlier elsewhere.
+def drop_repeated_bytes(docs: DataFrame, window: int = 100, gram: int = 24, carry: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
+    """``(doc_id, *carry, n_bytes, n_removed, spans, kept)``: texts, as UTF-8 bytes, without what starts earlier elsewhere.
 
-    ``spans`` are the maximal removed runs, ``kept`` the bytes left (binary: a run may cut a character). A null text
+    ``spans`` are the maximal removed runs, ``kept`` the bytes left: binary, since a run may cut a character, or as
+    a string without such characters if ``as_text``. Columns named in ``carry`` come along. A null text
     is empty; texts shorter than the window lose nothing; rows without doc_id lose nothing and count nowhere; equal
     rows share their result; several texts of one doc_id are each taken for themselves.
     """
     spans = repeated_bytes(docs, window, gram)
-    joined = repeats.keyed(docs).join(spans.hint("merge"), ["doc_id", "part"], "left").select("doc_id", "body", "spans")
+    joined = repeats.keyed(docs, carry).join(spans.hint("merge"), ["doc_id", "part"], "left").select("doc_id", *carry, "body", "spans")
+    kinds = dict(docs.dtypes)
+    names = ["doc_id", *carry, "n_bytes", "n_removed", "spans", "kept"]
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, ["body"]):
@@ -206,9 +209,11 @@ def drop_repeated_bytes(docs: DataFrame, window: int = 100, gram: int = 24) -> D
             sizes = pa.array([len(t) for t in batch["body"].to_pylist()], pa.int64())
             gone = pa.array([sum(s["end"] - s["start"] for s in c) for c in cut], pa.int64())
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], sizes, gone, pa.array(cut, kind), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "n_removed", "spans", "kept"])
+            left = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("doc_id", *carry)), sizes, gone, pa.array(cut, kind), left], names)
 
-    return map_arrow(joined, body, "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary")
+    came = "".join(f"{c} {kinds[c]}, " for c in carry)
+    return map_arrow(joined, body, f"doc_id long, {came}n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept {'string' if as_text else 'binary'}")
 
 
 def op3_suffix_dedup(spark, sf_dir: str) -> DataFrame:
