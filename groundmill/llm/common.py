@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
@@ -14,49 +12,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from groundmill.plans.graph import connected_components, stored
+
+__all__ = ["connected_components", "join_labels", "map_arrow", "ship", "slices", "sorted_groups", "stored", "word_count"]
+
 #: Words are what lies between these characters: space, tab, line feed, vertical tab, form feed, return.
 WORD_GAP = r"[\x20\x09-\x0D]+"
 WORD_GAP_CHARS = " \t\n\x0b\f\r"
 
-_folders: dict[str, str] = {}
-
-
-def scratch_folder(spark: SparkSession) -> str:
-    """This application's folder under ``spark.checkpoint.dir``; it is removed when the driver ends.
-
-    Only where that setting is missing (tests, a laptop) a local temporary folder serves.
-    """
-    app = spark.sparkContext.applicationId
-    if app not in _folders:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="groundmill-")
-        _folders[app] = f"{root.rstrip('/')}/groundmill-{app}"
-        atexit.register(_remove, spark, _folders[app])
-    return _folders[app]
-
-
-def _remove(spark: SparkSession, folder: str) -> None:
-    if spark.sparkContext._jsc is None:  # the session was stopped before
-        return
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared folder and read back: lineage ends here and a lost executor costs nothing.
-
-    The shuffle files behind it go as soon as it is written, so an operator's disk is that of its widest step.
-    """
-    spark = df.sparkSession
-    path, setting = f"{scratch_folder(spark)}/{uuid.uuid4().hex}", "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(setting, "false")
-    spark.conf.set(setting, "true")
-    try:
-        df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.set(setting, before)
-    return spark.read.schema(df.schema).parquet(path)
-
 
 def word_count(text: Column) -> Column:
     """Number of words; null and blank texts have none."""
@@ -113,32 +76,6 @@ def join_labels(size: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """``(node, component)`` for every node of ``edges(a, b)``; a component is named after its smallest node.
-
-    Large-star and small-star rounds: every node's neighbours move to the smallest node known, so the number of
-    rounds grows with the logarithm of the longest chain, and no step holds a node's neighbours in memory. Each
-    round is written to the shared folder. Nodes are longs; null ends and loops are left out.
-    """
-    now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    mark = None
-    for _ in range(rounds):
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == mark or not state[0]:
-            break
-        mark = state
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("w")).select("u", F.least("u", "w").alias("w"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("w").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("w"))
-        small = large.join(low, "u").where("v > w").select(F.col("v").alias("u"), F.col("w").alias("v"))
-        now = stored(small.unionByName(low.select("u", F.col("w").alias("v"))).distinct())
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
-    roots = now.select(F.col("v").alias("node")).distinct()
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))
-
-
 _shipped: set[str] = set()
 
 
