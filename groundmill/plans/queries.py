@@ -171,10 +171,10 @@ def tile_quality(spark, d):
 
 
 @query(f"""WITH {TILES}, w AS (SELECT *, least(1.0::DOUBLE, (ty + 1) / 5.0::DOUBLE) * least(1.0::DOUBLE, (16 - ty) / 5.0::DOUBLE) * least(1.0::DOUBLE, (tx + 1) / 5.0::DOUBLE) * least(1.0::DOUBLE, (16 - tx) / 5.0::DOUBLE) AS w FROM tc)
-SELECT scene_id, y, x, round(sum(w * p_building * (1 + i)) / sum(w), 9) AS p FROM w GROUP BY 1, 2, 3""")
+SELECT scene_id, y, x, round(sum(w * p_building * (1 + i)) / sum(w), 11) AS p FROM w GROUP BY 1, 2, 3""")
 def blend_tiles(spark, d):
     preds = _tiles(_px(spark, d)).withColumn("p", F.col("p_building") * (1 + F.col("grid_i")))
-    return mosaic.blend_tiles(preds, 16, 4, "p").select("scene_id", "y", "x", F.round("p", 9).alias("p"))
+    return mosaic.blend_tiles(preds, 16, 4, "p").select("scene_id", "y", "x", F.round("p", 11).alias("p"))
 
 
 @query(f"WITH {TILES} SELECT scene_id, i AS grid_i, j AS grid_j, ty, tx, round(p_building, 9) AS p FROM tc WHERE i = 0 AND j < 3")
@@ -370,9 +370,9 @@ def per_image_scores(spark, d):
     return out.select(F.round("iou", 9).alias("iou"), F.round("dice", 9).alias("dice"))
 
 
-@query("SELECT batch, stage, round(avg(loss) OVER (PARTITION BY stage ORDER BY batch ROWS 49 PRECEDING), 6) AS rolling FROM epoch_log")
+@query("SELECT batch, stage, round(avg(loss) OVER (PARTITION BY stage ORDER BY batch ROWS 49 PRECEDING), 10) AS rolling FROM epoch_log")
 def rolling_loss(spark, d):
-    return metrics.rolling_loss(view(spark, d, "epoch_log")).select("batch", "stage", F.round("rolling", 6).alias("rolling"))
+    return metrics.rolling_loss(view(spark, d, "epoch_log")).select("batch", "stage", F.round("rolling", 10).alias("rolling"))
 
 
 EPOCHS = "e AS (SELECT stage, epoch, avg(loss) AS loss FROM epoch_log GROUP BY stage, epoch)"
