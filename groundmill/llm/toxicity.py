@@ -117,7 +117,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, most: int = 12_000, longest
     """
     told = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     drawn = told.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    known = docs.where(F.octet_length("text") <= longest).join(F.broadcast(drawn), "doc_id").select("doc_id", "toxic", "text")  # at most `most` short rows
+    known = docs.select("doc_id", "text").where(F.octet_length("text") <= longest).join(F.broadcast(drawn), "doc_id").select("doc_id", "toxic", "text")  # at most `most` short rows
     known = stored(known.dropDuplicates(["text"]))
     sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     bad, good = sizes.get(1, 0), sizes.get(0, 0)
