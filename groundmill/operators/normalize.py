@@ -127,7 +127,12 @@ def sobel(px: DataFrame, value: Column | None = None, height: int | None = None,
 
 
 def sobel_normalised(px: DataFrame, norm: str = "min_max", scope: Sequence[str] = ("scene_id",)) -> DataFrame:
-    """``sobel`` with ``edge_n``: "sigma" ((v - min) / deviation where grey > 0), "min_max", "percentile" (2.5 to 97.5 of values above 0)."""
+    """``sobel`` with ``edge_n``: "sigma" ((v - min) / deviation where grey > 0), "min_max", "percentile" (2.5 to 97.5 of values above 0), "sigma_percentile" ("sigma", then 2.5 to 99)."""
+    if norm == "sigma_percentile":
+        scaled = sobel_normalised(px, "sigma", scope)
+        aggs = {"_p1": F.percentile("edge_n", F.lit(0.025)), "_p2": F.percentile("edge_n", F.lit(0.99))}
+        v = F.try_divide(F.least(F.greatest(F.col("edge_n"), "_p1"), "_p2") - F.col("_p1"), F.col("_p2") - F.col("_p1"))
+        return _with_stats(scaled, scope, aggs, {"edge_n": F.coalesce(v, F.lit(0.0))})
     edges = sobel(px)
     if norm == "sigma":
         out = F.when(grey() > 0, F.coalesce(F.try_divide(F.col("edge") - F.col("_lo"), F.col("_sd")), F.lit(0.0))).otherwise(0.0)

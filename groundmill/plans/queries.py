@@ -441,6 +441,67 @@ def clip_to_box(spark, d):
     return cut.where("area > 0")
 
 
+@query("""WITH e AS (SELECT scene_id, min(g)::DOUBLE AS lo, (max(g) - min(g)) / 1024.0::DOUBLE AS step FROM px WHERE g > 0 GROUP BY scene_id),
+c AS (SELECT scene_id, lo, step, least(floor((g - lo) / step), 1023) AS bin, count(*) AS n FROM px JOIN e USING (scene_id) WHERE g > 0 GROUP BY 1, 2, 3, 4),
+u AS (SELECT *, sum(n) OVER (PARTITION BY scene_id ORDER BY bin) AS cum, sum(n) OVER (PARTITION BY scene_id) AS total FROM c),
+t AS (SELECT scene_id, min(CASE WHEN cum >= total * 0.025 THEN lo + bin * step END) AS t1, min(CASE WHEN cum >= total * 0.99 THEN lo + bin * step END) AS t2 FROM u GROUP BY scene_id)
+SELECT scene_id, y, x, floor(255 * (least(greatest(g, t1), t2) - t1) / (t2 - t1))::INT AS g_s FROM px JOIN t USING (scene_id)""")
+def histogram_stretch(spark, d):
+    return normalize.histogram_stretch(_px(spark, d), "g").select("scene_id", "y", "x", "g_s")
+
+
+@query("WITH t AS (SELECT scene_id, min(b) AS lo, max(b) AS hi FROM px GROUP BY scene_id) SELECT scene_id, y, x, floor((b - lo) / (hi - lo + 1e-8::DOUBLE) * 255)::INT AS b_8, floor(r * 255 / 65535.0::DOUBLE)::INT AS r_8 FROM px JOIN t USING (scene_id)")
+def to_8bit(spark, d):
+    return pixels.to_8bit(pixels.to_8bit(_px(spark, d), "b", False), "r", True).select("scene_id", "y", "x", "b_8", "r_8")
+
+
+@query(near_sql(7, "round(greatest(avg(v * v) - avg(v) * avg(v), 0), 6) AS texture", "p_vegetation"))
+def texture_variance(spark, d):
+    return focal.texture_variance(_px(spark, d), "p_vegetation").select("scene_id", "y", "x", F.round("texture", 6).alias("texture"))
+
+
+@query(f"WITH {TILES} SELECT scene_id, i AS grid_i, j AS grid_j, count(*) AS cells FROM tc GROUP BY 1, 2, 3 HAVING avg((gt = 0)::INT) < 0.68")
+def drop_mostly_zero(spark, d):
+    kept = tiling.drop_mostly_zero(_tiles(_px(spark, d)), "gt", 0.68)
+    return kept.groupBy("scene_id", "grid_i", "grid_j").agg(F.count("*").alias("cells"))
+
+
+@query("""WITH p AS (SELECT scene_id, y, x, floor(r / 16)::BIGINT AS a, lead(floor(r / 16)::BIGINT) OVER (PARTITION BY scene_id, y ORDER BY x) AS c FROM px)
+SELECT scene_id, wy, wx, round(avg((a - c) * (a - c)), 6) AS contrast, round(avg(1 / (1.0::DOUBLE + (a - c) * (a - c))), 6) AS homogeneity
+FROM p, range(2) v(wy), range(4) h(wx) WHERE c IS NOT NULL AND y // 15 = wy AND x // 15 = wx AND x + 1 < wx * 15 + 15 GROUP BY 1, 2, 3""")
+def cooccurrence(spark, d):
+    out = focal.cooccurrence(_px(spark, d), "r")
+    return out.select("scene_id", "wy", "wx", F.round("contrast", 6).alias("contrast"), F.round("homogeneity", 6).alias("homogeneity"))
+
+
+@query(f"SELECT DISTINCT ON (stage) stage, epoch, round(loss, 6) AS loss FROM (WITH {EPOCHS} SELECT * FROM e) ORDER BY stage, loss, epoch")
+def best_epoch(spark, d):
+    log = view(spark, d, "epoch_log").groupBy("stage", "epoch").agg(F.avg("loss").alias("loss"))
+    return metrics.best_epoch(log).withColumn("loss", F.round("loss", 6))
+
+
+@query("SELECT parcel_id FROM parcel WHERE (x0, y0, x1, y1) NOT IN (SELECT (x0, y0, x1, y1) FROM parcel WHERE parcel_id % 3 = 0)")
+def geometry_anti(spark, d):
+    shaped = view(spark, d, "parcel").select("parcel_id", F.concat_ws(" ", "x0", "y0", "x1", "y1").alias("wkt"))
+    return spatial.geometry_anti(shaped, shaped.where("parcel_id % 3 = 0")).select("parcel_id")
+
+
+@query(f"SELECT count(*) AS all_count, sum(a) AS all_area, sum((k = 0)::INT)::BIGINT AS present_count, sum(a) FILTER (k = 0) AS present_area, sum((k <> 0)::INT)::BIGINT AS rest_count, sum(a) FILTER (k <> 0) AS rest_area, true AS balanced FROM (SELECT {AREA} AS a, parcel_id % 3 AS k FROM parcel)")
+def verify_difference(spark, d):
+    boxes = _boxes(spark, d, "parcel").select("parcel_id", "bbox")
+    present = boxes.where("parcel_id % 3 = 0")
+    return spatial.verify_difference(boxes, present, spatial.id_anti(boxes, present, "parcel_id"), spatial.box_area(F.col("bbox")))
+
+
+@query(f"""WITH m AS ({near_sql(3, "max(1 - v) - min(CASE WHEN dy = 0 AND dx = 0 THEN 1 - v END) AS gb", "gt").replace("WITH o AS", "WITH o AS")}),
+n AS ({near_sql(3, "max(1 - v) - min(CASE WHEN dy = 0 AND dx = 0 THEN 1 - v END) AS pb", "(p_building > 0.5)::INT")}),
+w AS (SELECT m.scene_id, m.y, m.x, m.gb, n.pb, (SELECT max(q.gb) FROM m q WHERE q.scene_id = m.scene_id AND abs(q.y - m.y) <= 2 AND abs(q.x - m.x) <= 2) AS gw, (SELECT max(q.pb) FROM n q WHERE q.scene_id = m.scene_id AND abs(q.y - m.y) <= 2 AND abs(q.x - m.x) <= 2) AS pw FROM m JOIN n USING (scene_id, y, x))
+SELECT scene_id, round(sum(pb * gw) / (sum(pb) + 1e-7), 6) AS precision, round(sum(gb * pw) / (sum(gb) + 1e-7), 6) AS recall FROM w GROUP BY scene_id""")
+def boundary_f1(spark, d):
+    out = metrics.boundary_f1(_px(spark, d).withColumn("m", (F.col("p_building") > 0.5).cast("int")), "m", "gt")
+    return out.select("scene_id", F.round("precision", 6).alias("precision"), F.round("recall", 6).alias("recall"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
