@@ -100,7 +100,7 @@ def inherit_licences(files: DataFrame, found: DataFrame, names: str = r"(?i)^(li
 
 
 def op1_license_scan(spark, sf_dir: str) -> DataFrame:
-    """Documents as files of a tree: source / language / hundred of ids; each hundredth document is its folder's licence file."""
+    """Documents as files of a tree: source / language / hundred of ids; each tenth document is its folder's licence file."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), F.floor(F.col("doc_id") / 100).cast("string"))
     name = F.concat(F.when(F.col("doc_id") % 10 == 0, F.lit("LICENSE.")).otherwise(F.lit("doc.")), F.col("doc_id").cast("string"))
