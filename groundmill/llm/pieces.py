@@ -160,7 +160,7 @@ class Transducer:
         """Whether the arc from piece a to piece b exists: merging their characters gives a and b again."""
         key = (a, b)
         if key not in self.fits:
-            if len(self.fits) > REMEMBERED:
+            if len(self.fits) > 3 * REMEMBERED:
                 self.fits.clear()
             self.fits[key] = self._merged(a + b) == [a, b]
         return self.fits[key]
@@ -175,28 +175,46 @@ class Transducer:
             if piece in self.ids:
                 yield piece
 
-    def _arc(self, last: str, piece: str) -> float:
-        """The cost of a piece after another."""
-        if self.model.unigram:
-            return -self.model.scores[self.ids[piece]] if piece in self.ids else self.lost
-        return 0.0 if not last or self._fit(last, piece) else inf
-
     def _path(self, text: str) -> list[str]:
         """The shortest path of a composed segment, position by position.
 
         One state per position does: for merges no two paths reach a position, since what comes before it can be
         merged in one way only.
         """
+        if not self.model.unigram:
+            return self._only_path(text)
         cost, last = [0.0, *[inf] * len(text)], [""] * (len(text) + 1)
         for at in range(len(text)):
-            if cost[at] < inf:
-                for piece in self._arcs(text, at):
-                    total = cost[at] + self._arc(last[at], piece)
-                    if total < cost[at + len(piece)]:
-                        cost[at + len(piece)], last[at + len(piece)] = total, piece
-        if cost[-1] == inf:  # no path of fitting neighbours: the merges themselves decide
-            return self._merged(text)
-        out, at = [], len(text)
+            for piece in self._arcs(text, at):
+                total = cost[at] + (-self.model.scores[self.ids[piece]] if piece in self.ids else self.lost)
+                if total < cost[at + len(piece)]:
+                    cost[at + len(piece)], last[at + len(piece)] = total, piece
+        return self._back(last)
+
+    def _only_path(self, text: str) -> list[str]:
+        """The path whose arcs all cost nothing. An end that is reached needs no second arc, and longer pieces come first."""
+        size, ids, prefixes, fits, longest = len(text), self.ids, self.prefixes, self.fits, self.longest
+        last = [""] * (size + 1)
+        for at in range(size):
+            before = last[at]
+            if at and not before:
+                continue
+            for end in range(at + 1, min(at + longest, size) + 1):
+                piece = text[at:end]
+                if end > at + 1:
+                    if piece not in prefixes:
+                        break
+                    if piece not in ids:
+                        continue
+                if not last[end]:
+                    fine = not before or fits.get((before, piece))
+                    if fine or fine is None and self._fit(before, piece):
+                        last[end] = piece
+        return self._back(last) if last[size] else self._merged(text)  # without a path the merges themselves decide
+
+    @staticmethod
+    def _back(last: list[str]) -> list[str]:
+        out, at = [], len(last) - 1
         while at:
             out.append(last[at])
             at -= len(last[at])
