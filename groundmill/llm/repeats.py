@@ -8,6 +8,7 @@ smallest grams, so a window whose gram occurs once in the corpus occurs once its
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,8 @@ BASE, OTHER_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 #: Positions are held in 24 bits beside 40 bits of hash; longer texts are taken in pieces.
 PIECE = 1 << 23
 PLACE_BITS = np.uint64((1 << 24) - 1)
+#: Grams are counted in this many slices of their hashes, one after another, which divides the disk it takes.
+SLICES = 3
 
 _powers: dict[tuple[int, bool], np.ndarray] = {}
 
@@ -108,7 +111,7 @@ def anchored(docs: DataFrame, units: Callable[[bytes], np.ndarray], gram: int, w
 def originals(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The first document of each group of exact copies, and the later ones."""
     firsts = found.groupBy("digest").agg(F.min("doc_id").alias("first"))
-    both = found.join(firsts, "digest")
+    both = found.join(firsts.hint("merge"), "digest")
     return both.where("doc_id = first").drop("first", "digest").dropDuplicates(["doc_id", "part"]), both.where("doc_id > first").select("doc_id", "part").distinct()
 
 
@@ -116,8 +119,13 @@ def live_places(first: DataFrame, across: bool) -> DataFrame:
     """``(doc_id, part, live)``: the places of grams that occur twice; ``across``: in two documents. Stored."""
     seen = first.select("doc_id", "part", F.explode(F.arrays_zip("anchors", "places")).alias("x")).select("doc_id", "part", F.col("x.anchors").alias("anchor"), F.col("x.places").alias("place"))
     twice = F.min("doc_id") < F.max("doc_id") if across else F.count("*") > 1
-    live = seen.groupBy("anchor").agg(twice.alias("twice")).where("twice").select("anchor")
-    return stored(seen.join(live, "anchor").groupBy("doc_id", "part").agg(F.collect_list("place").alias("live")))
+    found = []
+    for k in range(SLICES):
+        some = seen.where(F.pmod("anchor", F.lit(SLICES)) == k)
+        live = some.groupBy("anchor").agg(twice.alias("twice")).where("twice").select("anchor")
+        found.append(stored(some.join(live.hint("merge"), "anchor").select("doc_id", "part", "place")))
+    every = reduce(DataFrame.unionByName, found)
+    return stored(every.groupBy("doc_id", "part").agg(F.collect_list("place").alias("live")))
 
 
 def merged(spans: DataFrame) -> DataFrame:
