@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import math
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Short notices of common licences, as their publishers word them.
@@ -19,27 +21,54 @@ TEMPLATES = (
 TERM = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 #: Terms that a line must share with one template before it is scored; shorter templates need all of theirs.
 SHARED = 3
-#: A file of at most this many terms is also scored as a whole, as licence files are.
-WHOLE = 2000
 
 
 def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"({TERM})"), F.lit(1))
 
 
-def templates_table(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
-    """``(template, licence, term, n)``; its rows are as many as the templates have terms."""
-    rows = spark.createDataFrame([(i, name, text) for i, (name, text) in enumerate(templates)], "template int, licence string, text string")
-    return rows.select("template", "licence", F.explode(terms(F.col("text"))).alias("term")).groupBy("template", "licence", "term").agg(F.count("*").alias("n"))
+def template_terms(spark: SparkSession, templates=TEMPLATES) -> dict[int, dict[str, int]]:
+    """Terms of each template with their counts; templates are a short fixed list, so this stays on the driver."""
+    rows = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(templates)], "template int, text string")
+    counts: dict[int, dict[str, int]] = {}
+    for r in rows.select("template", F.explode(terms(F.col("text"))).alias("term")).groupBy("template", "term").count().collect():
+        counts.setdefault(r["template"], {})[r["term"]] = r["count"]
+    return counts
+
+
+def line_terms(files: DataFrame) -> DataFrame:
+    """``(path, lines)``: the terms of each line; texts are cut once, as no term crosses a line's end."""
+    lines = F.split(F.coalesce("text", F.lit("")), "\r?\n")
+    return files.select("path", F.transform(lines, terms).alias("lines"))
+
 
+def squared(found: Column, weights: dict[str, float]) -> Column:
+    """Sum of the squares of the weights of an array's terms; the others weigh nothing."""
+    table = F.create_map(*(F.lit(x) for t, w in sorted(weights.items()) for x in (t, w * w)))
+    return F.aggregate(found, F.lit(0.0), lambda acc, t: acc + F.coalesce(F.try_element_at(table, t), F.lit(0.0)))
 
-def licence_units(files: DataFrame, known: list[str]) -> DataFrame:
-    """``(path, unit, terms)``: each line, and the whole of a short file as unit -1, with the terms that templates know."""
-    split = files.select("path", F.split(F.coalesce("text", F.lit("")), "\r?\n").alias("lines"), F.coalesce("text", F.lit("")).alias("text"))
-    lines = split.select("path", F.posexplode("lines").alias("unit", "line")).select("path", "unit", terms(F.col("line")).alias("terms"))
-    whole = split.where(F.size("lines") > 1).select("path", F.lit(-1).alias("unit"), terms(F.col("text")).alias("terms")).where(F.size("terms") <= WHOLE)
-    words = F.array(*(F.lit(k) for k in known))
-    return lines.unionByName(whole).withColumn("shared", F.array_intersect("terms", words)).where(F.size("shared") > 0)
+
+def candidate_units(split: DataFrame, counts: dict[int, dict[str, int]], idf: dict[str, float], rare: float, least: float) -> DataFrame:
+    """``(path, unit, terms)``: lines, and whole files as unit -1, that can reach cosine ``least`` with some template.
+
+    By Cauchy-Schwarz a cosine is at most the share of the template's length that lies on common terms, and at most
+    the share of the unit's length that lies on the templates' terms; each other distinct term adds ``rare`` squared
+    or more. Both bounds are taken inside the row, so texts that no template resembles are never exploded by term.
+    """
+    several = F.size("lines") > 1
+    units = F.when(several, F.concat("lines", F.array(F.flatten("lines")))).otherwise(F.col("lines"))
+    rows = split.select("path", F.size("lines").alias("n"), F.posexplode(units).alias("unit", "terms"))
+    rows = rows.select("path", F.when(F.col("unit") == F.col("n"), -1).otherwise(F.col("unit")).alias("unit"), "terms", F.filter("terms", lambda t: t.isin(sorted(idf))).alias("known"))
+    rows = rows.withColumn("shared", F.array_distinct("known")).where(F.size("shared") >= min(SHARED, *(len(t) for t in counts.values())))
+    near = F.lit(False)
+    for terms_of in counts.values():
+        weights = {t: n * idf[t] for t, n in terms_of.items()}
+        need = least * least * sum(w * w for w in weights.values())
+        near = near | (squared(F.col("shared"), weights) >= F.lit(need - 1e-6))
+    inside = F.aggregate("shared", F.lit(0.0), lambda acc, t: acc + F.pow(F.size(F.filter("known", lambda x: x == t)) * F.try_element_at(F.create_map(*(F.lit(x) for k in sorted(idf) for x in (k, idf[k]))), t), F.lit(2.0)))
+    others = F.size(F.array_distinct("terms")) - F.size("shared")
+    full = inside * (1 - least * least) >= others * F.lit(least * least * rare * rare) - 1e-6
+    return rows.where(F.when(near, full).otherwise(False)).select("path", "unit", "terms")
 
 
 def find_licences(files: DataFrame, templates=TEMPLATES, least: float = 0.75) -> DataFrame:
@@ -47,27 +76,27 @@ def find_licences(files: DataFrame, templates=TEMPLATES, least: float = 0.75) ->
 
     A term weighs count * idf; idf = ln((1 + lines) / (1 + lines with the term)) over all lines of all files, and a
     term of no template weighs as if in no line. Only the templates' terms are counted, so the vocabulary is small
-    however large the corpus. Units that share at least SHARED terms with a template are scored; ties go to the first
-    name. Null and empty texts have no licence; rows without path are left out; repeated paths act as one file.
+    however large the corpus. Lines, and files as a whole, that share at least SHARED terms with a template are
+    scored; ties go to the first template. Null and empty texts have no licence; rows without path are left out;
+    repeated paths act as one file.
     """
     spark = files.sparkSession
-    table = templates_table(spark, templates)
-    known = sorted({r["term"] for r in table.select("term").distinct().collect()})
-    given = files.where("path IS NOT NULL").select("path", "text")
-    units = licence_units(given, known)
-    total = given.agg(F.coalesce(F.sum(F.size(F.split(F.coalesce("text", F.lit("")), "\n"))), F.lit(0)).alias("lines")).first()["lines"]
-    seen = units.where("unit >= 0").select(F.explode("shared").alias("term")).groupBy("term").agg(F.count("*").alias("lines"))
-    # One row per term of a template: a few hundred at most.
-    idf = table.select("term").distinct().join(F.broadcast(seen), "term", "left").select("term", F.log((1.0 + total) / (1.0 + F.coalesce("lines", F.lit(0)))).alias("idf"))
-    weights = table.join(idf, "term").withColumn("w", F.col("n") * F.col("idf"))
-    norms = weights.groupBy("template").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.count("*").alias("distinct_terms"))
-    vectors = F.broadcast(weights.join(norms, "template").select("template", "licence", "term", "w", "idf", "norm", "distinct_terms"))
-    likely = units.where(F.size("shared") >= min(SHARED, min(len(set(t.split())) for _, t in templates)))
-    counted = likely.select("path", "unit", F.size("terms").alias("size"), F.explode("terms").alias("term")).groupBy("path", "unit", "size", "term").agg(F.count("*").alias("tf"))
-    outside = float(total + 1)
-    squares = counted.join(F.broadcast(idf), "term", "left").withColumn("x", F.col("tf") * F.coalesce("idf", F.log(F.lit(outside))))
-    length = squares.groupBy("path", "unit").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("length"))
-    dots = counted.join(vectors, "term").groupBy("path", "unit", "template", "licence", "norm", "distinct_terms").agg(F.sum(F.col("tf") * F.col("idf") * F.col("w")).alias("dot"), F.count("*").alias("common"))
+    counts = template_terms(spark, templates)
+    known = sorted({t for of in counts.values() for t in of})
+    split = line_terms(files.where("path IS NOT NULL").select("path", "text"))
+    # One row per term of a template, and one for all lines, come back.
+    line = F.array_append(F.array_distinct(F.filter("line", lambda t: t.isin(known))), F.lit(""))
+    seen = {r["term"]: r["count"] for r in split.select(F.explode("lines").alias("line")).select(F.explode(line).alias("term")).groupBy("term").count().collect()}
+    rare = math.log(1.0 + seen.get("", 0))
+    idf = {t: rare - math.log(1.0 + seen.get(t, 0)) for t in known}
+    weights = [(i, templates[i][0], t, n * idf[t], math.sqrt(sum((m * idf[u]) ** 2 for u, m in of.items())), len(of)) for i, of in counts.items() for t, n in of.items()]
+    vectors = spark.createDataFrame(weights, "template int, licence string, term string, w double, norm double, distinct_terms int")
+    likely = candidate_units(split, counts, idf, rare, least)
+    idfs = spark.createDataFrame(sorted(idf.items()), "term string, idf double")
+    counted = likely.select("path", "unit", F.explode("terms").alias("term")).groupBy("path", "unit", "term").agg(F.count("*").alias("tf"))
+    scaled = counted.join(F.broadcast(idfs), "term", "left").withColumn("x", F.col("tf") * F.coalesce("idf", F.lit(rare)))
+    length = scaled.groupBy("path", "unit").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("length"))
+    dots = scaled.join(F.broadcast(vectors), "term").groupBy("path", "unit", "template", "licence", "norm", "distinct_terms").agg(F.sum(F.col("x") * F.col("w")).alias("dot"), F.count("*").alias("common"))
     scored = dots.where(F.col("common") >= F.least(F.lit(SHARED), "distinct_terms")).join(length, ["path", "unit"]).withColumn("similarity", F.round(F.col("dot") / (F.col("norm") * F.col("length")), 9))
     best = F.max(F.struct("similarity", (-F.col("template")).alias("first"), "licence")).alias("best")
     return scored.where(F.col("similarity") >= least).groupBy("path").agg(best).select("path", F.col("best.licence").alias("licence"), F.col("best.similarity").alias("similarity"))
@@ -80,13 +109,13 @@ def directory(path: Column) -> Column:
 def inherit_licences(files: DataFrame, found: DataFrame, names: str = r"(?i)^(licen[cs]e|copying)(\.\w+)?$") -> DataFrame:
     """``(path, licence, similarity, origin)`` for every path of ``files``.
 
-    A file's own licence wins; else that of a licence file (by name) in its directory or the nearest one above, and
-    ``origin`` is that directory; else null. Of several licence files of a directory the most similar counts, then
+    A file's own licence wins and ``origin`` is its path; else that of a licence file (by name) in its directory or
+    the nearest one above, and ``origin`` is that directory; else null. Of several licence files of a directory the most similar counts, then
     the first path. Directories, not files, look upwards, so the joins see each directory once per level.
     """
     paths = files.where("path IS NOT NULL").select("path").distinct()
     base = F.regexp_extract("path", "([^/]*)$", 1)
-    pick = F.max_by("licence", F.struct("similarity", F.reverse(F.split("path", "")))).alias("dir_licence")
+    pick = F.min_by("licence", F.struct(-F.col("similarity"), "path")).alias("dir_licence")
     granted = found.where(base.rlike(names)).select(directory(F.col("path")).alias("dir"), "licence", "similarity", "path").groupBy("dir").agg(pick)
     dirs = paths.select(directory(F.col("path")).alias("dir")).distinct()
     parts = F.split("dir", "/")
