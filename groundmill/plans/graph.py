@@ -5,11 +5,13 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _folders: dict[str, str] = {}
+_paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -26,8 +28,11 @@ def scratch_folder(spark: SparkSession) -> str:
 
 
 def _remove(spark: SparkSession, folder: str) -> None:
-    if spark.sparkContext._jsc is None:  # the session was stopped before
-        return
+    if spark.sparkContext._jsc is not None:  # else the session was stopped before
+        _delete(spark, folder)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
@@ -46,7 +51,15 @@ def stored(df: DataFrame) -> DataFrame:
         df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(setting, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _paths[out] = path
+    return out
+
+
+def free(*tables: DataFrame) -> None:
+    """Delete the files of what ``stored`` returned. Nothing may read the tables later, nor what is made from them lazily."""
+    for table in tables:
+        _delete(table.sparkSession, _paths.pop(table))
 
 
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
