@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from groundmill.llm import repeats
-from groundmill.llm.common import map_arrow, slices, sorted_groups, stored
+from groundmill.llm.common import free, map_arrow, slices, sorted_groups, stored
 
 #: Any two residues modulo PERIOD have a shift below PERIOD that takes both into COVER.
 PERIOD, COVER = 7, (0, 1, 3)
@@ -127,8 +127,11 @@ def repeated_bytes(docs: DataFrame, window: int = 100, gram: int = 24) -> DataFr
     surroundings; equal surroundings of one gram count once, at their first place. The rest are dealt out by gram,
     so that equal windows meet, and each task sorts its suffixes bucket by bucket, whole grams at a time.
     """
-    first, later = repeats.originals(repeats.anchored(docs, byte_units, gram, window))
+    found = repeats.anchored(docs, byte_units, gram, window)
+    first, later = repeats.originals(found)
+    later = stored(later)
     places = repeats.live_places(first, across=False)
+    free(found)
     texts = repeats.keyed(docs).where("doc_id IS NOT NULL").join(places.hint("merge"), ["doc_id", "part"]).select("doc_id", "part", "body", "live")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,12 +150,16 @@ def repeated_bytes(docs: DataFrame, window: int = 100, gram: int = 24) -> DataFr
             for part in pa.Table.from_arrays(cols, ["doc_id", "part", "anchor", "start", "piece"]).to_batches(max_chunksize=20_000):
                 yield part
 
-    pieces = stored(map_arrow(texts, cut, "doc_id long, part int, anchor long, start long, piece binary").withColumn("digest", F.xxhash64("piece", F.lit(1))))
+    cut_out = map_arrow(texts, cut, "doc_id long, part int, anchor long, start long, piece binary")
+    pieces = stored(cut_out.withColumn("digest", F.xxhash64("piece", F.lit(1))).withColumn("size", F.length("piece")))
+    free(places)
     whole = later.select("doc_id", "part", F.lit(0).cast("long").alias("start"), F.lit(1 << 40).cast("long").alias("end"))
-    same = stored(pieces.groupBy("anchor", "digest").agg(F.min(F.struct("doc_id", "start")).alias("at")))
-    again = pieces.join(same, ["anchor", "digest"]).where("struct(doc_id, start) <> at").select("doc_id", "part", "start", (F.col("start") + F.length("piece")).alias("end"))
-    counts = same.groupBy("anchor").count().where("count > 1")
-    met = pieces.join(same, ["anchor", "digest"]).where("struct(doc_id, start) = at").select("doc_id", "part", "anchor", "start", "piece").join(counts, "anchor")
+    firsts = pieces.groupBy("anchor", "digest").agg(F.min(F.struct("doc_id", "start")).alias("at"))
+    counts = firsts.groupBy("anchor").count()
+    # Counts come in before the pieces do, so the pieces' bytes are shuffled once to meet them and once by gram.
+    same = stored(firsts.join(counts.hint("merge"), "anchor"))
+    again = pieces.drop("piece").join(same.hint("merge"), ["anchor", "digest"]).where("struct(doc_id, start) <> at").select("doc_id", "part", "start", (F.col("start") + F.col("size")).alias("end"))
+    met = pieces.join(same.where("count > 1").hint("merge"), ["anchor", "digest"]).where("struct(doc_id, start) = at").select("doc_id", "part", "anchor", "start", "piece", "count")
     crowd = met.where(F.col("count") > CROWD).select("doc_id", "part", F.col("start").alias("from"), "piece", F.explode(F.sequence(F.lit(0), F.length("piece") - window)).alias("k"))
     single = crowd.select("doc_id", "part", (F.col("from") + F.col("k")).alias("start"), F.expr(f"substring(piece, k + 1, {window})").alias("piece")).withColumn("anchor", F.xxhash64("piece"))
     dealt = met.where(F.col("count") <= CROWD).select("doc_id", "part", "anchor", "start", "piece").unionByName(single)
