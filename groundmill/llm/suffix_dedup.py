@@ -154,10 +154,12 @@ def repeated_bytes(docs: DataFrame, window: int = 100, gram: int = 24) -> DataFr
     pieces = stored(cut_out.withColumn("digest", F.xxhash64("piece", F.lit(1))).withColumn("size", F.length("piece")))
     free(places)
     whole = later.select("doc_id", "part", F.lit(0).cast("long").alias("start"), F.lit(1 << 40).cast("long").alias("end"))
-    firsts = pieces.groupBy("anchor", "digest").agg(F.min(F.struct("doc_id", "start")).alias("at"))
-    counts = firsts.groupBy("anchor").count()
+    # Both are tables, so that Spark can split the join where one gram has many surroundings.
+    firsts = stored(pieces.groupBy("anchor", "digest").agg(F.min(F.struct("doc_id", "start")).alias("at")))
+    counts = stored(firsts.groupBy("anchor").count())
     # Counts come in before the pieces do, so the pieces' bytes are shuffled once to meet them and once by gram.
     same = stored(firsts.join(counts.hint("merge"), "anchor"))
+    free(firsts, counts)
     again = pieces.drop("piece").join(same.hint("merge"), ["anchor", "digest"]).where("struct(doc_id, start) <> at").select("doc_id", "part", "start", (F.col("start") + F.col("size")).alias("end"))
     met = pieces.join(same.where("count > 1").hint("merge"), ["anchor", "digest"]).where("struct(doc_id, start) = at").select("doc_id", "part", "anchor", "start", "piece", "count")
     crowd = met.where(F.col("count") > CROWD).select("doc_id", "part", F.col("start").alias("from"), "piece", F.explode(F.sequence(F.lit(0), F.length("piece") - window)).alias("k"))
