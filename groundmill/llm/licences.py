@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from groundmill.llm.common import stored
+
 # Short notices of common licences, as their publishers word them.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
@@ -21,6 +23,8 @@ TEMPLATES = (
 TERM = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 #: Terms that a line must share with one template before it is scored; shorter templates need all of theirs.
 SHARED = 3
+#: Other terms, those on most lines, whose idf is told to every task; the rest are joined. Only the cost depends on it.
+USUAL = 1000
 
 
 def terms(text: Column) -> Column:
@@ -48,12 +52,13 @@ def squared(found: Column, weights: dict[str, float]) -> Column:
     return F.aggregate(found, F.lit(0.0), lambda acc, t: acc + F.coalesce(F.try_element_at(table, t), F.lit(0.0)))
 
 
-def candidate_units(split: DataFrame, counts: dict[int, dict[str, int]], idf: dict[str, float], rare: float, least: float) -> DataFrame:
+def candidate_units(split: DataFrame, counts: dict[int, dict[str, int]], idf: dict[str, float], usual: list[str], floor: float, least: float) -> DataFrame:
     """``(path, unit, terms)``: lines, and whole files as unit -1, that can reach cosine ``least`` with some template.
 
     By Cauchy-Schwarz a cosine is at most the share of the template's length that lies on common terms, and at most
-    the share of the unit's length that lies on the templates' terms; each other distinct term adds ``rare`` squared
-    or more. Both bounds are taken inside the row, so texts that no template resembles are never exploded by term.
+    the share of the unit's length that lies on the templates' terms. Each other distinct term adds ``floor`` squared
+    or more, the square of the least idf of all terms beside ``usual``; those of ``usual`` may add nothing. Both
+    bounds are taken inside the row, so texts that no template resembles are never exploded by term.
     """
     several = F.size("lines") > 1
     units = F.when(several, F.concat("lines", F.array(F.flatten("lines")))).otherwise(F.col("lines"))
@@ -66,40 +71,51 @@ def candidate_units(split: DataFrame, counts: dict[int, dict[str, int]], idf: di
         need = least * least * sum(w * w for w in weights.values())
         near = near | (squared(F.col("shared"), weights) >= F.lit(need - 1e-6))
     inside = F.aggregate("shared", F.lit(0.0), lambda acc, t: acc + F.pow(F.size(F.filter("known", lambda x: x == t)) * F.try_element_at(F.create_map(*(F.lit(x) for k in sorted(idf) for x in (k, idf[k]))), t), F.lit(2.0)))
-    others = F.size(F.array_distinct("terms")) - F.size("shared")
-    full = inside * (1 - least * least) >= others * F.lit(least * least * rare * rare) - 1e-6
+    others = F.size(F.array_distinct(F.filter("terms", lambda t: ~t.isin(sorted({*idf, *usual})))))
+    full = inside * (1 - least * least) >= others * F.lit(least * least * floor * floor) - 1e-6
     return rows.where(F.when(near, full).otherwise(False)).select("path", "unit", "terms")
 
 
+def line_counts(split: DataFrame) -> DataFrame:
+    """``(term, count)``: the lines that each term of the corpus stands on; the empty term stands on every line."""
+    line = F.array_append(F.array_distinct("line"), F.lit(""))
+    return split.select(F.explode("lines").alias("line")).select(F.explode(line).alias("term")).groupBy("term").count()
+
+
 def find_licences(files: DataFrame, templates=TEMPLATES, least: float = 0.75) -> DataFrame:
     """``(path, licence, similarity)``: the best template of each file that has one at cosine ``least`` or more.
 
-    A term weighs count * idf; idf = ln((1 + lines) / (1 + lines with the term)) over all lines of all files, and a
-    term of no template weighs as if in no line. Only the templates' terms are counted, so the vocabulary is small
-    however large the corpus. Lines, and files as a whole, that share at least SHARED terms with a template are
-    scored; ties go to the first template. Null and empty texts have no licence; rows without path are left out;
-    repeated paths act as one file.
+    A term weighs count * idf; idf = ln((1 + lines) / (1 + lines with the term)) over all lines of all files, for
+    every term of the corpus; the table of counts stays distributed. Lines, and files as a whole, that share at
+    least SHARED terms with a template are scored; ties go to the first template. Null and empty texts have no
+    licence; rows without path are left out; repeated paths act as one file.
     """
     spark = files.sparkSession
     counts = template_terms(spark, templates)
     known = sorted({t for of in counts.values() for t in of})
     split = line_terms(files.where("path IS NOT NULL").select("path", "text"))
-    # One row per term of a template, and one for all lines, come back.
-    line = F.array_append(F.array_distinct(F.filter("line", lambda t: t.isin(known))), F.lit(""))
-    seen = {r["term"]: r["count"] for r in split.select(F.explode("lines").alias("line")).select(F.explode(line).alias("term")).groupBy("term").count().collect()}
-    rare = math.log(1.0 + seen.get("", 0))
-    idf = {t: rare - math.log(1.0 + seen.get(t, 0)) for t in known}
+    seen = stored(line_counts(split))
+    # What comes back: one row per term of a template, one for all lines, and the USUAL other terms on most lines.
+    told = {r["term"]: r["count"] for r in seen.where(F.col("term").isin([*known, ""])).collect()}
+    top = seen.where(~F.col("term").isin([*known, ""])).orderBy(F.desc("count"), "term").limit(USUAL + 1).collect()
+    lines = math.log(1.0 + told.get("", 0))
+    idf = {t: lines - math.log(1.0 + told.get(t, 0)) for t in known}
+    usual = {r["term"]: lines - math.log(1.0 + r["count"]) for r in top[:USUAL]}
+    floor = lines - math.log(1.0 + top[-1]["count"]) if len(top) > USUAL else lines
     weights = [(i, templates[i][0], t, n * idf[t], math.sqrt(sum((m * idf[u]) ** 2 for u, m in of.items())), len(of)) for i, of in counts.items() for t, n in of.items()]
     vectors = spark.createDataFrame(weights, "template int, licence string, term string, w double, norm double, distinct_terms int")
-    likely = candidate_units(split, counts, idf, rare, least)
-    idfs = spark.createDataFrame(sorted(idf.items()), "term string, idf double")
-    counted = likely.select("path", "unit", F.explode("terms").alias("term")).groupBy("path", "unit", "term").agg(F.count("*").alias("tf"))
-    scaled = counted.join(F.broadcast(idfs), "term", "left").withColumn("x", F.col("tf") * F.coalesce("idf", F.lit(rare)))
-    length = scaled.groupBy("path", "unit").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("length"))
-    dots = scaled.join(F.broadcast(vectors), "term").groupBy("path", "unit", "template", "licence", "norm", "distinct_terms").agg(F.sum(F.col("x") * F.col("w")).alias("dot"), F.count("*").alias("common"))
-    scored = dots.where(F.col("common") >= F.least(F.lit(SHARED), "distinct_terms")).join(length, ["path", "unit"]).withColumn("similarity", F.round(F.col("dot") / (F.col("norm") * F.col("length")), 9))
+    likely = candidate_units(split, counts, idf, list(usual), floor, least)
+    counted = stored(likely.select("path", "unit", F.explode("terms").alias("term")).groupBy("path", "unit", "term").agg(F.count("*").alias("tf")))
+    # Terms on very many lines take their idf from a broadcast table of fixed size, so that none makes a hot task.
+    often = F.broadcast(spark.createDataFrame(sorted({**idf, **usual}.items()), "term string, idf double"))
+    common = counted.join(often, "term")
+    seldom = counted.join(often, "term", "left_anti").join(seen.hint("merge"), "term").withColumn("idf", F.lit(lines) - F.log(1.0 + F.col("count"))).drop("count")
+    scaled = lambda rows: rows.withColumn("x", F.col("tf") * F.col("idf"))
+    length = scaled(common.unionByName(seldom)).groupBy("path", "unit").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("length"))
+    dots = scaled(common).join(F.broadcast(vectors), "term").groupBy("path", "unit", "template", "licence", "norm", "distinct_terms").agg(F.sum(F.col("x") * F.col("w")).alias("dot"), F.count("*").alias("common"))
+    scored = dots.where(F.col("common") >= F.least(F.lit(SHARED), "distinct_terms")).join(length, ["path", "unit"]).withColumn("similarity", F.round(F.try_divide("dot", F.col("norm") * F.col("length")), 9))
     best = F.max(F.struct("similarity", (-F.col("template")).alias("first"), "licence")).alias("best")
-    return scored.where(F.col("similarity") >= least).groupBy("path").agg(best).select("path", F.col("best.licence").alias("licence"), F.col("best.similarity").alias("similarity"))
+    return stored(scored.where(F.col("similarity") >= least).groupBy("path").agg(best).select("path", F.col("best.licence").alias("licence"), F.col("best.similarity").alias("similarity")))
 
 
 def directory(path: Column) -> Column:

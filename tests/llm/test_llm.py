@@ -315,6 +315,37 @@ def test_licences(spark, messy, none):
         assert (r["similarity"] is not None) == bool(re.search("MIT License|Apache License|CC BY-NC 4.0|GNU General", docs[r["doc_id"]]))
 
 
+def test_licences_weigh_every_term_by_its_own_lines(spark, monkeypatch):
+    """An ordinary word beside a notice must not sink it, however large the corpus; equal to a plain scorer."""
+    filler = [f"by and see the plain w{i % 997} under v{i % 31}" for i in range(4000)] + [f"released mit license u{i}" for i in range(300)]
+    asked = ["Released under the MIT License by", "Released under the MIT License by w1 v2", "Released under the MIT License qq1 qq2 qq3", "see the work licensed under a v. v1 v2", "by Released under the MIT License\nw5 w6 by\nsee"]
+    texts = [(f"f/{i}", t) for i, t in enumerate([*filler, *asked])]
+    cut = lambda t: re.findall(licences.TERM, t.lower())
+    lines = [cut(x) for _, t in texts for x in t.split("\n")]
+    df = defaultdict(int)
+    for x in lines:
+        for w in set(x):
+            df[w] += 1
+    idf = lambda w: np.log((1 + len(lines)) / (1 + df[w]))
+    vector = lambda ws: {w: ws.count(w) * idf(w) for w in set(ws)}
+    norm = lambda v: np.sqrt(sum(x * x for x in v.values()))
+    marks = [(name, vector(cut(t))) for name, t in licences.TEMPLATES]
+    want = {}
+    for path, t in texts:
+        for unit in [*(cut(x) for x in t.split("\n")), cut(t)]:
+            v = vector(unit)
+            for name, m in marks:
+                if len(v.keys() & m.keys()) >= min(3, len(m)):
+                    s = round(sum(v[w] * m[w] for w in v.keys() & m.keys()) / norm(v) / norm(m), 6)
+                    if s >= 0.75 and s > want.get(path, ("", 0))[1]:
+                        want[path] = (name, s)
+    assert {f"f/{len(filler)}", f"f/{len(filler) + 4}"} <= want.keys() and f"f/{len(filler) + 2}" not in want
+    for usual in (2, 1000):
+        monkeypatch.setattr(licences, "USUAL", usual)
+        files = spark.createDataFrame(texts, "path string, text string")
+        assert {r["path"]: (r["licence"], round(r["similarity"], 6)) for r in licences.find_licences(files).collect()} == want
+
+
 def test_pipeline(spark, messy, none):
     import corpus_pipeline as line
 
