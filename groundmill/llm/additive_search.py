@@ -91,38 +91,67 @@ class AdditiveQuantiser:
         return np.einsum("qd,mkd->qmk", queries, self.books)
 
 
+def distinct_vectors(vectors: DataFrame, width: int, ids: int) -> DataFrame:
+    """``(vec_id, ids, embedding)``: one row per vector, padded to ``width``, with its ``ids`` smallest vec_ids, of which ``vec_id`` is the first.
+
+    The window keeps ``ids`` rows of a group in each task before rows are dealt out, so a vector of very many copies is no hot task.
+    """
+    padded = vectors.select("vec_id", F.concat("embedding", F.array_repeat(F.lit(0.0), F.lit(width) - F.size("embedding"))).alias("embedding"))
+    # Adding 0.0 makes -0.0 and 0.0 one value; the window then tells vectors apart by their values.
+    padded = padded.select("vec_id", F.transform("embedding", lambda x: x + F.lit(0.0)).alias("embedding")).distinct()
+    first = F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))
+    kept = padded.withColumn("place", first).where(F.col("place") <= ids)
+    return kept.groupBy("embedding").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")).select(F.col("ids")[0].alias("vec_id"), "ids", "embedding")
+
+
 def build_index(vectors: DataFrame, quantiser: AdditiveQuantiser, width: int) -> DataFrame:
-    """``(vec_id, codes, norm, embedding)``: every vector's codes and the squared norm of what they decode to."""
+    """``(ids, codes, norm, embedding)``: every vector's codes and the squared norm of what they decode to."""
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             codes = quantiser.encode(matrix(batch["embedding"], width))
             norm = (quantiser.decode(codes) ** 2).sum(axis=1)
-            yield pa.RecordBatch.from_arrays([batch["vec_id"], pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norm, pa.float64()), batch["embedding"]], ["vec_id", "codes", "norm", "embedding"])
+            yield pa.RecordBatch.from_arrays([batch["ids"], pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norm, pa.float64()), batch["embedding"]], ["ids", "codes", "norm", "embedding"])
+
+    return map_arrow(vectors.select("ids", "embedding"), body, "ids array<long>, codes binary, norm double, embedding array<double>")
+
 
-    return map_arrow(vectors.select("vec_id", "embedding"), body, "vec_id long, codes binary, norm double, embedding array<double>")
+def _best(ids: Iterator[np.ndarray], worth: np.ndarray, name: int, k: int) -> list[tuple[float, int]]:
+    """The ``k`` best ``(-score, vec_id)`` of rows that come best first: every vec_id once, ``name`` left out, ties whole."""
+    seen: dict[int, float] = {}
+    last = np.inf
+    for row, score in zip(ids, worth, strict=True):
+        if score == -np.inf or len(seen) >= k and score < last:
+            break
+        last = score
+        for i in row.tolist():
+            if i != name:
+                seen.setdefault(i, score)
+    return sorted((-score, i) for i, score in seen.items())[:k]
 
 
-def _packed(rows: DataFrame, blocks: int, columns: list[str]) -> DataFrame:
-    """Rows gathered into ``blocks`` blocks by hash; one row a block, with an array per column."""
-    return rows.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")).groupBy("block").agg(*(F.collect_list(c).alias(c) for c in columns))
+def _packed(rows: DataFrame, blocks: int, key: str, columns: list[str]) -> DataFrame:
+    """Rows gathered into ``blocks`` blocks by the hash of ``key``; one row a block, with an array per column."""
+    return rows.withColumn("block", F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")).groupBy("block").agg(*(F.collect_list(c).alias(c) for c in columns))
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 20, measure: str = "product", shortlist: int = SHORTLIST, index_block: int = INDEX_BLOCK) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: each query's ``k`` nearest of all other rows, nearest first.
 
     ``measure``: "product" (largest inner product) or "distance" (smallest Euclidean distance, scored as its negated
-    square; this is what the stored norms are for). Codebooks are fitted on a bounded sample, every row is encoded.
+    square; this is what the stored norms are for). Equal vectors are one row of the index, with their ``k`` + 1
+    smallest vec_ids, which is as many as an answer can take. Codebooks are fitted on a bounded sample, every row is encoded.
     Blocks of queries meet blocks of codes; lookup tables score all codes of the block, and each query's best
     ``shortlist`` of the block are reranked at once by the measure itself on the original vectors, in double
-    precision; the block passes on its ``k`` best. Ties go to the smaller vec_id. With at most ``shortlist`` rows a
-    block the result is exact.
+    precision; the block passes on its ``k`` best. Ties go to the smaller vec_id. With at most ``shortlist`` distinct
+    vectors a block the result is exact.
 
     Null, zero and non-finite vectors take no part; vectors of unequal length compare as if padded with zeros; equal
     rows of one vec_id count once, and a vec_id with several vectors is found by its best.
     """
-    fine = stored(usable(vectors).distinct())
-    width, count = width_of(fine), fine.count()
+    width = width_of(usable(vectors))
+    fine = stored(distinct_vectors(usable(vectors), width, k + 1))
+    count = fine.count()
     asked = usable(queries).distinct()
     schema = "query_id long, rank int, vec_id long, score double"
     if not count:
@@ -130,13 +159,17 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, measure: str = "
     quantiser = AdditiveQuantiser.fit(sample(fine, SAMPLE, width))
     index = build_index(fine, quantiser, width)
     index_blocks, query_blocks = -(-count // index_block), -(-asked.count() // QUERY_BLOCK) or 1
-    packed = _packed(index, index_blocks, ["vec_id", "codes", "norm", "embedding"]).select(F.col("block").alias("i"), F.col("vec_id").alias("ids"), "codes", "norm", F.col("embedding").alias("vectors"))
-    askers = _packed(asked, query_blocks, ["vec_id", "embedding"]).select(F.explode(F.sequence(F.lit(0), F.lit(index_blocks - 1))).alias("i"), F.col("vec_id").alias("query_ids"), F.col("embedding").alias("queries"))
+    packed = _packed(index, index_blocks, "embedding", ["ids", "codes", "norm", "embedding"]).select(F.col("block").alias("i"), "ids", "codes", "norm", F.col("embedding").alias("vectors"))
+    askers = _packed(asked, query_blocks, "vec_id", ["vec_id", "embedding"]).select(F.explode(F.sequence(F.lit(0), F.lit(index_blocks - 1))).alias("i"), F.col("vec_id").alias("query_ids"), F.col("embedding").alias("queries"))
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
-                ids, asking = batch["ids"][r].values.to_numpy(), batch["query_ids"][r].values.to_numpy()
+                lists, asking = batch["ids"][r].values, batch["query_ids"][r].values.to_numpy()
+                held = np.diff(lists.offsets.to_numpy())
+                flat = lists.flatten().to_numpy()
+                starts = np.cumsum(held) - held
+                ids, lone = flat[starts], held == 1
                 codes = np.frombuffer(b"".join(batch["codes"][r].as_py()), np.uint8).reshape(len(ids), -1)
                 norm, exact = batch["norm"][r].values.to_numpy().astype(np.float32), matrix(batch["vectors"][r].values, width)
                 looked = matrix(batch["queries"][r].values, width)
@@ -148,17 +181,19 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, measure: str = "
                         score += tables[:, m, :][:, codes[:, m]]
                     if measure == "distance":
                         score = 2 * score - norm
-                    score[names[:, None] == ids] = -np.inf
+                    score[(names[:, None] == ids) & lone] = -np.inf
                     keep = min(shortlist, len(ids))
                     short = np.argpartition(-score, keep - 1, axis=1)[:, :keep]
                     near = exact[short]
                     true = (near * some[:, None, :]).sum(axis=2) if measure == "product" else -((near - some[:, None, :]) ** 2).sum(axis=2)
-                    true[ids[short] == names[:, None]] = -np.inf
-                    order = np.lexsort((ids[short], -true), axis=1)[:, :k]
-                    rows = np.arange(len(some))[:, None]
-                    found, worth = ids[short[rows, order]], true[rows, order]
-                    real = worth > -np.inf
-                    cols = [pa.array(np.broadcast_to(names[:, None], found.shape)[real]), pa.array(found[real]), pa.array(worth[real])]
+                    true[(ids[short] == names[:, None]) & lone[short]] = -np.inf
+                    order = np.argsort(-true, axis=1, kind="stable")
+                    found = []
+                    for q, name in enumerate(names.tolist()):
+                        rows = short[q, order[q]]
+                        lists_of = (flat[starts[i] : starts[i] + held[i]] for i in rows)
+                        found += [(name, i, -lost) for lost, i in _best(lists_of, true[q, order[q]], name, k)]
+                    cols = [pa.array([f[c] for f in found], kind) for c, kind in enumerate((pa.int64(), pa.int64(), pa.float64()))]
                     yield pa.RecordBatch.from_arrays(cols, ["query_id", "vec_id", "score"])
 
     met = askers.join(packed, "i").select("query_ids", "queries", "ids", "codes", "norm", "vectors")
