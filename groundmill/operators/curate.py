@@ -97,34 +97,30 @@ def augment(cells: DataFrame, size: int, seed: int, bands: tuple[str, ...] = ("r
     return means.select(*keys, "ty", "tx", *(F.pow(clip(c), gamma).alias(b) for b, c in noisy.items()), mask)
 
 
-def _to_nearest(px: DataFrame, targets: DataFrame, out: str, reach: int) -> DataFrame:
-    """``out``: distance to the nearest target cell, in rings that double until every cell of a scene has found one.
+def _to_nearest(px: DataFrame, targets: DataFrame, out: str) -> DataFrame:
+    """``out``: distance to the nearest target cell of the scene, however far; null only in scenes without a target.
 
-    Only cells without an answer go on to the next ring, and only cells that no ring within ``reach`` serves stay null.
+    Two exact passes: along each column that has a target the distance to its nearest one, on every row of the scene,
+    then along each row the least over those columns. A row's cells and columns are held together, never a scene.
     """
-    t = targets.select("scene_id", F.col("y").alias("_ty"), F.col("x").alias("_tx"))
-    step, found, rest = 8, None, px.select("scene_id", "y", "x")
-    size = 8
-    while True:
-        # Bins of the ring's size: a target within `size` lies in one of the nine bins round a cell's own.
-        bins = lambda c, s=size: F.floor(F.col(c) / s)
-        near = rest.withColumn("_d", F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))))
-        near = near.withColumn("_by", bins("y") + F.col("_d.i")).withColumn("_bx", bins("x") + F.col("_d.j"))
-        met = near.join(t.withColumn("_by", bins("_ty")).withColumn("_bx", bins("_tx")), ["scene_id", "_by", "_bx"])
-        got = met.groupBy("scene_id", "y", "x").agg(F.min(F.hypot(F.col("y") - F.col("_ty"), F.col("x") - F.col("_tx"))).alias(out)).where(F.col(out) <= size)
-        found = got if found is None else found.unionByName(got)
-        if size >= reach:
-            break
-        rest = rest.join(got, ["scene_id", "y", "x"], "left_anti")
-        size *= step
+    t = targets.select("scene_id", "y", F.col("x").alias("_tx"), F.col("y").alias("_ty")).distinct()
+    lines = px.select("scene_id", "y").distinct().join(t.select("scene_id", "_tx").distinct(), "scene_id").join(t, ["scene_id", "y", "_tx"], "left")
+    column = Window.partitionBy("scene_id", "_tx").orderBy("y")
+    above = F.last("_ty", ignorenulls=True).over(column.rowsBetween(Window.unboundedPreceding, 0))
+    below = F.first("_ty", ignorenulls=True).over(column.rowsBetween(0, Window.unboundedFollowing))
+    down = lines.select("scene_id", "y", F.col("_tx").alias("x"), F.least(F.col("y") - above, below - F.col("y")).alias("d"))
+    known = down.groupBy("scene_id", "y").agg(F.collect_list(F.struct("x", "d")).alias("_known"))
+    cells = px.groupBy("scene_id", "y").agg(F.collect_set("x").alias("_cells"))
+    near = F.transform("_cells", lambda x: F.struct(x.alias("x"), F.array_min(F.transform("_known", lambda k: F.hypot(k["x"] - x, k["d"]))).alias(out)))
+    found = cells.join(known, ["scene_id", "y"]).select("scene_id", "y", F.explode(near).alias("_n")).select("scene_id", "y", "_n.x", f"_n.{out}")
     return px.join(found, ["scene_id", "y", "x"], "left")
 
 
-def boundary_weight(px: DataFrame, mask: str = "mask", scale: float = 3.0, reach: int = 64) -> DataFrame:
+def boundary_weight(px: DataFrame, mask: str = "mask", scale: float = 3.0) -> DataFrame:
     """``weight``: exp(-d * scale), d the distance to the mask's boundary over the scene's largest; no boundary: 1."""
     inner = erode(px.withColumn("_e", F.col(mask)), "_e")
     edge = inner.where((F.col(mask) == 1) & (F.col("_e") == 0))
-    far = _to_nearest(px, edge, "_d", reach)
+    far = _to_nearest(px, edge, "_d")
     d = F.coalesce(F.try_divide("_d", F.max("_d").over(Window.partitionBy("scene_id"))), F.lit(0.0))
     return far.withColumn("weight", F.exp(-d * scale)).drop("_d")
 
@@ -136,8 +132,8 @@ def seed_mask(px: DataFrame, q: float = 75, bands: tuple[str, ...] = ("r", "g",
     return px.join(cut, "scene_id").withColumn("mask", (mean > F.col("_q")).cast("int")).drop("_q")
 
 
-def inside_distance(px: DataFrame, mask: str = "mask", reach: int = 64) -> DataFrame:
+def inside_distance(px: DataFrame, mask: str = "mask") -> DataFrame:
     """``inside_distance``: for set cells the distance to the nearest unset one, over the scene's largest; else 0."""
-    far = _to_nearest(px, px.where(F.col(mask) == 0), "_d", reach)
+    far = _to_nearest(px, px.where(F.col(mask) == 0), "_d")
     top = F.max("_d").over(Window.partitionBy("scene_id"))
     return far.withColumn("inside_distance", F.when(F.col(mask) == 1, F.coalesce(F.try_divide("_d", top), F.lit(1.0))).otherwise(0.0)).drop("_d")

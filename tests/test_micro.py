@@ -108,6 +108,20 @@ def test_augment_keeps_shape_and_repeats(spark):
         assert a == b and len(a) == 36
 
 
+def test_distances_have_no_reach(spark):
+    line = grid(spark, 1, 200, {(0, x) for x in range(1, 200)})
+    got = {r["x"]: r["inside_distance"] for r in curate.inside_distance(line).collect()}
+    assert len(got) == 200 and all(abs(got[x] - x / 199) < 1e-12 for x in range(200))
+    block = grid(spark, 3, 200, {(y, x) for y in range(3) for x in range(3)})
+    far = {(r["y"], r["x"]): r["weight"] for r in curate.boundary_weight(block).collect()}
+    assert abs(far[1, 199] - 2.718281828459045**-3) < 1e-12 and far[1, 199] == min(far.values()) and far[1, 2] == 1.0
+    holes = {(3, 2), (17, 11), (9, 30)}
+    cells = spark.createDataFrame([(0, y, x, int((y, x) not in holes)) for y in range(20) for x in range(40) if (y * x) % 7 != 1], "scene_id long, y long, x long, mask int")
+    held = [(r["y"], r["x"]) for r in cells.where("mask = 0").collect()]
+    d = {(r["y"], r["x"]): min(((r["y"] - a) ** 2 + (r["x"] - b) ** 2) ** 0.5 for a, b in held) for r in cells.collect()}
+    assert all(abs(r["inside_distance"] - d[r["y"], r["x"]] / max(d.values())) < 1e-12 for r in curate.inside_distance(cells).collect())
+
+
 def test_streaming_once(spark, tmp_path):
     from groundmill.streaming.jobs import stream_scene_stats
 
