@@ -183,6 +183,15 @@ def tta_merge(spark, d):
     return mosaic.tta_merge(mosaic.tta_expand(cells, 16), 16, "p").withColumn("p", F.round("p", 9))
 
 
+@query(f"WITH {TILES} SELECT scene_id, i AS grid_i, j AS grid_j, ty, tx, round(p_building, 9) AS p FROM (SELECT *, count(*) OVER (PARTITION BY scene_id, i, j) AS n FROM tc) WHERE n = 256")
+def tta_merge_whole(spark, d):
+    """Every whole tile of every scene, chosen by its window's size."""
+    px = _px(spark, d)
+    whole = tiling.tile_grid(_scenes(px), 16, "overlap", 0.25).where("win_h = 16 AND win_w = 16")
+    cells = tiling.assign_pixels_to_tiles(px, 16, 12, whole).select("scene_id", "grid_i", "grid_j", "ty", "tx", F.col("p_building").alias("p"))
+    return mosaic.tta_merge(mosaic.tta_expand(cells, 16), 16, "p").withColumn("p", F.round("p", 9))
+
+
 def mirror(c: str, n: str) -> str:
     return f"CASE WHEN {c} < 0 THEN -1 - ({c}) WHEN {c} >= {n} THEN 2 * {n} - 1 - ({c}) ELSE {c} END"
 
@@ -353,6 +362,15 @@ def key_semi(spark, d):
     return spatial.key_semi(parcels, parcels.where("parcel_id < 40"), "category").select("parcel_id")
 
 
+@query("SELECT parcel_id FROM parcel WHERE EXISTS (SELECT 1 FROM (SELECT category FROM parcel GROUP BY category HAVING count(*) > (SELECT count(*) FROM parcel) / (SELECT count(DISTINCT coalesce(category, '')) FROM parcel)) f WHERE f.category IS NOT DISTINCT FROM parcel.category)")
+def key_semi_whole(spark, d):
+    """Parcels of the categories that more parcels have than the mean category, counted over the whole table."""
+    parcels = view(spark, d, "parcel").select("parcel_id", "category")
+    sizes = parcels.groupBy("category").agg(F.count("*").alias("n"))
+    often = sizes.crossJoin(parcels.agg((F.count("*") / F.count_distinct(F.coalesce("category", F.lit("")))).alias("mean"))).where("n > mean")  # one row
+    return spatial.key_semi(parcels, often.select("category"), "category").select("parcel_id")
+
+
 @query("SELECT det_id FROM det WHERE det_id NOT IN (SELECT parcel_id FROM parcel)")
 def id_anti(spark, d):
     return spatial.id_anti(view(spark, d, "det").select("det_id"), view(spark, d, "parcel").select(F.col("parcel_id").alias("det_id")), "det_id")

@@ -15,6 +15,13 @@ def test_matches_sql(spark, duck, name):
     assert rows_of(got) == rows_of(want)
 
 
+def test_whole_queries_leave_no_tile_out(spark):
+    tiles = QUERIES["tta_merge_whole"](spark, f"{DATA}/sf0.001").groupBy("scene_id", "grid_i", "grid_j").count().collect()
+    scenes = {r["scene_id"] for r in tiles}
+    assert {(r["scene_id"], r["grid_i"], r["grid_j"]) for r in tiles} == {(s, i, j) for s in scenes for i in (0, 1) for j in (0, 1, 2)} and {r["count"] for r in tiles} == {256}
+    assert QUERIES["key_semi_whole"](spark, f"{DATA}/sf0.001").count() > 0
+
+
 def test_suppression_equals_the_walk(spark, duck):
     boxes = duck.sql(SQL["overlap_pairs"]).fetchall()
     rank = {i: (p, i) for i, p in duck.sql("SELECT o_orderkey, o_custkey % 5 FROM orders").fetchall()}
