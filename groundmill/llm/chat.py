@@ -23,6 +23,11 @@ class Layout:
     #: One row is one turn, and rows of a conversation are to be gathered.
     rows: bool = False
 
+    @property
+    def filled(self) -> frozenset[str]:
+        """The columns that hold a record's texts."""
+        return frozenset(p.split(".")[0].removesuffix("[]") for p in self.paths) - {self.conv_id}
+
     @property
     def fingerprint(self) -> str:
         return _digest(self.paths)
@@ -58,29 +63,52 @@ def field_paths(kind: T.DataType, at: str = "") -> list[str]:
     return [at]
 
 
+def fitting_layouts(schema: T.StructType, layouts: tuple[Layout, ...] = LAYOUTS) -> list[Layout]:
+    """The layouts whose fields the schema has, the one with most paths first; none raises ``ValueError``."""
+    paths = set(field_paths(schema))
+    fits = [x for x in layouts if x.fingerprint == _digest(paths & set(x.paths))]
+    if not fits:
+        raise ValueError(f"no layout has the fields {sorted(paths)}")
+    return sorted(fits, key=lambda x: -len(x.paths))
+
+
+def row_layout(fits: list[Layout]) -> Column:
+    """The place in ``fits`` of the layout that holds all of a row's non-null texts; a row that fits none is an error.
+
+    A row without any text goes to the first layout whose id it has.
+    """
+    every = frozenset().union(*(x.filled for x in fits))
+    none = lambda names: F.forall(F.array(*(F.col(n).isNull() for n in sorted(names))), lambda x: x) if names else F.lit(True)
+    kind = F.when(none(every), F.coalesce(*(F.when(F.col(x.conv_id).isNotNull(), i) for i, x in enumerate(fits)), F.lit(0)))
+    for i, x in enumerate(fits):
+        kind = kind.when(none(every - x.filled), i)
+    return kind.otherwise(F.raise_error(F.lit(f"a record has texts of several layouts: {[x.name for x in fits]}")).cast("int"))
+
+
 def choose_layout(schema: T.StructType, layouts: tuple[Layout, ...] = LAYOUTS) -> Layout:
     """The layout whose fingerprint is that of the schema's own paths, columns of no layout set aside.
 
     Extra columns make no difference; if several layouts fit, the one with most paths wins, and equally long
     ones are told apart by their order in ``layouts``. A schema that fits none raises ``ValueError``.
     """
-    paths = set(field_paths(schema))
-    fits = [x for x in layouts if x.fingerprint == _digest(paths & set(x.paths))]
-    if not fits:
-        raise ValueError(f"no layout has the fields {sorted(paths)}")
-    return max(fits, key=lambda x: len(x.paths))
+    return fitting_layouts(schema, layouts)[0]
 
 
 def canonical_turns(records: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """``(conv_id, turns)`` with turns ordered by number, then role, then text; null roles and texts become empty.
 
+    Where the schema has the fields of several layouts, each row is read by the one that holds its non-null texts.
     A layout of one row per turn gathers each conversation's rows, repeated rows included; rows without an id
     form one conversation. A record without turns, such as an empty or null list, is a conversation of none.
     """
-    layout = choose_layout(records.schema, layouts)
-    turns = records.selectExpr(f"CAST({layout.conv_id} AS BIGINT) AS conv_id", f"coalesce({layout.turns}, array()) AS turns")
-    if layout.rows:
-        turns = turns.groupBy("conv_id").agg(F.flatten(F.collect_list("turns")).alias("turns"))
+    fits = fitting_layouts(records.schema, layouts)
+    turns = None
+    for i, layout in enumerate(fits):
+        rows = records.where(row_layout(fits) == i) if len(fits) > 1 else records
+        part = rows.selectExpr(f"CAST({layout.conv_id} AS BIGINT) AS conv_id", f"coalesce({layout.turns}, array()) AS turns")
+        if layout.rows:
+            part = part.groupBy("conv_id").agg(F.flatten(F.collect_list("turns")).alias("turns"))
+        turns = part if turns is None else turns.unionByName(part)
     filled = F.transform("turns", lambda t: F.struct(t["turn"].alias("turn"), F.coalesce(t["role"], F.lit("")).alias("role"), F.coalesce(t["text"], F.lit("")).alias("text")))
     return turns.select("conv_id", F.array_sort(filled).alias("turns"))
 

@@ -197,6 +197,17 @@ def test_chat_layouts(spark):
         assert [(t["role"], t["text"]) for t in chat.canonical_turns(table.withColumn("more", F.lit(1))).first()["turns"]] == want
 
 
+def test_chat_rows_of_several_layouts(spark):
+    kinds = "id long, prompt string, completion string, messages array<struct<role:string,content:string>>, conv_id long, turn long, role string, text string"
+    rows = [(1, "q", "a", None, None, None, None, None), (2, None, None, [("user", "m")], None, None, None, None), (None, None, None, None, 3, 1, "assistant", "y"), (None, None, None, None, 3, 0, "user", "x"), (4, "half", None, None, None, None, None, None), (5, None, None, None, None, None, None, None)]
+    out = {r["conv_id"]: [(t["role"], t["text"]) for t in r["turns"]] for r in chat.canonical_turns(spark.createDataFrame(rows, kinds)).collect()}
+    assert {k: v for k, v in out.items() if k != 5} == {1: [("user", "q"), ("assistant", "a")], 2: [("user", "m")], 3: [("user", "x"), ("assistant", "y")], 4: [("user", "half"), ("assistant", "")]}
+    assert all(not text for _, text in out[5])
+    both = spark.createDataFrame([(1, "q", "a", [("user", "m")], None, None, None, None)], kinds)
+    with pytest.raises(Exception, match="several layouts"):
+        chat.canonical_turns(both).collect()
+
+
 def test_toxicity(spark, messy, none):
     scored = queries.queries()["op5_toxicity"](spark, f"{DATA}/sf0.01").toPandas()
     labels = spark.read.parquet(f"{DATA}/sf0.01/labels.parquet").toPandas().merge(scored, on="doc_id")
