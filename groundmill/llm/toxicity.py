@@ -110,10 +110,12 @@ def calibrate(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def fit_toxicity(docs: DataFrame, labels: DataFrame, most: int = 12_000, longest: int = 100_000, tell: float = 3.0) -> ToxicityModel | None:
     """Learn from ``labels(doc_id, toxic)``; at most ``most`` labelled documents, those of smallest hash, of at most ``longest`` bytes.
 
-    The toxic dictionary is trained on the windows whose share of toxic documents exceeds that of ordinary ones by
-    ``tell`` in log odds, each as often as it is worth, the ordinary one on windows drawn from ordinary documents; the weights are fitted on the
+    The toxic dictionary is trained on all words of two or more toxic documents whose share of toxic documents exceeds
+    that of ordinary ones by ``tell`` in log odds, each as often as it is worth, and has room for all of them; where
+    there are none, on those of any positive log odds, and else on words drawn from the toxic documents. The ordinary one is trained on windows drawn from ordinary documents; the weights are fitted on the
     window lengths of the same documents. Equal texts count once; a doc_id with several labels is toxic if any is.
     Without documents of both kinds there is no model. All that the driver gets is bounded by the parameters.
+    Words are judged one by one: a phrase of ordinary words tells nothing.
     """
     told = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     drawn = told.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
@@ -127,15 +129,18 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, most: int = 12_000, longest
     shares = word.select("doc_id", "toxic", "word").distinct().groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("o"))
     odds = F.log((F.col("t") + 0.5) / (bad + 1)) - F.log((F.col("o") + 0.5) / (good + 1))
     worth = F.col("t") * odds
-    marks = shares.where((F.col("t") >= max(2, bad // 50)) & (odds > tell)).select("word", worth.alias("worth")).orderBy(F.desc("worth"), "word").limit(500).collect()
+    told_words = lambda least: shares.where((F.col("t") >= 2) & (odds > least)).select("word", worth.alias("worth")).orderBy(F.desc("worth"), "word").collect()
+    marks = told_words(tell) or told_words(0.0)
     plain = word.where("toxic = 0").orderBy(F.xxhash64("doc_id", "place"), "doc_id", "place").limit(20_000).collect()
-    if not marks or not plain:
-        return None
     rng = np.random.default_rng(5)
-    share = 12_000 / sum(r["worth"] for r in marks)
-    telling = [r["word"].encode() for r in marks for _ in range(1 + int(r["worth"] * share))]
-    usual = [r["word"].encode() for r in plain]
-    model = ToxicityModel(train_dictionary([usual[i] for i in rng.permutation(len(usual))]), train_dictionary([telling[i] for i in rng.permutation(len(telling))]))
+    if marks:
+        share = 12_000 / sum(r["worth"] for r in marks)
+        telling = [r["word"].encode() for r in marks for _ in range(1 + int(r["worth"] * share))]
+    else:
+        telling = [r["word"].encode() for r in word.where("toxic = 1").orderBy(F.xxhash64("doc_id", "place"), "doc_id", "place").limit(20_000).collect()] or [b""]
+    usual = [r["word"].encode() for r in plain] or [b""]
+    room = max(DICTIONARY, 2 * sum(len(_framed(r["word"].encode())) for r in marks))
+    model = ToxicityModel(train_dictionary([usual[i] for i in rng.permutation(len(usual))]), train_dictionary([telling[i] for i in rng.permutation(len(telling))], room))
     rows = measured(known, model, ["toxic"]).orderBy("doc_id").collect()
     return ToxicityModel(model.ordinary, model.toxic, calibrate(np.array([r["features"] for r in rows]), np.array([float(r["toxic"]) for r in rows])))
 
@@ -155,7 +160,7 @@ def measured(docs: DataFrame, model: ToxicityModel, keep: list[str]) -> DataFram
 def score_toxicity(docs: DataFrame, model: ToxicityModel | None) -> DataFrame:
     """``docs`` with ``toxicity`` from 0 to 1 for each whole text; a null or empty text is scored as one empty window.
 
-    Without a model (no labels of both kinds, or nothing that tells them apart) every score is 0. Other columns
+    Without a model (no labels of both kinds) every score is 0. Other columns
     stay, a column ``toxicity`` of the input is replaced, and equal rows score alike.
     """
     rest = docs.drop("toxicity")

@@ -224,6 +224,20 @@ def test_toxicity(spark, messy, none):
     assert {r["toxicity"] for r in toxicity.score_toxicity(messy, None).collect()} == {0.0}
 
 
+def test_toxicity_of_many_rare_words(spark):
+    """100 words, each in 3 of 300 toxic documents, and labels of both kinds that no word tells apart."""
+    draw = np.random.default_rng(6)
+    plain = lambda: " ".join(f"word{i}" for i in draw.integers(0, 80, 12))
+    vile = [f"{chr(97 + i % 26)}{chr(120 - i // 26)}zqk{chr(97 + i * 7 % 26)}x{chr(97 + i * 11 % 26)}" for i in range(100)]
+    rows = [(i, f"{plain()} {vile[i % 100]} {plain()}", 1) for i in range(300)] + [(i, f"{plain()} {plain()}", 0) for i in range(300, 2100)]
+    some = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    fresh = spark.createDataFrame([(i, f"{plain()} {vile[i]} {plain()}" if i < 100 else f"{plain()} {plain()}", None) for i in range(300)], some.schema)
+    scored = {r["doc_id"]: r["toxicity"] >= 0.5 for r in toxicity.score_toxicity(fresh, toxicity.fit_toxicity(some, some)).collect()}
+    assert sum(scored[i] for i in range(100)) >= 90 and sum(scored[i] for i in range(100, 300)) <= 10
+    lone = spark.createDataFrame([(i, f"only{i} once{i}", i % 2) for i in range(8)], some.schema)
+    assert toxicity.fit_toxicity(lone, lone) is not None
+
+
 def vectors():
     x = rng.normal(size=(300, 8)).astype(np.float32)
     x[50:90] = x[0] + rng.normal(size=(40, 8)).astype(np.float32) * 0.15
