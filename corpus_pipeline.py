@@ -39,10 +39,11 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it. Equal rows are one row with the sum of their copies."""
-    taken = mix_sources(docs).groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")).where("copies > 0")
-    taken = taken.select(F.col("doc_id").alias("d"), F.col("source").alias("s"), F.col("size").alias("n"), "copies", "rows")
-    same = F.col("doc_id").eqNullSafe(F.col("d")) & F.col("source").eqNullSafe(F.col("s")) & (word_count(F.col("text")) == F.col("n"))
-    met = docs.select(*COLUMNS).join(taken.hint("merge"), same).drop("d", "s", "n")
+    content = F.xxhash64(*(c for n in ("text", "lang", "n_chars") for c in (F.col(n), F.col(n).isNull())))
+    taken = mix_sources(docs.withColumn("content", content), carry=("content",)).groupBy("doc_id", "source", "size", "content").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")).where("copies > 0")
+    taken = taken.select(F.col("doc_id").alias("d"), F.col("source").alias("s"), F.col("size").alias("n"), F.col("content").alias("c"), "copies", "rows")
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & F.col("source").eqNullSafe(F.col("s")) & (word_count(F.col("text")) == F.col("n")) & (content == F.col("c"))
+    met = docs.select(*COLUMNS).join(taken.hint("merge"), same).drop("d", "s", "n", "c")
     single = met.where("rows = 1").unionByName(met.where("rows > 1").dropDuplicates())
     return single.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*COLUMNS)
 

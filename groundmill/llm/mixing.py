@@ -53,8 +53,8 @@ def _same(a: DataFrame, b: DataFrame, keys: list[str]):
     return on
 
 
-def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 7) -> DataFrame:
-    """``(doc_id, source, size, source_size, target, copies)``: how often the mix takes each document.
+def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 7, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, source, size, source_size, target, copies)``: how often the mix takes each document; columns of ``carry`` come last.
 
     Every document of a source expects f = target / source_size copies. The source's documents, ordered by size,
     carry the running sum of f plus one random start, and a document is taken once for each integer that its part
@@ -64,7 +64,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: fl
     run; so the widest window holds a source's distinct sizes and a hot source costs no hot task. A null text has size 0; equal rows are interchangeable; a source of size 0 has
     target 0 and takes nothing; null is a source of its own, ordered last.
     """
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *carry)
     runs = sized.withColumn("run", F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 2), 16, 10).cast("int") % RUNS)
     groups = runs.groupBy("source", "size", "run").count()
     by_size = Window.partitionBy("source").orderBy(F.col("size").desc()).rowsBetween(Window.unboundedPreceding, -1)
@@ -74,15 +74,15 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: fl
     starts = groups.withColumn("earlier", F.coalesce(F.sum("count").over(by_run), F.lit(0))).drop("count")
     starts = starts.join(larger, _same(starts, larger, ["source", "size"])).select(starts["source"], starts["size"], "run", (F.col("larger") + F.col("earlier")).alias("before"))
     starts = starts.join(targets.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
-    inside = runs.withColumn("place", F.row_number().over(Window.partitionBy("source", "size", "run").orderBy("doc_id")))
+    inside = runs.withColumn("place", F.row_number().over(Window.partitionBy("source", "size", "run").orderBy("doc_id", *carry)))
     placed = inside.join(starts, _same(inside, starts, ["source", "size", "run"])).select(
         "doc_id", inside["source"], inside["size"], "source_size", "target",
         (F.col("before") + F.col("place")).cast("double").alias("rank"),
-        F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)).alias("rate"),
+        F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)).alias("rate"), *carry,
     )
     start = _offset(F.col("source"), seed)
     copies = F.floor(F.col("rank") * F.col("rate") + start) - F.floor((F.col("rank") - 1) * F.col("rate") + start)
-    return placed.select("doc_id", "source", "size", "source_size", "target", copies.cast("long").alias("copies"))
+    return placed.select("doc_id", "source", "size", "source_size", "target", copies.cast("long").alias("copies"), *carry)
 
 
 def op8_mixing(spark, sf_dir: str) -> DataFrame:

@@ -348,6 +348,19 @@ def test_mixing(spark, messy, none):
         assert abs(g["taken"].sum() - target) <= g["size"].max() + 1
 
 
+def test_mix_keeps_rows_of_one_id_apart(spark):
+    import corpus_pipeline as line
+
+    rows = [(None, f"x{i} a b", "en", "s", None) for i in range(30)] + [(7, f"y{i} a b", "en", "s", None) for i in range(30)] + [(8, "same a b", None, "s", None)] * 4
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    counts = defaultdict(int)
+    for r in line.mix(spark, docs, SF).collect():
+        counts[r["text"]] += 1
+    # One source of weight 3: the share of 1.5 stands, every row comes once or twice, equal rows are one text.
+    assert sum(counts.values()) == mixing.mix_sources(docs).agg(F.sum("copies")).first()[0]
+    assert len(counts) == 61 and all(n in (1, 2) for t, n in counts.items() if t != "same a b") and 4 <= counts["same a b"] <= 8
+
+
 def test_licences(spark, messy, none):
     rows = [
         ("a/LICENSE", "Released under the MIT License."), ("a/x.py", "print(1)"), ("a/b/c/y.py", "no words on it"), ("a/b/LICENSE.txt", "Licensed under the Apache License, Version 2.0"),
