@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from groundmill.plans.graph import connected_components, free, stored
 
-__all__ = ["connected_components", "free", "join_labels", "map_arrow", "ship", "slices", "sorted_groups", "stored", "word_count"]
+__all__ = ["connected_components", "free", "gathered", "join_labels", "map_arrow", "ship", "slices", "sorted_groups", "stored", "word_count"]
 
 #: Words are what lies between these characters: space, tab, line feed, vertical tab, form feed, return.
 WORD_GAP = r"[\x20\x09-\x0D]+"
@@ -39,6 +39,20 @@ def slices(batches: Iterable[pa.RecordBatch], columns: list[str], most: int = 16
             yield batch.slice(start, end - start)
 
 
+def gathered(batches: Iterable[pa.RecordBatch], column: str, least: int) -> Iterator[pa.RecordBatch]:
+    """Arrow batches joined until ``column`` holds ``least`` bytes, so that work on a block's distinct values is shared widely."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch[column].nbytes
+        if size >= least:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def sorted_groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Tables of whole groups, from batches that come sorted by ``key``; small groups share a table."""
     held: list[pa.RecordBatch] = []

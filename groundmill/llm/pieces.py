@@ -1,35 +1,45 @@
 """SentencePiece encoding and decoding as weighted finite-state transduction.
 
-Three transducers meet: the normaliser rewrites text (blanks become the piece mark, one mark is put in front), the
-piece transducer reads normalised bytes and writes piece ids, and the byte fallback writes one id per byte where no
-piece fits. Composed with one input they give a lattice, whose tropical-semiring shortest path is the encoding.
-
-For a model of merges a path is right exactly if each two neighbouring pieces would survive merging side by side
-(no merge across their border comes before those that build them); such arcs cost nothing and all others are
-absent; what reaches a position then has one last piece, so positions are states enough. For a unigram model arcs
-cost the negated piece score.
+Three transducers meet. The normaliser rewrites text (the model's character map, leftmost longest match first; blanks
+become the mark, one mark is put in front). The piece transducer is a trie over bytes: it reads the bytes of a piece and
+writes its id at the piece's cost. Byte fallback reads one character that is no piece and writes an id per byte. Composed
+with an input they give a lattice, whose arcs are pieces, and its shortest path in the tropical semiring (costs add
+along a path, the least total wins) is the encoding.
+
+For a unigram model an arc costs the negated piece score. A model of merges has a fourth machine, over pairs of pieces:
+an arc after another costs nothing if merging their characters would leave just these two, and else infinitely much.
+A state is then a position and its last piece; as merging what lies before a position ends in one way only, each
+position has one such state.
+
+A text is cut wherever no piece holds the two characters side by side, since every path has a border there; the distinct
+segments of a block of texts are composed and relaxed together, offset by offset, in arrays.
 """
 
 from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from math import inf
 
 import numpy as np
 import pyarrow as pa
-from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundmill.llm.common import map_arrow, slices
+from groundmill.llm.common import gathered, map_arrow, slices
 from groundmill.llm.repeats import lists
 
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-#: Segments whose ids a Python worker remembers, and the longest (in bytes) that it does.
-REMEMBERED, LONGEST = 300_000, 64
+#: Bytes of text that are encoded at once.
+BLOCK = 16 << 20
+#: Longer segments (in bytes) are relaxed one by one, since few others share their offsets.
+LONG = 256
+#: Slots for remembered verdicts of the pair machine.
+SLOTS = 1 << 20
+#: Stands between segments; no UTF-8 text holds it.
+GAP = 0xFF
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -90,180 +100,284 @@ class PieceModel:
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
 
-@dataclass
+def character_map(data: bytes) -> dict[str, str]:
+    """What a model's compiled character map rewrites: the strings its double-array trie accepts, with what they become."""
+    if not data:
+        return {}
+    size = int.from_bytes(data[:4], "little")
+    units, texts = np.frombuffer(data[4 : 4 + size], "<u4").tolist(), data[4 + size :]
+    found, todo = {}, [(0, b"")]
+    step = lambda at: at ^ (units[at] >> 10 << ((units[at] & 512) >> 6))
+    while todo:
+        at, read = todo.pop()
+        base = step(at)
+        for byte in range(1, 256):
+            child = base ^ byte
+            if child < len(units) and units[child] & 0x800000FF == byte:
+                if units[child] >> 8 & 1:
+                    begin = units[step(child)] & 0x7FFFFFFF
+                    found[(read + bytes([byte])).decode()] = texts[begin : texts.index(b"\0", begin)].decode()
+                todo.append((child, read + bytes([byte])))
+    return found
+
+
 class Transducer:
-    """The compiled model. ``encode`` composes a text with it and returns the shortest path's ids."""
-
-    model: PieceModel
-    ids: dict[str, int] = field(init=False)
-    longest: int = field(init=False)
-    fallback: list[int] | None = field(init=False)
-    unknown: int = field(init=False)
-    splits: bool = field(init=False)
-    fits: dict[tuple[str, str], bool] = field(default_factory=dict)
-    seen: dict[str, tuple[int, ...]] = field(default_factory=dict)
-    prefixes: set[str] = field(init=False)
-    lost: float = field(init=False)
-    written: list[bytes] = field(init=False)
-
-    def __post_init__(self):
-        m = self.model
-        if m.charsmap:
-            raise ValueError("normalisers with a character map are not compiled")
-        self.ids = {p: i for i, (p, t) in enumerate(zip(m.pieces, m.types, strict=True)) if t in (NORMAL, USER)}
-        self.longest = max(map(len, self.ids))
-        self.prefixes = {p[:k] for p in self.ids for k in range(1, len(p) + 1)}
-        found = {p: i for i, (p, t) in enumerate(zip(m.pieces, m.types, strict=True)) if t == BYTE}
-        self.fallback = [found[f"<0x{b:02X}>"] for b in range(256)] if len(found) == 256 else None
-        self.unknown = m.types.index(UNKNOWN)
-        self.lost = 10 - float(m.scores[list(self.ids.values())].min())
+    """The compiled model: normaliser, piece trie, byte fallback and, for merges, the pair machine."""
+
+    def __init__(self, model: PieceModel):
+        self.model = model
+        ids = {p.replace(MARK, " ").encode(): i for i, (p, t) in enumerate(zip(model.pieces, model.types, strict=True)) if t in (NORMAL, USER)}
+        count = len(model.pieces)
+        #: Stands for a character that is no piece.
+        self.other = count
+        self.cost = np.zeros(count + 1)
+        if model.unigram:
+            self.cost[:count] = -model.scores
+            self.cost[count] = 10 - float(model.scores[list(ids.values())].min())
+        else:
+            ids = self._compile_pairs(ids)
+        self._compile_trie(ids)
+        self.rewrites = character_map(model.charsmap)
+        self.firsts, self.widest = {k[0] for k in self.rewrites}, max(map(len, self.rewrites), default=0)
+        found = {p: i for i, (p, t) in enumerate(zip(model.pieces, model.types, strict=True)) if t == BYTE}
+        self.fallback = np.array([found[f"<0x{b:02X}>"] for b in range(256)], np.int32) if len(found) == 256 else None
+        self.unknown = model.types.index(UNKNOWN)
         text = {BYTE: lambda p: bytes([int(p[3:5], 16)]), UNKNOWN: lambda p: " \u2047 ".encode(), CONTROL: lambda p: b""}
-        self.written = [text.get(t, str.encode)(p) for p, t in zip(m.pieces, m.types, strict=True)]
-        # If a mark stands in pieces only in front (or in pieces of marks), text may be cut before each run of marks.
-        self.splits = all(MARK not in p.lstrip(MARK) for p in self.ids)
+        self.written = pa.array([text.get(t, lambda p: p.replace(MARK, " ").encode())(p) for p, t in zip(model.pieces, model.types, strict=True)], pa.large_binary())
+
+    def _compile_trie(self, ids: dict[bytes, int]) -> None:
+        """``next[state, byte]`` (0: none, 1: the root) and the piece that each state writes; and which bytes may meet inside a piece."""
+        nodes: dict[tuple[int, int], int] = {}
+        ends = [-1, -1]
+        self.meet = np.zeros((256, 256), bool)
+        for piece, i in ids.items():
+            at = 1
+            for k, byte in enumerate(piece):
+                if k and byte & 0xC0 != 0x80:
+                    self.meet[piece[k - 1], byte] = True
+                to = nodes.get((at, byte))
+                if to is None:
+                    to = nodes[at, byte] = len(ends)
+                    ends.append(-1)
+                at = to
+            ends[at] = i
+        self.next = np.zeros((len(ends), 256), np.int32)
+        self.next[tuple(np.array(list(nodes), np.int64).reshape(-1, 2).T)] = list(nodes.values())
+        self.ends = np.array(ends, np.int32)
+
+    def _compile_pairs(self, ids: dict[bytes, int]) -> dict[bytes, int]:
+        """The pair machine's tables; returns the pieces that merging can give.
+
+        ``rank`` orders merges, best first; ``left`` and ``right`` are the halves of a piece's last merge; ``pairs``
+        are the pieces that can merge, with the rank of what they become.
+        """
+        count = len(self.model.pieces)
+        _, rank = np.unique(-self.model.scores, return_inverse=True)
+        self.left, self.right, self.last_rank = np.full(count + 1, -1), np.full(count + 1, -1), np.full(count + 1, -1)
+        joins, made = {}, {}
+        for piece, i in ids.items():
+            text = piece.decode()
+            for k in range(1, len(text)):
+                a, b = ids.get(text[:k].encode()), ids.get(text[k:].encode())
+                if a is not None and b is not None:
+                    joins[a, b] = int(rank[i])
+        for piece, i in ids.items():
+            text = piece.decode()
+            halves = _last_merge([ids.get(c.encode(), -1) for c in text], joins, ids, text)
+            if len(text) == 1 or halves:
+                made[piece] = i
+            if halves:
+                self.left[i], self.right[i], self.last_rank[i] = *halves, rank[i]
+        keys = np.array([a * (count + 1) + b for a, b in joins], np.int64)
+        by = np.argsort(keys)
+        self.pair_keys, self.pair_ranks = keys[by], np.array(list(joins.values()), np.int64)[by]
+        self.known_keys, self.known = np.full(SLOTS, -1, np.int64), np.zeros(SLOTS, bool)
+        return made
+
+    def fits(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        """Whether the pair machine has an arc from each piece to the next; -1 before is a start, which fits all."""
+        keys = before.astype(np.int64) * (self.other + 1) + piece
+        slot = ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
+        fine = self.known[slot] | (before < 0)
+        new = np.flatnonzero((self.known_keys[slot] != keys) & (before >= 0))
+        if len(new):
+            fine[new] = self.stay_apart(before[new], piece[new])
+            self.known_keys[slot[new]] = keys[new]
+            self.known[slot[new]] = fine[new]
+        return fine
+
+    def stay_apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether merging the characters of a and b gives a and b again.
+
+        Merges are undone from the last one back, on the right flank of a and the left flank of b. The border was
+        crossed if what then touches it could merge before the merge just undone; of equal ranks the left one is first.
+        """
+        out, live = np.ones(len(a), bool), np.arange(len(a))
+        a, b, limit = a.astype(np.int64), b.astype(np.int64), np.full(len(a), np.iinfo(np.int64).max)
+        while len(live):
+            keys = a * (self.other + 1) + b
+            at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+            crossed = (self.pair_keys[at] == keys) & (2 * self.pair_ranks[at] < limit)
+            out[live[crossed]] = False
+            of_a, of_b = self.last_rank[a], self.last_rank[b]
+            on = ~crossed & ((of_a >= 0) | (of_b >= 0))
+            live, a, b, of_a, of_b = live[on], a[on], b[on], of_a[on], of_b[on]
+            first = of_a > of_b
+            limit = np.where(first, 2 * of_a, 2 * of_b + 1)
+            a, b = np.where(first, self.right[a], a), np.where(first, b, self.left[b])
+        return out
 
-    def normalise(self, text: str) -> str:
+    def normalise(self, text: str) -> bytes:
+        if self.rewrites and not self.firsts.isdisjoint(text):
+            out, at = [], 0
+            while at < len(text):
+                reach = next((k for k in range(min(self.widest, len(text) - at), 0, -1) if text[at : at + k] in self.rewrites), 0) if text[at] in self.firsts else 0
+                out.append(self.rewrites[text[at : at + reach]] if reach else text[at])
+                at += reach or 1
+            text = "".join(out)
+        text = text.replace(MARK, " ")
         if self.model.squeeze:
             text = " ".join(x for x in text.split(" ") if x)
-        text = text.replace(" ", MARK)
-        return MARK + text if self.model.dummy_prefix and text else text
-
-    def _merged(self, text: str) -> list[str]:
-        """The pieces left when the best-scored neighbours merge as long as any do; leftmost first among equals."""
-        part = list(text)
-        after, before = list(range(1, len(part) + 1)), list(range(-1, len(part) - 1))
-        score = self.model.scores
-        queue = []
-
-        def offer(i: int) -> None:
-            j = after[i]
-            if j < len(part) and (k := self.ids.get(part[i] + part[j])) is not None:
-                heapq.heappush(queue, (-score[k], i, part[i], part[j]))
-
-        for i in range(len(part) - 1):
-            offer(i)
-        while queue:
-            _, i, a, b = heapq.heappop(queue)
-            j = after[i] if part[i] == a else len(part)
-            if j >= len(part) or part[j] != b or not a:
-                continue
-            part[i], part[j] = a + b, ""
-            after[i] = after[j]
-            if after[j] < len(part):
-                before[after[j]] = i
-            if before[i] >= 0:
-                offer(before[i])
-            offer(i)
-        return [p for p in part if p]
-
-    def _fit(self, a: str, b: str) -> bool:
-        """Whether the arc from piece a to piece b exists: merging their characters gives a and b again."""
-        key = (a, b)
-        if key not in self.fits:
-            if len(self.fits) > 3 * REMEMBERED:
-                self.fits.clear()
-            self.fits[key] = self._merged(a + b) == [a, b]
-        return self.fits[key]
-
-    def _arcs(self, text: str, at: int) -> Iterator[str]:
-        """Pieces that start at a position; one character alone if it is no piece, for the fallback."""
-        yield text[at]
-        for end in range(at + 2, min(at + self.longest, len(text)) + 1):
-            piece = text[at:end]
-            if piece not in self.prefixes:
-                return
-            if piece in self.ids:
-                yield piece
-
-    def _path(self, text: str) -> list[str]:
-        """The shortest path of a composed segment, position by position.
-
-        One state per position does: for merges no two paths reach a position, since what comes before it can be
-        merged in one way only.
-        """
-        if not self.model.unigram:
-            return self._only_path(text)
-        cost, last = [0.0, *[inf] * len(text)], [""] * (len(text) + 1)
-        for at in range(len(text)):
-            for piece in self._arcs(text, at):
-                total = cost[at] + (-self.model.scores[self.ids[piece]] if piece in self.ids else self.lost)
-                if total < cost[at + len(piece)]:
-                    cost[at + len(piece)], last[at + len(piece)] = total, piece
-        return self._back(last)
-
-    def _only_path(self, text: str) -> list[str]:
-        """The path whose arcs all cost nothing. An end that is reached needs no second arc, and longer pieces come first."""
-        size, ids, prefixes, fits, longest = len(text), self.ids, self.prefixes, self.fits, self.longest
-        last = [""] * (size + 1)
-        for at in range(size):
-            before = last[at]
-            if at and not before:
-                continue
-            for end in range(at + 1, min(at + longest, size) + 1):
-                piece = text[at:end]
-                if end > at + 1:
-                    if piece not in prefixes:
-                        break
-                    if piece not in ids:
+        return (" " + text if self.model.dummy_prefix and text else text).encode()
+
+    def _lattice(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(start, length, piece)`` of every arc that the text, with a GAP after each segment, has in the composed machine."""
+        border = np.flatnonzero(text & 0xC0 != 0x80)
+        inner = text[border] != GAP
+        chars, width = border[inner], np.diff(np.append(border, len(text)))[inner]
+        lone = np.zeros(len(text), bool)
+        at, wide, state, k, found = chars, width, np.ones(len(chars), np.int32), 0, []
+        while len(at):
+            state = self.next[state, text[at + k]]
+            on = np.flatnonzero(state)
+            at, wide, state, k = at[on], wide[on], state[on], k + 1
+            piece = self.ends[state]
+            ends = np.flatnonzero(piece >= 0)
+            lone[at[ends[wide[ends] == k]]] = True
+            found.append((at[ends], np.full(len(ends), k), piece[ends]))
+        rest = ~lone[chars]
+        found.append((chars[rest], width[rest], np.full(rest.sum(), self.other)))
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+    def _paths(self, segments: list[bytes] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids, ends)``: ids of the shortest paths of all segments, one after another, and where each one's end."""
+        sizes = np.array([len(x) for x in segments]) if isinstance(segments, list) else np.diff(np.frombuffer(segments.buffers()[1], np.int32, len(segments) + 1, 4 * segments.offset))
+        data = np.frombuffer(b"".join(segments if isinstance(segments, list) else segments.to_pylist()), np.uint8)
+        number = np.repeat(np.arange(len(sizes)), sizes)
+        text = np.full(len(data) + len(sizes), GAP, np.uint8)
+        text[np.arange(len(data)) + number] = data
+        begins = np.cumsum(sizes + 1) - sizes - 1
+        start, length, piece = self._lattice(text)
+        owner = np.repeat(np.arange(len(sizes)), sizes + 1)[start]
+        offset = start - begins[owner]
+        cost, last, step = np.full(len(text), inf), np.full(len(text), -1), np.zeros(len(text), np.int64)
+        cost[begins] = 0.0
+        slow = sizes[owner] > LONG
+        by = np.flatnonzero(~slow)[np.argsort(offset[~slow].astype(np.uint16), kind="stable")]
+        bounds = np.searchsorted(offset[by], np.arange(offset[by[-1]] + 2)) if len(by) else []
+        for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):  # arcs that leave one offset of every segment
+            arcs = by[lo:hi]
+            s, e, p = start[arcs], start[arcs] + length[arcs], piece[arcs]
+            total = cost[s] + self.cost[p]
+            better = np.flatnonzero(total < cost[e])
+            if not self.model.unigram:
+                better = better[self.fits(last[s[better]], p[better])]
+            e = e[better]
+            cost[e], last[e], step[e] = total[better], p[better], length[arcs[better]]
+        if slow.any():
+            self._relax(start[slow], length[slow], piece[slow], cost, last, step)
+        at, path = begins + sizes, np.zeros(len(text), bool)
+        at = at[sizes > 0]
+        while len(at):
+            path[at] = True
+            at = at - step[at]
+            at = at[step[at] > 0]
+        ends = np.flatnonzero(path)
+        chosen, took = last[ends], step[ends]
+        if self.fallback is None:
+            ids, times = np.where(chosen == self.other, self.unknown, chosen), np.ones(len(ends), np.int64)
+        else:
+            times = np.where(chosen == self.other, took, 1)
+            ids = np.repeat(chosen, times)
+            inner = np.arange(len(ids)) - np.repeat(np.cumsum(times) - times, times)
+            spelt = ids == self.other
+            ids[spelt] = self.fallback[text[(np.repeat(ends - took, times) + inner)[spelt]]]
+        bounds = np.concatenate([[0], np.cumsum(times)])
+        return ids.astype(np.int32), bounds[np.searchsorted(ends, begins + sizes, "right")]
+
+    def _relax(self, start: np.ndarray, length: np.ndarray, piece: np.ndarray, cost: np.ndarray, last: np.ndarray, step: np.ndarray) -> None:
+        """The same relaxation, arc by arc, for long segments."""
+        by = np.argsort(start, kind="stable")
+        far: dict[int, float] = {}
+        came: dict[int, tuple[int, int]] = {}
+        fine: dict[tuple[int, int], bool] = {}
+        for s, n, p in zip(start[by].tolist(), length[by].tolist(), piece[by].tolist(), strict=True):
+            here = far.get(s, 0.0 if cost[s] == 0.0 else inf)
+            total = here + self.cost[p]
+            if total < far.get(s + n, inf):
+                before = came.get(s, (-1, 0))[0]
+                if not self.model.unigram and before >= 0:
+                    if (before, p) not in fine:
+                        fine[before, p] = bool(self.fits(np.array([before]), np.array([p]))[0])
+                    if not fine[before, p]:
                         continue
-                if not last[end]:
-                    fine = not before or fits.get((before, piece))
-                    if fine or fine is None and self._fit(before, piece):
-                        last[end] = piece
-        return self._back(last) if last[size] else self._merged(text)  # without a path the merges themselves decide
-
-    @staticmethod
-    def _back(last: list[str]) -> list[str]:
-        out, at = [], len(last) - 1
-        while at:
-            out.append(last[at])
-            at -= len(last[at])
-        return out[::-1]
-
-    def _segment(self, text: str) -> tuple[int, ...]:
-        known = self.seen.get(text)
-        if known is None:
-            known = []
-            for piece in self._path(text):
-                if piece in self.ids:
-                    known.append(self.ids[piece])
-                elif self.fallback:
-                    known += [self.fallback[b] for b in piece.encode()]
-                elif not known or known[-1] != self.unknown:
-                    known.append(self.unknown)
-            known = tuple(known)
-            if len(text) <= LONGEST:
-                if len(self.seen) > REMEMBERED:
-                    self.seen.clear()
-                self.seen[text] = known
-        return known
+                far[s + n], came[s + n] = total, (p, n)
+        at = np.fromiter(came, np.int64, len(came))
+        last[at], step[at] = np.array(list(came.values()), np.int64).reshape(-1, 2).T
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text. Equal segments of the texts are composed once."""
+        normal = [self.normalise(t) for t in texts]
+        sizes = np.array([len(t) for t in normal], np.int64)
+        data = np.frombuffer(b"".join(normal), np.uint8)
+        if not len(data):
+            return [np.zeros(0, np.int32) for _ in texts]
+        cut = np.ones(len(data), bool)
+        cut[1:] = ~self.meet[data[:-1], data[1:]] & (data[1:] & 0xC0 != 0x80)
+        begins = np.cumsum(sizes) - sizes
+        cut[begins[sizes > 0]] = True
+        at = np.append(np.flatnonzero(cut), len(data)).astype(np.int32)
+        pieces = pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(data)]).dictionary_encode()
+        ids, ends = self._paths(pieces.dictionary)
+        which = pieces.indices.to_numpy()
+        starts = np.concatenate([[0], ends])[which]
+        counts = ends[which] - starts
+        done = np.cumsum(counts)
+        flat = ids[np.repeat(starts - (done - counts), counts) + np.arange(done[-1])]
+        until = np.concatenate([[0], done])[np.searchsorted(at[:-1], begins + sizes)]
+        found = np.split(flat, until[:-1])
+        if self.fallback is None:  # neighbours that are no pieces share one id
+            found = [f[np.append(True, (f[1:] != self.unknown) | (f[:-1] != self.unknown))[: len(f)]] for f in found]
+        return found
 
     def encode(self, text: str) -> list[int]:
-        """Ids of a text. Segments start at each run of marks, where no piece can reach across."""
-        text = self.normalise(text)
-        if not self.splits:
-            return list(self._segment(text)) if text else []
-        out: list[int] = []
-        for i, word in enumerate(text.split(MARK)):
-            # A run of marks makes empty words; they go in front of the word that ends the run.
-            if i == 0:
-                if word:
-                    out += self._segment(word)
-                run = 1
-            elif word:
-                out += self._segment(MARK * run + word)
-                run = 1
-            else:
-                run += 1
-        if run > 1:
-            out += self._segment(MARK * (run - 1))
-        return out
+        return self.encode_all([text])[0].tolist()
+
+    def decode_all(self, ids: list[np.ndarray]) -> list[str]:
+        """The text of each list of ids: the transducer read backwards. Ids of control pieces write nothing."""
+        wrote = self.written.take(pa.array(np.concatenate([*ids, np.zeros(0, np.int32)]), pa.int32()))
+        at = np.frombuffer(wrote.buffers()[1], np.int64, len(wrote) + 1)[np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int64)] if len(wrote) else np.zeros(len(ids) + 1, np.int64)
+        data = wrote.buffers()[2].to_pybytes() if len(wrote) else b""
+        out = [data[a:b].decode("utf-8", "replace") for a, b in zip(at[:-1], at[1:], strict=True)]
+        return [t[1:] if self.model.dummy_prefix and t.startswith(" ") else t for t in out]
 
     def decode(self, ids: list[int]) -> str:
-        """The text of ids: the transducer read backwards. Ids of control pieces write nothing."""
-        out = b"".join([self.written[i] for i in ids])
-        text = out.decode("utf-8", "replace").replace(MARK, " ")
-        return text[1:] if self.model.dummy_prefix and text.startswith(" ") else text
+        return self.decode_all([np.array(ids, np.int32)])[0]
+
+
+def _last_merge(part: list[int], joins: dict[tuple[int, int], int], ids: dict[bytes, int], text: str) -> tuple[int, int] | None:
+    """The halves of the merge that completes ``text`` when its best-ranked neighbours merge, leftmost first; None if they do not."""
+    spans = [(k, k + 1) for k in range(len(part))]
+    while len(part) > 1:
+        ranks = [joins.get(pair, inf) for pair in zip(part, part[1:], strict=False)]
+        k = min(range(len(ranks)), key=ranks.__getitem__)
+        if ranks[k] == inf:
+            return None
+        if len(part) == 2:
+            return part[0], part[1]
+        spans[k : k + 2] = [(spans[k][0], spans[k + 1][1])]
+        part[k : k + 2] = [ids[text[slice(*spans[k])].encode()]]
+    return None
 
 
 _compiled: dict[int, Transducer] = {}
@@ -295,10 +409,10 @@ def encode_pieces(docs: DataFrame, model: bytes) -> DataFrame:
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = compiled(shared.value)
-        for batch in batches:
-            for part in slices([pa.RecordBatch.from_arrays([*batch.columns, batch["text"].cast(pa.large_binary())], [*names, "weight of text"])], ["weight of text"], 8 << 20):
-                found = [np.array(machine.encode(t.as_py() or ""), np.int32) for t in part["text"]]
-                back = pa.array([machine.decode(i.tolist()) for i in found], pa.string())
+        for batch in gathered(batches, "text", BLOCK):
+            for part in slices([pa.RecordBatch.from_arrays([*batch.columns, batch["text"].cast(pa.large_binary())], [*names, "weight of text"])], ["weight of text"], BLOCK):
+                found = machine.encode_all([t or "" for t in part["text"].to_pylist()])
+                back = pa.array(machine.decode_all(found), pa.string())
                 yield pa.RecordBatch.from_arrays([*(part[c] for c in names), lists(found, pa.int32()), back], [*names, "ids", "decoded"])
 
     return map_arrow(rest, body, f"{schema},ids:array<int>,decoded:string")

@@ -331,6 +331,53 @@ def test_pieces_equal_the_library(documents):
             assert machine.decode(ids) == text
 
 
+def field(number, value):
+    """One protobuf field: a number, bytes, or a float of four bytes."""
+    def number_of(n):
+        return bytes([n]) if n < 128 else bytes([n & 127 | 128]) + number_of(n >> 7)
+
+    if isinstance(value, int):
+        return number_of(number << 3) + number_of(value)
+    return number_of(number << 3 | 5) + np.float32(value).tobytes() if isinstance(value, float) else number_of(number << 3 | 2) + number_of(len(value)) + value
+
+
+def made_model(found, kind, charsmap=b"", fallback=True):
+    """A model file of the given (piece, score) pairs; kind 1: unigram, 2: merges."""
+    rows = [("<unk>", 0.0, 2), *(found if not fallback else [*((f"<0x{b:02X}>", 0.0, 6) for b in range(256)), *found])]
+    out = b"".join(field(1, field(1, p.encode()) + field(2, float(s)) + field(3, t)) for p, s, t in rows)
+    return out + field(2, field(3, kind) + field(35, int(fallback))) + field(3, field(1, b"own") + field(2, charsmap) + field(3, 1) + field(4, 0) + field(5, 1))
+
+
+@pytest.mark.parametrize("fallback", [True, False])
+def test_unigram_and_merge_models_equal_the_library(fallback):
+    sentencepiece = pytest.importorskip("sentencepiece")
+    draw = np.random.default_rng(8)
+    texts = ["".join(draw.choice(list("abcde  é漢"), n)) for n in (1, 2, 5, 40, 40, 80, 300, 900)]
+    for kind in (1, 2):
+        pieces_of = dict.fromkeys("▁abcdé")
+        while len(pieces_of) < 150:  # each new piece joins two, so merges reach all
+            a, b = draw.choice(list(pieces_of), 2)
+            if "▁" not in b and len(a + b) < 9:
+                pieces_of.setdefault(a + b)
+        scores = -np.arange(len(pieces_of)) if kind == 2 else -draw.uniform(1, 9, len(pieces_of))
+        data = made_model([(p, float(s), 1) for p, s in zip(pieces_of, scores, strict=True)], kind, fallback=fallback)
+        other = sentencepiece.SentencePieceProcessor(model_proto=data)
+        machine = pieces.compiled(data)
+        for text, ids in zip(texts, machine.encode_all(texts), strict=True):
+            assert ids.tolist() == other.encode(text), (kind, text)
+
+
+def test_character_maps_equal_the_library():
+    sentencepiece = pytest.importorskip("sentencepiece")
+    if not hasattr(sentencepiece, "SentencePieceNormalizer"):
+        pytest.skip("the library has no normaliser of its own")
+    made = sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc", add_dummy_prefix=True, escape_whitespaces=True, remove_extra_whitespaces=False)
+    normal = dict(pieces._fields(dict(pieces._fields(made.serialized_model_proto()))[3]))
+    machine = pieces.compiled(made_model([(c, -1.0, 1) for c in "▁abc"], 2, normal[2]))
+    for text in ["ａｂｃ １２", "ﬁne\u00a0x", "e\u0301 \u2460 ㌔ \t a\u200b b", "한글 가", "plain", ""]:
+        assert machine.normalise(text).decode().replace(" ", "▁") == made.normalize(text)
+
+
 def test_pieces_on_awkward_rows(messy, none):
     out = pieces.encode_pieces(messy.withColumn("ids", F.lit(1)), pieces.model_bytes())
     assert out.where(F.col("decoded") == F.coalesce("text", F.lit(""))).count() == len(awkward())
