@@ -62,6 +62,16 @@ def free(*tables: DataFrame) -> None:
         _delete(table.sparkSession, _paths.pop(table))
 
 
+def split_join(rows: DataFrame, totals: DataFrame, on: list[str]) -> DataFrame:
+    """Inner join of ``rows`` with ``totals``, an aggregate of them by ``on``, that Spark can split where a key is hot.
+
+    Joined on ``on`` alone the aggregate's partitions would serve the join as well, and Spark never splits such a join.
+    A hash of the keys as one more of them gives both sides an exchange of their own, which AQE's skew join can split.
+    """
+    salt = F.xxhash64(*on)
+    return rows.withColumn("_salt", salt).join(totals.withColumn("_salt", salt).hint("merge"), [*on, "_salt"]).drop("_salt")
+
+
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """``(node, component)`` for every node of ``edges(a, b)``; a component is named after its smallest node.
 
@@ -78,10 +88,11 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         mark = state
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("w")).select("u", F.least("u", "w").alias("w"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("w").alias("v")).distinct()
+        large = split_join(both, least, ["u"]).where("v > u").select(F.col("v").alias("u"), F.col("w").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("w"))
-        small = large.join(low, "u").where("v > w").select(F.col("v").alias("u"), F.col("w").alias("v"))
-        now = stored(small.unionByName(low.select("u", F.col("w").alias("v"))).distinct())
+        small = split_join(large, low, ["u"]).where("v > w").select(F.col("v").alias("u"), F.col("w").alias("v"))
+        before, now = now, stored(small.unionByName(low.select("u", F.col("w").alias("v"))).distinct())
+        free(before)
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     roots = now.select(F.col("v").alias("node")).distinct()
