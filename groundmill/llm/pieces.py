@@ -33,7 +33,7 @@ from groundmill.llm.repeats import lists
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Bytes of text that are encoded at once.
-BLOCK = 16 << 20
+BLOCK = 4 << 20
 #: Longer segments (in bytes) are relaxed one by one, since few others share their offsets.
 LONG = 256
 #: Slots for remembered verdicts of the pair machine.
