@@ -12,9 +12,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundmill.plans.graph import connected_components, free, stored
+from groundmill.plans.graph import connected_components, free, split_join, stored
 
-__all__ = ["connected_components", "free", "gathered", "join_labels", "map_arrow", "ship", "slices", "sorted_groups", "stored", "word_count"]
+__all__ = ["connected_components", "free", "gathered", "join_labels", "map_arrow", "ship", "slices", "sorted_groups", "split_join", "stored", "word_count"]
 
 #: Words are what lies between these characters: space, tab, line feed, vertical tab, form feed, return.
 WORD_GAP = r"[\x20\x09-\x0D]+"

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from groundmill.llm.common import free, map_arrow, slices, stored
+from groundmill.llm.common import free, map_arrow, slices, split_join, stored
 
 BASE, OTHER_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 #: Positions are held in 24 bits beside 40 bits of hash; longer texts are taken in pieces.
@@ -123,7 +123,7 @@ def live_places(first: DataFrame, across: bool) -> DataFrame:
     for k in range(SLICES):
         some = seen.where(F.pmod("anchor", F.lit(SLICES)) == k)
         live = some.groupBy("anchor").agg(twice.alias("twice")).where("twice").select("anchor")
-        found.append(stored(some.join(live.hint("merge"), "anchor").select("doc_id", "part", "place")))
+        found.append(stored(split_join(some, live, ["anchor"]).select("doc_id", "part", "place")))
     every = reduce(DataFrame.unionByName, found)
     out = stored(every.groupBy("doc_id", "part").agg(F.collect_list("place").alias("live")))
     free(*found)

@@ -73,13 +73,16 @@ def sort_suffixes(text: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarra
         wide = int(ranks.max()) + 2
         classes = [tied[starts[tied] % PERIOD == r] for r in range(PERIOD)]
         key = lambda of, d: group[of] * wide + ranks[starts[of] + d]
-        classes = [c[np.argsort(key(c, _shift(r, r)), kind="stable")] for r, c in enumerate(classes)]
+        classes = [c[np.argsort(key(c, _shift(r, r)))] for r, c in enumerate(classes)]
+        keys = {(r, d): key(c, d) for r, c in enumerate(classes) for d in {_shift(r, s) for s in range(PERIOD)}}
+        lows = [group[c] * wide for c in classes]
         for r, mine in enumerate(classes):
             for s, other in enumerate(classes):
-                d = _shift(r, s)
-                others = np.maximum.accumulate(key(other, d)) if len(other) else np.zeros(0, np.int64)
-                place[mine] += np.searchsorted(others, key(mine, d)) - np.searchsorted(others, group[mine] * wide)
-    return np.argsort(place, kind="stable")
+                if len(mine) and len(other):
+                    d = _shift(r, s)
+                    others = np.maximum.accumulate(keys[s, d])
+                    place[mine] += np.searchsorted(others, keys[r, d]) - np.searchsorted(others, lows[r])
+    return np.argsort(place)
 
 
 def repeated(text: np.ndarray, starts: np.ndarray, order: np.ndarray, window: int) -> np.ndarray:
