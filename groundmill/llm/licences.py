@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from groundmill.llm.common import stored
 
-# Short notices of common licences, as their publishers word them.
+# Notices, headers and title blocks of common licences, as their publishers word them.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
@@ -19,7 +19,23 @@ TEMPLATES = (
     ("MIT", "Released under the MIT License"),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at'),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("MIT", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:'),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
+#: What stands between paragraphs: lines without terms.
+BREAK = r"\n(?:[^A-Za-z0-9\n]*\n)+"
 TERM = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 #: Terms that a line must share with one template before it is scored; shorter templates need all of theirs.
 SHARED = 3
@@ -41,9 +57,9 @@ def template_terms(spark: SparkSession, templates=TEMPLATES) -> dict[int, dict[s
 
 
 def line_terms(files: DataFrame) -> DataFrame:
-    """``(path, lines)``: the terms of each line; texts are cut once, as no term crosses a line's end."""
-    lines = F.split(F.coalesce("text", F.lit("")), "\r?\n")
-    return files.select("path", F.transform(lines, terms).alias("lines"))
+    """``(path, paragraphs, lines)``: the terms of each line, by paragraph and in one row; texts are cut once, as no term crosses a line's end."""
+    paragraphs = F.transform(F.split(F.coalesce("text", F.lit("")), BREAK), lambda p: F.transform(F.split(p, "\n"), terms))
+    return files.select("path", paragraphs.alias("paragraphs")).select("path", "paragraphs", F.flatten("paragraphs").alias("lines"))
 
 
 def squared(found: Column, weights: dict[str, float]) -> Column:
@@ -52,18 +68,32 @@ def squared(found: Column, weights: dict[str, float]) -> Column:
     return F.aggregate(found, F.lit(0.0), lambda acc, t: acc + F.coalesce(F.try_element_at(table, t), F.lit(0.0)))
 
 
+def telling_terms(counts: dict[int, dict[str, int]], idf: dict[str, float], least: float) -> list[str]:
+    """Terms of which a unit must hold one to reach ``least``: without a template's heaviest ones its other terms carry too little."""
+    found = set()
+    for terms_of in counts.values():
+        shares = sorted((n * idf[t]) ** 2 for t, n in terms_of.items())
+        weak = 0.0
+        for t in sorted(terms_of, key=lambda t: terms_of[t] * idf[t]):
+            weak += (terms_of[t] * idf[t]) ** 2
+            if weak >= least * least * sum(shares) - 1e-6:
+                found.add(t)
+    return sorted(found)
+
+
 def candidate_units(split: DataFrame, counts: dict[int, dict[str, int]], idf: dict[str, float], usual: list[str], floor: float, least: float) -> DataFrame:
-    """``(path, unit, terms)``: lines, and whole files as unit -1, that can reach cosine ``least`` with some template.
+    """``(path, unit, terms)``: lines, paragraphs and whole files, numbered in one row, that can reach cosine ``least`` with some template.
 
     By Cauchy-Schwarz a cosine is at most the share of the template's length that lies on common terms, and at most
     the share of the unit's length that lies on the templates' terms. Each other distinct term adds ``floor`` squared
     or more, the square of the least idf of all terms beside ``usual``; those of ``usual`` may add nothing. Both
     bounds are taken inside the row, so texts that no template resembles are never exploded by term.
     """
-    several = F.size("lines") > 1
-    units = F.when(several, F.concat("lines", F.array(F.flatten("lines")))).otherwise(F.col("lines"))
-    rows = split.select("path", F.size("lines").alias("n"), F.posexplode(units).alias("unit", "terms"))
-    rows = rows.select("path", F.when(F.col("unit") == F.col("n"), -1).otherwise(F.col("unit")).alias("unit"), "terms", F.filter("terms", lambda t: t.isin(sorted(idf))).alias("known"))
+    longer = F.transform(F.filter("paragraphs", lambda p: F.size(p) > 1), F.flatten)
+    whole = F.when(F.size("paragraphs") > 1, F.array(F.flatten("lines"))).otherwise(F.array().cast("array<array<string>>"))
+    told = telling_terms(counts, idf, least)
+    rows = split.select("path", F.posexplode(F.concat("lines", longer, whole)).alias("unit", "terms")).where(F.exists("terms", lambda t: t.isin(told)))
+    rows = rows.withColumn("known", F.filter("terms", lambda t: t.isin(sorted(idf))))
     rows = rows.withColumn("shared", F.array_distinct("known")).where(F.size("shared") >= min(SHARED, *(len(t) for t in counts.values())))
     near = F.lit(False)
     for terms_of in counts.values():
@@ -86,9 +116,9 @@ def find_licences(files: DataFrame, templates=TEMPLATES, least: float = 0.75) ->
     """``(path, licence, similarity)``: the best template of each file that has one at cosine ``least`` or more.
 
     A term weighs count * idf; idf = ln((1 + lines) / (1 + lines with the term)) over all lines of all files, for
-    every term of the corpus; the table of counts stays distributed. Lines, and files as a whole, that share at
-    least SHARED terms with a template are scored; ties go to the first template. Null and empty texts have no
-    licence; rows without path are left out; repeated paths act as one file.
+    every term of the corpus; the table of counts stays distributed. Lines, paragraphs (lines up to one without
+    terms) and files as a whole that share at least SHARED terms with a template are scored; ties go to the first
+    template. Null and empty texts have no licence; rows without path are left out; repeated paths act as one file.
     """
     spark = files.sparkSession
     counts = template_terms(spark, templates)
@@ -104,7 +134,7 @@ def find_licences(files: DataFrame, templates=TEMPLATES, least: float = 0.75) ->
     floor = lines - math.log(1.0 + top[-1]["count"]) if len(top) > USUAL else lines
     weights = [(i, templates[i][0], t, n * idf[t], math.sqrt(sum((m * idf[u]) ** 2 for u, m in of.items())), len(of)) for i, of in counts.items() for t, n in of.items()]
     vectors = spark.createDataFrame(weights, "template int, licence string, term string, w double, norm double, distinct_terms int")
-    likely = candidate_units(split, counts, idf, list(usual), floor, least)
+    likely = stored(candidate_units(split, counts, idf, list(usual), floor, least))
     counted = stored(likely.select("path", "unit", F.explode("terms").alias("term")).groupBy("path", "unit", "term").agg(F.count("*").alias("tf")))
     # Terms on very many lines take their idf from a broadcast table of fixed size, so that none makes a hot task.
     often = F.broadcast(spark.createDataFrame(sorted({**idf, **usual}.items()), "term string, idf double"))
@@ -145,7 +175,10 @@ def inherit_licences(files: DataFrame, found: DataFrame, names: str = r"(?i)^(li
 
 
 def op1_license_scan(spark, sf_dir: str) -> DataFrame:
-    """Documents as files of a tree: source / language / hundred of ids; each tenth document is its folder's licence file."""
+    """Documents as files of a tree: source / language / hundred of ids; each tenth document is its folder's licence file.
+
+    A row without doc_id has no path and no result.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), F.floor(F.col("doc_id") / 100).cast("string"))
     name = F.concat(F.when(F.col("doc_id") % 10 == 0, F.lit("LICENSE.")).otherwise(F.lit("doc.")), F.col("doc_id").cast("string"))
