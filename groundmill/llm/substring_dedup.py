@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 from groundmill.llm import repeats
-from groundmill.llm.common import WORD_GAP, WORD_GAP_CHARS, map_arrow, slices, stored
+from groundmill.llm.common import WORD_GAP, WORD_GAP_CHARS, map_arrow, slices, split_join, stored
 
 
 def word_units(text: bytes) -> np.ndarray:
@@ -52,7 +52,7 @@ def repeated_words(docs: DataFrame, window: int = 50, gram: int = 8) -> DataFram
     found = stored(map_arrow(texts, body, "doc_id long, part int, hashes array<long>, checks array<int>, starts array<int>"))
     windows = found.select("doc_id", "part", F.explode(F.arrays_zip("hashes", "checks", "starts")).alias("x")).select("doc_id", "part", F.col("x.hashes").alias("hash"), F.col("x.checks").alias("check"), F.col("x.starts").alias("start"))
     counted = windows.groupBy("hash", "check").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
-    again = windows.join(counted, ["hash", "check"]).where("doc_id > least")
+    again = split_join(windows, counted, ["hash", "check"]).where("doc_id > least")
     spans = again.select("doc_id", "part", F.col("start").cast("long").alias("start"), (F.col("start") + window).cast("long").alias("end"))
     whole = later.select("doc_id", "part", F.lit(0).cast("long").alias("start"), F.lit(1 << 40).cast("long").alias("end"))
     return stored(repeats.merged(spans.unionByName(whole)))
