@@ -13,7 +13,7 @@ from groundmill.llm.common import connected_components, join_labels, map_arrow,
 from groundmill.llm.vectors import matrix, sample, usable, width_of
 
 #: At most this many pivots, chosen from at most PIVOT_SAMPLE vectors; vectors a cell should hold; rows of a block.
-PIVOTS, PIVOT_SAMPLE, CELL, BLOCK = 512, 8192, 4096, 4096
+PIVOTS, PIVOT_SAMPLE, CELL, BLOCK = 512, 8192, 8192, 8192
 EMPTY = np.zeros(0, np.int64)
 
 
@@ -33,11 +33,15 @@ def cells_of(unit: np.ndarray, pivots: np.ndarray, radius: float) -> tuple[np.nd
 
     A vector's home is its nearest pivot. If y lives with pivot q and x is within ``radius`` of y, then
     d(x, q) <= d(x, p) + 2 * radius for every pivot p, x's own included, by the triangle inequality twice; so x goes
-    to every cell q for which that holds. Of two cells the pair is found in the earlier one only.
+    to every cell q for which that holds. As y is no nearer to p than to q, x is also at most ``radius`` beyond the
+    plane half-way between the two: d(x, q)^2 - d(x, p)^2 <= 2 * radius * d(p, q). Of two cells the pair is found in
+    the earlier one only.
     """
     away = np.sqrt(np.maximum(2 - 2 * unit @ pivots.T, 0))
     home = away.argmin(axis=1)
     visit = away <= away.min(axis=1)[:, None] + 2 * radius + 1e-9
+    between = np.sqrt(np.maximum(2 - 2 * pivots @ pivots.T, 0))
+    visit &= away**2 - away.min(axis=1)[:, None] ** 2 <= 2 * radius * between[home] + 1e-6
     row, cell = np.nonzero(visit & (np.arange(len(pivots)) < home[:, None]))
     return home, row, cell
 
@@ -54,8 +58,8 @@ def _compare(table: pa.Table, width: int, cosine: float) -> pa.RecordBatch:
     for lo, hi in zip(starts, starts[1:], strict=False):
         at = np.arange(lo, hi)
         left, right = at[side[lo:hi] != 1], at[side[lo:hi] != 0]  # side 2: both, a block against itself
-        for cut in range(0, len(left), 1024):
-            a = left[cut : cut + 1024]
+        for cut in range(0, len(left), 512):
+            a = left[cut : cut + 512]
             near = vectors[a] @ vectors[right].T >= cosine * length[a][:, None] * length[right]
             near &= rep[a][:, None] != rep[right]
             i, j = np.nonzero(near)
