@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,16 +74,28 @@ def fitting_layouts(schema: T.StructType, layouts: tuple[Layout, ...] = LAYOUTS)
 
 
 def row_layout(fits: list[Layout]) -> Column:
-    """The place in ``fits`` of the layout that holds all of a row's non-null texts; a row that fits none is an error.
+    """The place in ``fits`` of the layout that a row's fingerprint selects; a row that fits none is an error.
 
+    A row's fingerprint is the hash of the nested paths below its non-null fields. Each layout stands under the
+    fingerprints of all choices of its text fields, since some may be null; the first of ``fits`` has one they share.
     A row without any text goes to the first layout whose id it has.
     """
-    every = frozenset().union(*(x.filled for x in fits))
-    none = lambda names: F.forall(F.array(*(F.col(n).isNull() for n in sorted(names))), lambda x: x) if names else F.lit(True)
-    kind = F.when(none(every), F.coalesce(*(F.when(F.col(x.conv_id).isNotNull(), i) for i, x in enumerate(fits)), F.lit(0)))
+    below: dict[str, set[str]] = {}
+    for x in fits:
+        for p in x.paths:
+            if (top := p.split(".")[0].removesuffix("[]")) in x.filled:
+                below.setdefault(top, set()).add(p)
+    prints: dict[str, int] = {}
     for i, x in enumerate(fits):
-        kind = kind.when(none(every - x.filled), i)
-    return kind.otherwise(F.raise_error(F.lit(f"a record has texts of several layouts: {[x.name for x in fits]}")).cast("int"))
+        for n in range(1, len(x.filled) + 1):
+            for some in combinations(sorted(x.filled), n):
+                prints.setdefault(_digest({p for top in some for p in below[top]}), i)
+    none = F.array().cast("array<string>")
+    held = F.flatten(F.array(*(F.when(F.col(top).isNotNull(), F.array(*map(F.lit, sorted(paths)))).otherwise(none) for top, paths in below.items())))
+    table = F.create_map(*(F.lit(x) for pair in prints.items() for x in pair))
+    kind = F.when(F.size(held) == 0, F.coalesce(*(F.when(F.col(x.conv_id).isNotNull(), i) for i, x in enumerate(fits)), F.lit(0)))
+    found = F.try_element_at(table, F.sha2(F.array_join(F.array_sort(held), "\n"), 256))
+    return kind.when(found.isNotNull(), found).otherwise(F.raise_error(F.lit(f"a record has texts of several layouts: {[x.name for x in fits]}")).cast("int"))
 
 
 def choose_layout(schema: T.StructType, layouts: tuple[Layout, ...] = LAYOUTS) -> Layout:
