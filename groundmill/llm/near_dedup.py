@@ -7,7 +7,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
@@ -61,8 +61,13 @@ def signature_keys(signatures: np.ndarray) -> np.ndarray:
     return np.concatenate(keys, axis=1)
 
 
+def text_hash(docs: DataFrame) -> Column:
+    """Tells the texts of one doc_id apart."""
+    return F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+
+
 def _sketched(docs: DataFrame, length: int) -> DataFrame:
-    """``(row_doc, n_shingles, digest, signature)`` for each row; stored. ``digest`` tells equal shingle sets."""
+    """``(doc_id, text_hash, n_shingles, digest, signature)`` for each row; stored. ``digest`` tells equal shingle sets."""
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, ["body"]):
@@ -72,10 +77,10 @@ def _sketched(docs: DataFrame, length: int) -> DataFrame:
                 sizes.append(len(values))
                 digests.append(xxh3_128_digest(values.tobytes()))
                 marks.append(signature(values).tobytes() if len(values) else None)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(marks, pa.binary())], ["doc_id", "n_shingles", "digest", "signature"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["text_hash"], pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(marks, pa.binary())], ["doc_id", "text_hash", "n_shingles", "digest", "signature"])
 
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("body"))
-    return stored(map_arrow(texts, body, "doc_id long, n_shingles long, digest binary, signature binary"))
+    texts = docs.select("doc_id", text_hash(docs).alias("text_hash"), F.coalesce("text", F.lit("")).cast("binary").alias("body"))
+    return stored(map_arrow(texts, body, "doc_id long, text_hash long, n_shingles long, digest binary, signature binary"))
 
 
 def _keys(reps: DataFrame) -> DataFrame:
@@ -165,7 +170,7 @@ def _linked(table: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)``: each document's group of near duplicates, named by its smallest doc_id.
+    """``(doc_id, text_hash, n_shingles, component_id)``: each document's group of near duplicates, named by its smallest doc_id.
 
     Documents link if ``100 * |A and B| >= percent * |A or B|`` for their sets of ``length``-word shingles.
 
@@ -181,7 +186,7 @@ def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80) -> Data
     exceeds 31 with probability below 1e-6; more similar pairs are safer still.
 
     Empty documents (null, blank) have no shingles and are their own component. Rows of one doc_id and equal text act
-    as one; one doc_id with several texts joins the groups of each and takes the smallest component. Rows without
+    as one; of several texts under one doc_id each row has its own group, told apart by ``text_hash``. Rows without
     doc_id are returned with a null component and link with nothing.
     """
     sketched = _sketched(docs, length)
@@ -206,7 +211,7 @@ def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80) -> Data
     links = connected_components(_edges(_cells(filled, "n", SETS, "cluster", "rep"), lambda t: _linked(t, percent), ["rep", "shingles"]))
 
     placed = members.join(links, F.col("rep") == F.col("node"), "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
-    groups = sketched.join(placed, "digest", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+    groups = sketched.join(placed, "digest", "left").select("doc_id", "text_hash", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
     return groups
 
 

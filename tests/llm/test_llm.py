@@ -385,6 +385,13 @@ def test_pieces_on_awkward_rows(messy, none):
     assert pieces.encode_pieces(none, pieces.model_bytes()).count() == 0
 
 
+def test_near_copies_of_one_id_keep_their_own_texts(spark):
+    import corpus_pipeline as line
+
+    docs = spark.createDataFrame([(1, PASSAGE, None, None, 1), (2, PASSAGE, None, None, 1), (2, LONG, None, None, 1), (3, PASSAGE + " more", None, None, 1)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted((r["doc_id"], r["text"]) for r in line.drop_near_copies(spark, docs, SF).collect()) == sorted([(1, PASSAGE), (2, LONG)])
+
+
 def test_mixing(spark, messy, none):
     out = mixing.mix_sources(messy).toPandas()
     assert len(out) == len(awkward()) and (out["copies"] <= 2).all() and (out["target"] <= 2 * out["source_size"] + 1e-9).all()
@@ -429,9 +436,11 @@ def test_licences_weigh_every_term_by_its_own_lines(spark, monkeypatch):
     """An ordinary word beside a notice must not sink it, however large the corpus; equal to a plain scorer."""
     filler = [f"by and see the plain w{i % 997} under v{i % 31}" for i in range(4000)] + [f"released mit license u{i}" for i in range(300)]
     asked = ["Released under the MIT License by", "Released under the MIT License by w1 v2", "Released under the MIT License qq1 qq2 qq3", "see the work licensed under a v. v1 v2", "by Released under the MIT License\nw5 w6 by\nsee"]
+    asked += ["w1\n #\n# This program is free software: you can redistribute it and/or modify it\n# under the terms of the GNU General Public License as published by the Free Software\n# Foundation, either version 3 of the License, or any later version.\n\n# w2 by and"]
+    asked += ["   Apache License\n  Version 2.0, January 2004\n http://www.apache.org/licenses/\n\n TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION\n\n1. Definitions."]
     texts = [(f"f/{i}", t) for i, t in enumerate([*filler, *asked])]
     cut = lambda t: re.findall(licences.TERM, t.lower())
-    lines = [cut(x) for _, t in texts for x in t.split("\n")]
+    lines = [cut(x) for _, t in texts for p in re.split(licences.BREAK, t) for x in p.split("\n")]
     df = defaultdict(int)
     for x in lines:
         for w in set(x):
@@ -442,7 +451,7 @@ def test_licences_weigh_every_term_by_its_own_lines(spark, monkeypatch):
     marks = [(name, vector(cut(t))) for name, t in licences.TEMPLATES]
     want = {}
     for path, t in texts:
-        for unit in [*(cut(x) for x in t.split("\n")), cut(t)]:
+        for unit in [*(cut(x) for x in t.split("\n")), *(cut(x) for x in re.split(licences.BREAK, t)), cut(t)]:
             v = vector(unit)
             for name, m in marks:
                 if len(v.keys() & m.keys()) >= min(3, len(m)):
@@ -450,6 +459,7 @@ def test_licences_weigh_every_term_by_its_own_lines(spark, monkeypatch):
                     if s >= 0.75 and s > want.get(path, ("", 0))[1]:
                         want[path] = (name, s)
     assert {f"f/{len(filler)}", f"f/{len(filler) + 4}"} <= want.keys() and f"f/{len(filler) + 2}" not in want
+    assert want[f"f/{len(filler) + 5}"][0] == "GPL-3.0" and want[f"f/{len(filler) + 6}"][0] == "Apache-2.0"
     for usual in (2, 1000):
         monkeypatch.setattr(licences, "USUAL", usual)
         files = spark.createDataFrame(texts, "path string, text string")
