@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from groundmill.llm.common import stored, word_count
 from groundmill.llm.mixing import mix_sources
-from groundmill.llm.near_dedup import near_duplicates
+from groundmill.llm.near_dedup import near_duplicates, text_hash
 from groundmill.llm.pieces import encode_pieces, model_bytes
 from groundmill.llm.suffix_dedup import drop_repeated_bytes
 from groundmill.llm.toxicity import fit_toxicity, held_out, score_toxicity
@@ -22,9 +22,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with 0.8 of their five-word shingles in common the smallest doc_id stays; rows without doc_id stay."""
-    gone = near_duplicates(docs, length=5, percent=80).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(gone.hint("merge"), "doc_id", "left_anti").select(*COLUMNS)
+    """Of documents with 0.8 of their five-word shingles in common the smallest doc_id stays; rows without doc_id stay.
+
+    Of several texts under one doc_id each is judged by its own group.
+    """
+    gone = near_duplicates(docs, length=5, percent=80).where("doc_id <> component_id").select("doc_id", "text_hash").distinct()
+    given = docs.select(*COLUMNS).withColumn("text_hash", text_hash(docs))
+    return given.join(gone.hint("merge"), ["doc_id", "text_hash"], "left_anti").select(*COLUMNS)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
