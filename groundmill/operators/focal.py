@@ -7,7 +7,7 @@ one row or column of one scene. Borders are mirrored with the edge repeated (ima
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,11 +21,14 @@ def line(axis: str):
 
 
 def shifted_sum(px: DataFrame, value: str, out: str, weights: Mapping[int, float], axis: str) -> DataFrame:
-    """``out`` = sum of weight * value at each offset along ``axis``; beyond the border the mirror image, edge repeated."""
+    """``out`` = sum of weight * value at each offset along ``axis``; beyond the border the mirror image, edge repeated.
+
+    A null among the cells that count makes the sum null.
+    """
     w = line(axis)
     place, size = F.row_number().over(w), F.count("*").over(Window.partitionBy("scene_id", AXES[axis]))
     reach = max(abs(k) for k in weights)
-    around = F.collect_list(value).over(w.rowsBetween(-2 * reach, 2 * reach))
+    around = F.collect_list(F.struct(F.col(value).alias("v"))).over(w.rowsBetween(-2 * reach, 2 * reach))
     rows = px.withColumn("_i", place).withColumn("_n", size).withColumn("_near", around)
     # The window's first element is at place max(1, i - 2 reach).
     first = F.greatest(F.col("_i") - 2 * reach, F.lit(1))
@@ -33,7 +36,7 @@ def shifted_sum(px: DataFrame, value: str, out: str, weights: Mapping[int, float
     def at(k: int | Column) -> Column:
         p = F.col("_i") + k
         mirrored = F.when(p < 1, 1 - p).when(p > F.col("_n"), 2 * F.col("_n") + 1 - p).otherwise(p)
-        return F.get("_near", (F.least(F.greatest(mirrored, F.lit(1)), F.col("_n")) - first).cast("int"))
+        return F.get("_near", (F.least(F.greatest(mirrored, F.lit(1)), F.col("_n")) - first).cast("int"))["v"]
 
     if len(weights) <= 3:
         total = sum((at(k) * w for k, w in weights.items()), F.lit(0.0))
@@ -43,20 +46,49 @@ def shifted_sum(px: DataFrame, value: str, out: str, weights: Mapping[int, float
     return rows.withColumn(out, total).drop("_i", "_n", "_near")
 
 
-def _box(px: DataFrame, value: str, k: int, out: str) -> DataFrame:
-    """Mean over k x k cells, mirrored borders: two passes of k equal weights."""
-    weights = {d: 1.0 / k for d in range(-(k // 2), k - k // 2)}
-    return shifted_sum(shifted_sum(px, value, "_row", weights, "x"), "_row", out, weights, "y").drop("_row")
+def _folded(px: DataFrame, axis: str, reach: int) -> DataFrame:
+    """``px`` with ``_p``, each pixel's place on its line, and copies beyond both ends: the mirror image, edge repeated."""
+    rows = px.withColumn("_i", F.row_number().over(line(axis)).cast("long")).withColumn("_n", F.count("*").over(Window.partitionBy("scene_id", AXES[axis])))
+    i, n = F.col("_i"), F.col("_n")
+    turns = F.ceil(reach / (2 * n)) + 1  # a line shorter than the kernel is folded several times
+    every = F.flatten(F.transform(F.sequence(-turns, turns), lambda t: F.array(i + 2 * n * t, 1 - i + 2 * n * t)))
+    places = F.when((i > reach) & (i <= n - reach), F.array(i)).otherwise(F.filter(every, lambda p: (p > -reach) & (p <= n + reach)))
+    return rows.withColumn("_p", F.explode(places))
+
+
+def _pass(px: DataFrame, axis: str, reach: int, out: Mapping[str, Callable]) -> DataFrame:
+    """``px`` with columns made by functions of a frame (first, last) along ``axis``; copies beyond the border go again."""
+    frame = lambda lo, hi: Window.partitionBy("scene_id", AXES[axis]).orderBy("_p").rowsBetween(lo, hi)
+    rows = _folded(px, axis, reach)
+    return rows.withColumns({n: f(frame) for n, f in out.items()}).where("_p = _i").drop("_i", "_n", "_p")
+
+
+def box_means(px: DataFrame, measures: Mapping[str, tuple[str, int]], axes: tuple[str, str] = ("x", "y")) -> DataFrame:
+    """``px`` with ``{name: (column, k)}``: means over k x k cells, mirrored borders, nulls left out; null where all are.
+
+    All measures share one pass along each axis. Passes along the same axis one after another share their shuffle.
+    """
+    reach = max(k // 2 for _, k in measures.values())
+    span = lambda k: (-(k // 2), k - k // 2 - 1)
+    first = {f"_s_{n}": (lambda w, c=c, k=k: F.sum(F.col(c).cast("double")).over(w(*span(k)))) for n, (c, k) in measures.items()}
+    first |= {f"_c_{n}": (lambda w, c=c, k=k: F.count(c).over(w(*span(k)))) for n, (c, k) in measures.items()}
+    then = {n: (lambda w, n=n, k=k: F.try_divide(F.sum(f"_s_{n}").over(w(*span(k))), F.sum(f"_c_{n}").over(w(*span(k))))) for n, (_, k) in measures.items()}
+    return _pass(_pass(px, axes[0], reach, first), axes[1], reach, then).drop(*first)
+
+
+def deviation(mean: str, mean_of_squares: str) -> Column:
+    return F.sqrt(F.greatest(F.col(mean_of_squares) - F.col(mean) ** 2, F.lit(0.0)))
 
 
 def focal_mean(px: DataFrame, value: str, k: int, out: str = "focal_mean") -> DataFrame:
-    return _box(px, value, k, out)
+    """Mean over k x k cells, mirrored borders; null cells are left out."""
+    return box_means(px, {out: (value, k)})
 
 
-def focal_std(px: DataFrame, value: str, k: int, out: str = "focal_std") -> DataFrame:
-    """sqrt(max(E[v^2] - E[v]^2, 0)) over k x k cells."""
-    both = _box(_box(px.withColumn("_sq", F.col(value) * F.col(value)), value, k, "_m"), "_sq", k, "_m2")
-    return both.withColumn(out, F.sqrt(F.greatest(F.col("_m2") - F.col("_m") ** 2, F.lit(0.0)))).drop("_sq", "_m", "_m2")
+def focal_std(px: DataFrame, value: str, k: int, out: str = "focal_std", axes: tuple[str, str] = ("x", "y")) -> DataFrame:
+    """sqrt(max(E[v^2] - E[v]^2, 0)) over k x k cells; null cells are left out."""
+    both = box_means(px.withColumn("_sq", F.col(value) * F.col(value)), {"_m": (value, k), "_m2": ("_sq", k)}, axes)
+    return both.withColumn(out, deviation("_m", "_m2")).drop("_sq", "_m", "_m2")
 
 
 def _extreme(px: DataFrame, value: str, k: int, out: str, f) -> DataFrame:
@@ -74,8 +106,13 @@ def focal_max(px: DataFrame, value: str, k: int, out: str = "focal_max") -> Data
     return _extreme(px, value, k, out, F.max)
 
 
-def focal_range(px: DataFrame, value: str, k: int = 15, out: str = "focal_range") -> DataFrame:
-    return focal_max(focal_min(px, value, k, "_lo"), value, k, "_hi").withColumn(out, F.col("_hi") - F.col("_lo")).drop("_lo", "_hi")
+def focal_range(px: DataFrame, value: str, k: int = 15, out: str = "focal_range", axes: tuple[str, str] = ("x", "y")) -> DataFrame:
+    lo, hi = -(k // 2), k - k // 2 - 1
+    ends = lambda a, low, high: (F.min(low).over(line(a).rowsBetween(lo, hi)), F.max(high).over(line(a).rowsBetween(lo, hi)))
+    for a, low, high in ((axes[0], value, value), (axes[1], "_lo", "_hi")):
+        least, most = ends(a, low, high)
+        px = px.withColumns({"_lo": least, "_hi": most})
+    return px.withColumn(out, F.col("_hi") - F.col("_lo")).drop("_lo", "_hi")
 
 
 def relative_height(px: DataFrame, value: str, k: int, out: str = "relative_height") -> DataFrame:
@@ -95,7 +132,7 @@ def slope(px: DataFrame, value: str, out: str = "slope") -> DataFrame:
 
 
 def slope_roughness(px: DataFrame, value: str, k: int = 9, out: str = "slope_roughness") -> DataFrame:
-    return focal_std(slope(px, value, "_slope"), "_slope", k, out).drop("_slope")
+    return focal_std(slope(px, value, "_slope"), "_slope", k, out, ("y", "x")).drop("_slope")
 
 
 def texture_variance(px: DataFrame, value: str = "g", k: int = 7, out: str = "texture") -> DataFrame:

@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 
 def score_tiles(tiles: DataFrame, model: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str, batch_size: int = 16) -> DataFrame:
-    """The model over batches of tiles; it gets an iterator, so it loads once a task. Rows keep their keys, so none can shift."""
-    tiles.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_size))
-    return tiles.mapInPandas(model, schema)
+    """The model over batches of at most ``batch_size`` tiles; it gets an iterator, so it loads once a task. Rows keep their keys, so none can shift."""
+
+    def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return model(f.iloc[k : k + batch_size] for f in frames for k in range(0, len(f), batch_size))
+
+    return tiles.mapInPandas(score, schema)
 
 
 def linear_model(bands: Mapping[str, float], bias: float) -> Column:

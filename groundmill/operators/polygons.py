@@ -141,7 +141,7 @@ def smooth_corners(ring: Column, times: int = 3) -> Column:
     return ring
 
 
-def simplify_ring(polys: DataFrame, id: str, tol: float, ring: str = "ring", rounds: int = 30) -> DataFrame:
+def simplify_ring(polys: DataFrame, id: str, tol: float, ring: str = "ring") -> DataFrame:
     """Rings without corners closer than ``tol`` to the chord of kept ones; a result of no area leaves the ring as it was.
 
     All spans of a round are cut at once at their farthest corner, until no corner is farther than ``tol``.
@@ -151,7 +151,7 @@ def simplify_ring(polys: DataFrame, id: str, tol: float, ring: str = "ring", rou
     far = corners.join(corners.where("i = 0").select(id, F.col("p").alias("p0")), id).groupBy(id).agg(F.max_by("i", F.hypot(F.col("p.x") - F.col("p0.x"), F.col("p.y") - F.col("p0.y"))).alias("i"))
     kept = stored(size.select(id, F.lit(0).alias("i")).unionByName(far.select(id, "i")).unionByName(size.select(id, F.col("n").cast("int").alias("i"))).distinct())
     closed = corners.unionByName(corners.where("i = 0").join(size, id).select(id, F.col("n").cast("int").alias("i"), "p"))
-    for _ in range(rounds):
+    while True:  # every round keeps at least one more corner, or ends
         w = Window.partitionBy(id).orderBy("i")
         flagged = closed.join(kept.withColumn("keep", F.lit(1)), [id, "i"], "left")
         span = flagged.withColumn("a", F.last(F.when(F.col("keep") == 1, F.struct("i", "p")), ignorenulls=True).over(w)).withColumn("b", F.first(F.when(F.col("keep") == 1, F.struct("i", "p")), ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)))

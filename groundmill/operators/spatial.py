@@ -223,16 +223,17 @@ def scene_overlap_pct(gt: DataFrame, pred: DataFrame) -> DataFrame:
     return out.withColumn("warn", F.least("pct_of_gt", "pct_of_pred") < 30)
 
 
-def group_nearby(boxes: DataFrame, id: str, d: float, cell: float, rounds: int = 200) -> DataFrame:
-    """``boxes`` with ``group``: rows in id order take later rows within ``d`` that no earlier seed took; not transitive."""
+def group_nearby(boxes: DataFrame, id: str, d: float, cell: float) -> DataFrame:
+    """``boxes`` with ``group``: rows in id order take later rows within ``d`` that no earlier seed took; not transitive.
+
+    Each round settles at least the first open row of every chain, and rounds go on until none is open.
+    """
     side = boxes.select(id, "bbox")
     gap = lambda lo, hi: F.greatest(F.col(f"_p.{lo}") - F.col(f"_q.{hi}"), F.col(f"_q.{lo}") - F.col(f"_p.{hi}"), F.lit(0.0))
     near = candidate_pairs(side, side, id, id, cell, pad=d).toDF("a", "b").where("a < b").join(side.toDF("a", "_p"), "a").join(side.toDF("b", "_q"), "b")
     pairs = stored(near.where(F.hypot(gap("x0", "x1"), gap("y0", "y1")) <= d).select("a", "b"))
     open_, gone = pairs, None
-    for _ in range(rounds):
-        if open_.isEmpty():
-            break
+    while not open_.isEmpty():
         seeds = open_.select(F.col("a").alias("k")).distinct().join(open_.select(F.col("b").alias("k")).distinct(), "k", "left_anti")
         taken = stored(open_.join(seeds, F.col("a") == F.col("k"), "left_semi").select("b").distinct())
         gone = taken if gone is None else gone.unionByName(taken)

@@ -9,17 +9,18 @@ from pyspark.sql import functions as F
 
 from groundmill.functions.pixels import excess_green
 from groundmill.operators import focal
+from groundmill.plans.graph import stored
 
 METRICS = ("std9", "std15", "std25", "rel15", "rel51", "range15", "tpi25", "slope_rough")
 
 
 def veg_metrics(px: DataFrame, height: str = "dem") -> DataFrame:
     """``px`` with the local measures of a height or brightness column."""
-    for k in (9, 15, 25):
-        px = focal.focal_std(px, height, k, f"std{k}")
-    for k, n in ((15, "rel15"), (51, "rel51"), (25, "tpi25")):
-        px = focal.relative_height(px, height, k, n)
-    return focal.slope_roughness(focal.focal_range(px, height, 15, "range15"), height, 9, "slope_rough")
+    v = F.col(height)
+    means = {f"_m{k}": (height, k) for k in (9, 15, 25, 51)} | {f"_q{k}": ("_sq", k) for k in (9, 15, 25)}
+    px = focal.box_means(px.withColumn("_sq", v * v), means)
+    px = px.withColumns({f"std{k}": focal.deviation(f"_m{k}", f"_q{k}") for k in (9, 15, 25)} | {"rel15": v - F.col("_m15"), "rel51": v - F.col("_m51"), "tpi25": v - F.col("_m25")}).drop("_sq", *means)
+    return focal.slope_roughness(focal.focal_range(px, height, 15, "range15", ("y", "x")), height, 9, "slope_rough")
 
 
 def veg_normalize(px: DataFrame, cols: Sequence[str], veg: str = "veg", scope: Sequence[str] = ("scene_id",)) -> DataFrame:
@@ -50,7 +51,8 @@ def height_class(px: DataFrame, proxy: str = "proxy", veg: str = "veg", scope: S
 
 def green_cover(px: DataFrame, height: str = "dem", method: str = "combined", scope: Sequence[str] = ("scene_id",)) -> DataFrame:
     """Vegetation by excess green, its height proxy and class; ``scope`` adds tile keys for tile-wise percentiles."""
-    return height_class(height_proxy(veg_metrics(excess_green(px), height), method, scope), scope=scope)
+    measured = stored(veg_metrics(excess_green(px), height))  # percentiles and pixels both read it
+    return height_class(height_proxy(measured, method, scope), scope=scope)
 
 
 def tree_vs_crop(px: DataFrame, veg: str = "veg") -> DataFrame:

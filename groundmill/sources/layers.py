@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -51,11 +52,22 @@ def read_geojson(spark: SparkSession, path: str, properties: str) -> DataFrame:
 
 
 def write_geojson(polys: DataFrame, path: str, ring: str = "ring") -> None:
-    """One collection per part file; features are lines, so no task holds more than it writes."""
+    """One FeatureCollection per part file, a feature per line, so no task holds more than it writes."""
     pairs = F.transform(F.concat(F.col(ring), F.slice(F.col(ring), 1, 1)), lambda p: F.array(p["x"], p["y"]))
     props = F.struct(*(F.col(c) for c in polys.columns if c not in (ring, "holes", "bbox")))
     feature = F.struct(F.lit("Feature").alias("type"), props.alias("properties"), F.struct(F.lit("Polygon").alias("type"), F.array(pairs).alias("coordinates")).alias("geometry"))
-    polys.select(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), F.array(feature).alias("features"))).alias("value")).write.text(path)
+
+    def collection(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = '{"type":"FeatureCollection","features":['
+        for batch in batches:
+            lines = batch["value"].to_pylist()
+            if lines:
+                yield pa.RecordBatch.from_arrays([pa.array([before + lines[0], *("," + x for x in lines[1:])])], ["value"])
+                before = ","
+        if before == ",":
+            yield pa.RecordBatch.from_arrays([pa.array(["]}"])], ["value"])
+
+    polys.select(F.to_json(feature).alias("value")).mapInArrow(collection, "value string").write.text(path)
 
 
 def write_attributes_csv(polys: DataFrame, path: str) -> None:

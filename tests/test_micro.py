@@ -140,6 +140,10 @@ def test_sources(spark, tmp_path):
     layers.write_geojson(ring, str(tmp_path / "g"))
     back = layers.read_geojson(spark, str(tmp_path / "g"), "id int, name string").first()
     assert (back["id"], back["name"], len(back["ring"])) == (1, "a", 4)
+    many = spark.range(0, 50, 1, 3).select(F.col("id").cast("int").alias("id"), F.lit('quo"te\n').alias("name"), F.array(*(F.struct((F.col("id") + x).cast("double").alias("x"), F.lit(float(y)).alias("y")) for x, y in ((0, 0), (1, 0), (1, 1)))).alias("ring"))
+    layers.write_geojson(many, str(tmp_path / "m"))
+    again = layers.read_geojson(spark, str(tmp_path / "m"), "id int, name string").collect()
+    assert sorted((r["id"], r["name"], r["ring"][1]["x"]) for r in again) == [(i, 'quo"te\n', i + 1.0) for i in range(50)]
     ring.write.parquet(str(tmp_path / "f/one"))
     ring.write.parquet(str(tmp_path / "f/two"))
     rows = layers.read_polygon_folder(spark, str(tmp_path / "f")).orderBy("global_id").collect()
@@ -152,3 +156,21 @@ def test_sources(spark, tmp_path):
     for n in ("a.tif", "a_prob.tif", "b.tif"):
         (tmp_path / "t" / n).write_bytes(b"xx")
     assert [r["stem"] for r in layers.scene_catalog(spark, str(tmp_path / "t")).collect()] == ["a", "b"]
+
+
+def test_long_chains_and_many_corners(spark):
+    """Rounds end when nothing is open, not after a count."""
+    rows = [(i, 2.0 * i, 0.0, 2.0 * i + 1, 1.0) for i in range(120)]
+    boxes = spark.createDataFrame(rows, "id long, x0 double, y0 double, x1 double, y1 double").withColumn("bbox", spatial.box())
+    got = {r["id"]: r["group"] for r in spatial.group_nearby(boxes, "id", 1.0, 4.0).collect()}
+    assert got == {i: i - i % 2 for i in range(120)}
+
+
+def test_means_near_nulls_and_on_short_lines(spark):
+    px = spark.createDataFrame([(0, 0, x, v) for x, v in enumerate([1.0, None, 3.0, 4.0, 5.0])], "scene_id long, y long, x long, v double")
+    got = [r["focal_mean"] for r in focal.focal_mean(px, "v", 3).orderBy("x").collect()]
+    assert [round(v, 6) for v in got] == [1.0, 2.0, 3.5, 4.0, round(14 / 3, 6)]
+    wide = [r["focal_mean"] for r in focal.focal_mean(px.where("x <> 1").withColumn("x", F.expr("CASE WHEN x = 0 THEN 0 ELSE x - 1 END")), "v", 11).orderBy("x").collect()]
+    line = [1.0, 3.0, 4.0, 5.0]
+    folded = lambda p: line[p % 8] if p % 8 < 4 else line[7 - p % 8]
+    assert [round(v, 6) for v in wide] == [round(sum(folded(x + k) for k in range(-5, 6)) / 11, 6) for x in range(4)]
