@@ -33,7 +33,7 @@ from groundmill.llm.repeats import lists
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Bytes of text that are encoded at once.
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 #: Longer segments (in bytes) are relaxed one by one, since few others share their offsets.
 LONG = 256
 #: Slots for remembered verdicts of the pair machine.
@@ -161,7 +161,7 @@ class Transducer:
                     ends.append(-1)
                 at = to
             ends[at] = i
-        self.next = np.zeros((len(ends), 256), np.int32)
+        self.next = np.zeros((len(ends), 256), np.uint16 if len(ends) < 1 << 16 else np.int32)
         self.next[tuple(np.array(list(nodes), np.int64).reshape(-1, 2).T)] = list(nodes.values())
         self.ends = np.array(ends, np.int32)
 
