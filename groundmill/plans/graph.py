@@ -17,11 +17,15 @@ _paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 def scratch_folder(spark: SparkSession) -> str:
     """This application's folder under ``spark.checkpoint.dir``; it is removed when the driver ends.
 
-    Only where that setting is missing (tests, a laptop) a local temporary folder serves.
+    Where that setting is missing a temporary folder serves a local master (tests, a laptop); on a cluster, whose
+    machines would not see each other's files, it is an error.
     """
     app = spark.sparkContext.applicationId
     if app not in _folders:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="groundmill-")
+        root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+        if not root and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = root or tempfile.mkdtemp(prefix="groundmill-")
         _folders[app] = f"{root.rstrip('/')}/groundmill-{app}"
         atexit.register(_remove, spark, _folders[app])
     return _folders[app]

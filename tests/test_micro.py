@@ -1,5 +1,6 @@
 """Hand-worked cases."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from groundmill.functions import pixels
@@ -174,3 +175,13 @@ def test_means_near_nulls_and_on_short_lines(spark):
     line = [1.0, 3.0, 4.0, 5.0]
     folded = lambda p: line[p % 8] if p % 8 < 4 else line[7 - p % 8]
     assert [round(v, 6) for v in wide] == [round(sum(folded(x + k) for k in range(-5, 6)) / 11, 6) for x in range(4)]
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    from groundmill.plans import graph
+
+    context = SimpleNamespace(applicationId="cluster-without-folder", master="spark://host:7077", getConf=dict)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        graph.scratch_folder(SimpleNamespace(sparkContext=context))
