@@ -211,7 +211,7 @@ def guarded_open(px: DataFrame, mask: str = "mask", min_keep: float = 0.8, size:
     both = open_mask(px.withColumn("_old", F.col(mask)), mask, "square", size)
     scene = Window.partitionBy("scene_id")
     kept = F.sum(mask).over(scene) >= min_keep * F.sum("_old").over(scene)
-    return both.withColumn("_keep", kept).withColumn(mask, F.when("_keep", F.col(mask)).otherwise(F.col("_old"))).drop("_old", "_keep")
+    return both.withColumn("_keep", kept).withColumn(mask, F.when(F.col("_keep"), F.col(mask)).otherwise(F.col("_old"))).drop("_old", "_keep")
 
 
 def gentle_erode(px: DataFrame, n: int, mask: str = "mask") -> DataFrame:
@@ -219,17 +219,28 @@ def gentle_erode(px: DataFrame, n: int, mask: str = "mask") -> DataFrame:
     return erode(px, mask, "square", 3, n)
 
 
-def smart_erode(px: DataFrame, n: int, mask: str = "mask", least_share: float = 0.1, ref_compat: bool = False) -> DataFrame:
-    """Up to n erosions by 3 x 3; a scene stops before the one that would leave less than ``least_share`` of its cells.
+# Up to so many cells (None: any), the kernel's side, cells a pass, cells added first, passes added.
+EROSION_STEPS = ((5, 3, 1, 0, 0), (15, 3, 2, 1, 0), (30, 5, 3, 0, 2), (None, 7, 5, 0, 3))
+
+
+def erosion_steps(n: int, most: int = 50) -> tuple[int, int]:
+    """The kernel's side and the passes, ``most`` at most, that shrink a mask by about ``n`` cells."""
+    side, per, first, more = next(row[1:] for row in EROSION_STEPS if row[0] is None or n <= row[0])
+    return side, min((n + first) // per + more, most)
+
+
+def smart_erode(px: DataFrame, n: int, mask: str = "mask", kind: str = "square", least_share: float = 0.1, ref_compat: bool = False) -> DataFrame:
+    """Erosion by about ``n`` cells in passes; a scene stops before the one that would leave less than ``least_share`` of its cells.
 
     ``ref_compat`` stops after one pass, as the tool it stands in for does.
     """
+    size, times = erosion_steps(n)
     px = px.withColumn("_first", F.col(mask))
     scene = Window.partitionBy("scene_id")
-    for _ in range(1 if ref_compat else n):
-        both = erode(px.withColumn("_old", F.col(mask)), mask)
-        fine = F.sum(mask).over(scene) >= least_share * F.sum("_first").over(scene)
-        px = both.withColumn("_ok", fine).withColumn(mask, F.when("_ok", F.col(mask)).otherwise(F.col("_old"))).drop("_old", "_ok")
+    for _ in range(min(times, 1) if ref_compat else times):
+        both = erode(px.withColumn("_old", F.col(mask)), mask, kind, size)
+        fine = F.sum(mask).over(scene) >= F.floor(least_share * F.sum("_first").over(scene))
+        px = both.withColumn("_ok", fine).withColumn(mask, F.when(F.col("_ok"), F.col(mask)).otherwise(F.col("_old"))).drop("_old", "_ok")
     return px.drop("_first")
 
 

@@ -138,18 +138,34 @@ def sobel_normalised(px: DataFrame, norm: str = "min_max", scope: Sequence[str]
         out = F.when(grey() > 0, F.coalesce(F.try_divide(F.col("edge") - F.col("_lo"), F.col("_sd")), F.lit(0.0))).otherwise(0.0)
         return _with_stats(edges, scope, {"_lo": F.min("edge"), "_sd": F.stddev_pop("edge")}, {"edge_n": out})
     if norm == "percentile":
-        some = F.when(F.col("edge") > 0, F.col("edge"))
-        aggs = {"_p1": F.percentile(some, F.lit(0.025)), "_p2": F.percentile(some, F.lit(0.975))}
-        high = F.when(F.col("_p1") == F.col("_p2"), F.col("_p2") + 1e-5).otherwise(F.col("_p2"))
-        return _with_stats(edges, scope, aggs, {"edge_n": F.coalesce((F.least(F.greatest(F.col("edge"), "_p1"), high) - F.col("_p1")) / (high - F.col("_p1")), F.lit(0.0))})
+        return positive_percentiles(edges, ["edge"], scope)
     return min_max(edges, ["edge"], scope)
 
 
+def positive_percentiles(px: DataFrame, cols: Sequence[str], scope: Sequence[str] = ("scene_id",)) -> DataFrame:
+    """``<col>_n``: from 0 at the 2.5th to 1 at the 97.5th percentile of the column's values above 0; 0 where there are none."""
+    aggs, out = {}, {}
+    for c in cols:
+        some = F.when(F.col(c) > 0, F.col(c))
+        aggs |= {f"_{c}1": F.percentile(some, F.lit(0.025)), f"_{c}2": F.percentile(some, F.lit(0.975))}
+        low = F.col(f"_{c}1")
+        high = F.when(low == F.col(f"_{c}2"), low + 1e-5).otherwise(F.col(f"_{c}2"))
+        out[f"{c}_n"] = F.coalesce((F.least(F.greatest(F.col(c), low), high) - low) / (high - low), F.lit(0.0))
+    return _with_stats(px, scope, aggs, out)
+
+
 def waterbody_edges(px: DataFrame, scope: Sequence[str] = ("scene_id",)) -> DataFrame:
     """``stack``: two bands and the edge magnitude, each from 0 to 1."""
     return min_max(sobel(px), ["r", "g", "edge"], scope).withColumn("stack", stack_channels(["r_n", "g_n", "edge_n"]))
 
 
+def waterbody_stack(px: DataFrame, nir: str = "nir", scope: Sequence[str] = ("scene_id",)) -> DataFrame:
+    """``stack`` of five bands: red, green, blue from 0 to 1, near infrared and the edges of their grey by percentiles above 0."""
+    bands = min_max(px, ["r", "g", "b"], scope)
+    edges = sobel(bands, (F.col("r_n") + F.col("g_n") + F.col("b_n")) / 3)
+    return positive_percentiles(edges, [nir, "edge"], scope).withColumn("stack", stack_channels(["r_n", "g_n", "b_n", f"{nir}_n", "edge_n"]))
+
+
 def stack_channels(order: Sequence[str]) -> Column:
     return F.array(*(F.col(c).cast("double") for c in order))
 

@@ -67,21 +67,42 @@ def polygonize(cover: DataFrame, dx: float = 0.0, dy: float = 0.0, rounds: int =
     return rings.withColumn("is_hole", shoelace(F.col("ring")) < 0)
 
 
-def region_attributes(cover: DataFrame, cell: float = 1.0) -> DataFrame:
-    """``(region, area_m2, area_ha, perimeter_m, compactness, elongation)`` from cells; the perimeter counts boundary sides."""
+def region_attributes(cover: DataFrame, cell: float = 1.0, rectangle: bool = False) -> DataFrame:
+    """``(region, area_m2, area_ha, perimeter_m, compactness, elongation)`` from cells; the perimeter counts boundary sides.
+
+    With ``rectangle`` also ``rectangularity``, the area's share of the smallest rectangle around the region.
+    """
     area = cover.groupBy("region").agg(F.count("*").alias("n"))
     around = boundary_sides(cover).groupBy("region").agg(F.count("*").alias("sides"))
     a, p = F.col("n") * cell * cell, F.col("sides") * cell
     from math import pi
 
-    return area.join(around, "region").select(
+    found, more = area.join(around, "region"), []
+    if rectangle:
+        corners = F.array(*(F.struct((F.col("x") + i).cast("double").alias("x"), (F.col("y") + j).cast("double").alias("y")) for i in (0, 1) for j in (0, 1)))
+        hulls = hull_of_points(cover.select("region", F.explode(corners).alias("p")), ["region"])
+        found = found.join(min_rotated_rectangle(hulls, ["region"], min_area=0).select("region", "rect_area"), "region")
+        more = [F.round(F.col("n") / F.col("rect_area"), 3).alias("rectangularity")]
+    return found.select(
         "region", F.round(a.cast("double"), 2).alias("area_m2"), F.round(a / 10000, 4).alias("area_ha"), F.round(p.cast("double"), 2).alias("perimeter_m"),
-        F.round(4 * pi * a / (p * p), 3).alias("compactness"), F.round(p / (2 * F.sqrt(pi * a)), 3).alias("elongation"),
+        F.round(4 * pi * a / (p * p), 3).alias("compactness"), F.round(p / (2 * F.sqrt(pi * a)), 3).alias("elongation"), *more,
     )
 
 
+def sequential_id(polys: DataFrame, order: str, name: str = "id") -> DataFrame:
+    """``polys`` numbered from 1 in the order of the column ``order``, which must tell the rows apart.
+
+    The rows are dealt into ranges and ranked inside each; only the ranges' counts, one row a partition, are summed in one task.
+    """
+    dealt = stored(polys.repartitionByRange(order).withColumn("_part", F.spark_partition_id()))
+    counts = dealt.groupBy("_part").count()
+    before = counts.select("_part", F.coalesce(F.sum("count").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    ranked = dealt.withColumn("_rank", F.row_number().over(Window.partitionBy("_part").orderBy(order)))
+    return ranked.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_rank")).drop("_part", "_before", "_rank")
+
+
 def ring_attributes(polys: DataFrame, ring: str = "ring") -> DataFrame:
-    """``polys`` with area, perimeter, hectares, compactness and a running id."""
+    """``polys`` with area, perimeter, hectares and compactness; ``sequential_id`` numbers them."""
     a, p = F.abs(shoelace(F.col(ring))), perimeter(F.col(ring))
     from math import pi
 

@@ -45,8 +45,13 @@ def assign_pixels_to_tiles(px: DataFrame, size: int, step: int, tiles: DataFrame
 
 
 def reflect_cells(cells: DataFrame, size: int, height: Column, width: Column) -> DataFrame:
-    """For tile cells (row, col) beyond the scene, the source (y, x): the mirror image without the edge repeated."""
-    fold = lambda p, n: F.when(p >= n, F.greatest(2 * (n - 1) - p, F.lit(0))).when(p < 0, -p).otherwise(p)
+    """For tile cells (row, col) beyond the scene, the source (y, x): the mirror image without the edge repeated, folded as often as the tile needs."""
+
+    def fold(p: Column, n: Column) -> Column:
+        period = F.greatest(2 * (n - 1), F.lit(1))
+        at = F.pmod(p, period)
+        return F.when(n > 1, F.least(at, period - at)).otherwise(F.lit(0)).cast("long")
+
     return cells.withColumn("y", fold(F.col("row_off") + F.col("ty"), height)).withColumn("x", fold(F.col("col_off") + F.col("tx"), width))
 
 

@@ -226,3 +226,55 @@ def height_proxy(spark, d):
     px = pixels.excess_green(_px(spark, d).withColumn("dem", F.coalesce("dem", F.lit(20.0))))
     done = greencover.height_proxy(greencover.veg_metrics(px, "dem"))
     return done.select("scene_id", "y", "x", "veg", F.round("proxy", 5).alias("proxy"))
+
+
+def _unit(c: str) -> str:
+    return f"({c} - min({c}) OVER (PARTITION BY px.scene_id)) / (max({c}) OVER (PARTITION BY px.scene_id) - min({c}) OVER (PARTITION BY px.scene_id))::DOUBLE"
+
+
+def _clipped(c: str) -> str:
+    return f"(least(greatest({c}, {c}_1), {c}_2) - {c}_1) / ({c}_2 - {c}_1)"
+
+
+@query(f"""WITH e AS ({near_sql(3, "sqrt((pow(sum(v * dx * (2 - abs(dy)) / 4.0), 2) + pow(sum(v * dy * (2 - abs(dx)) / 4.0), 2)) / 2) AS edge", f"({_unit('r')} + {_unit('g')} + {_unit('b')}) / 3")}),
+m AS (SELECT px.scene_id, px.y, px.x, p_water, edge, {_unit('r')} AS r_n, {_unit('g')} AS g_n, {_unit('b')} AS b_n FROM px JOIN e USING (scene_id, y, x)),
+q AS (SELECT scene_id, {', '.join(f"quantile_cont({c}, 0.025) FILTER ({c} > 0) AS {c}_1, quantile_cont({c}, 0.975) FILTER ({c} > 0) AS {c}_2" for c in ("p_water", "edge"))} FROM m GROUP BY 1)
+SELECT scene_id, y, x, round(r_n, 6) AS band_0, round(g_n, 6) AS band_1, round(b_n, 6) AS band_2, round({_clipped('p_water')}, 6) AS band_3, round({_clipped('edge')}, 6) AS band_4 FROM m JOIN q USING (scene_id)""")
+def waterbody_stack(spark, d):
+    px = normalize.waterbody_stack(_px(spark, d), "p_water")
+    return px.select("scene_id", "y", "x", *(F.round(F.col("stack")[i], 6).alias(f"band_{i}") for i in range(5)))
+
+
+ERODED = "{e} AS (SELECT p.scene_id, p.y, p.x, p.m AS was, min(q.m) AS m FROM {m} p JOIN {m} q ON p.scene_id = q.scene_id AND abs(p.y - q.y) <= 1 AND abs(p.x - q.x) <= 1 GROUP BY 1, 2, 3, 4), {n} AS (SELECT scene_id, y, x, CASE WHEN sum(m) OVER (PARTITION BY scene_id) >= floor(0.1 * had) THEN m ELSE was END AS m FROM {e} JOIN had USING (scene_id))"
+
+
+@query(f"""WITH m0 AS (SELECT scene_id, y, x, (y > 20 + 8 * (scene_id % 2) OR x < 12 AND gt = 1)::INT AS m FROM px), had AS (SELECT scene_id, sum(m) AS had FROM m0 GROUP BY 1),
+{ERODED.format(e='e1', m='m0', n='m1')}, {ERODED.format(e='e2', m='m1', n='m2')} SELECT scene_id, y, x, m AS mask FROM m2""")
+def smart_erode(spark, d):
+    """Every second scene has a wide area and shrinks by two cells, the others would lose all and stay."""
+    wide = (F.col("y") > 20 + 8 * (F.col("scene_id") % 2)) | ((F.col("x") < 12) & (F.col("gt") == 1))
+    return focal.smart_erode(_px(spark, d).select("scene_id", "y", "x", wide.cast("int").alias("mask")), 2)
+
+
+@query("SELECT parcel_id, row_number() OVER (ORDER BY parcel_id) AS number, category FROM parcel")
+def sequential_id(spark, d):
+    return polygons.sequential_id(_boxes(spark, d, "parcel").select("parcel_id", "category"), "parcel_id", "number")
+
+
+@query("""WITH s AS (SELECT DISTINCT scene_id FROM px), c AS (SELECT scene_id, ty, tx FROM s, range(128) u(ty), range(128) v(tx)),
+f AS (SELECT *, least(ty % 58, 58 - ty % 58) AS y, least(tx % 98, 98 - tx % 98) AS x FROM c)
+SELECT scene_id, ty, tx, p_water FROM f JOIN px USING (scene_id, y, x)""")
+def reflect_small_scenes(spark, d):
+    """Tiles of 128 cells over scenes of 30 x 50: the mirror folds more than once."""
+    px = _px(spark, d)
+    return tiling.reflect_tiles(px, _scenes(px), 128, 4).select("scene_id", F.col("ty").cast("long").alias("ty"), F.col("tx").cast("long").alias("tx"), "p_water")
+
+
+@query("""WITH m0 AS (SELECT scene_id, y, x, (y >= 10 AND y < 20 AND x >= 10 AND x < 30 OR scene_id % 2 = 1 AND gt = 1)::INT AS m FROM px),
+e AS (SELECT p.scene_id, p.y, p.x, p.m AS was, min(q.m) AS m FROM m0 p JOIN m0 q ON p.scene_id = q.scene_id AND abs(p.y - q.y) <= 1 AND abs(p.x - q.x) <= 1 GROUP BY 1, 2, 3, 4),
+o AS (SELECT p.scene_id, p.y, p.x, p.was, max(q.m) AS m FROM e p JOIN e q ON p.scene_id = q.scene_id AND abs(p.y - q.y) <= 1 AND abs(p.x - q.x) <= 1 GROUP BY 1, 2, 3, 4)
+SELECT scene_id, y, x, CASE WHEN sum(m) OVER (PARTITION BY scene_id) >= 0.8 * sum(was) OVER (PARTITION BY scene_id) THEN m ELSE was END AS mask FROM o""")
+def guarded_open(spark, d):
+    """Every second scene is a clean block and is opened, the others are noise and stay."""
+    block = F.col("y").between(10, 19) & F.col("x").between(10, 29) | ((F.col("scene_id") % 2 == 1) & (F.col("gt") == 1))
+    return focal.guarded_open(_px(spark, d).select("scene_id", "y", "x", block.cast("int").alias("mask")))

@@ -134,6 +134,37 @@ def test_streaming_once(spark, tmp_path):
     assert [r["n"] for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [1]
 
 
+def test_confusion_counts_run_on(spark, tmp_path):
+    from groundmill.streaming.jobs import stream_confusion
+
+    rows = [(i % 3, i % 2, int(i % 5 == 0)) for i in range(60)]
+    for k in range(4):
+        spark.createDataFrame(rows[15 * k : 15 * k + 15], "scene_id long, p int, g int").coalesce(1).write.parquet(str(tmp_path / f"in/part={k}"))
+    given = spark.readStream.schema("scene_id long, p int, g int").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in/*"))
+    counts = stream_confusion(given, F.col("p"), F.col("g"))
+    run = counts.writeStream.format("memory").queryName("running").outputMode("complete").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    run.awaitTermination()
+    assert len(run.recentProgress) >= 4
+    want = {s: tuple(sum((p, g) == c for i, p, g in rows if i == s) for c in ((1, 1), (1, 0), (0, 1), (0, 0))) for s in range(3)}
+    assert {r["scene_id"]: (r["tp"], r["fp"], r["fn"], r["tn"]) for r in spark.table("running").collect()} == want
+
+
+def test_rectangles_and_numbers(spark):
+    cells = [("block", y, x) for y in range(3) for x in range(4)] + [("bend", 0, 0), ("bend", 0, 1), ("bend", 1, 0)]
+    cover = spark.createDataFrame([(0, y, x, (kind,)) for kind, y, x in cells], "scene_id long, y long, x long, region struct<k:string>")
+    got = {r["region"]["k"]: r["rectangularity"] for r in polygons.region_attributes(cover, rectangle=True).collect()}
+    assert got == {"block": 1.0, "bend": 0.75}
+    numbered = polygons.sequential_id(spark.range(500).select((F.col("id") * 3).alias("k")), "k").collect()
+    assert sorted((r["k"], r["id"]) for r in numbered) == [(3 * i, i + 1) for i in range(500)]
+    assert polygons.sequential_id(spark.range(0), "id", "n").count() == 0
+
+
+def test_erosion_table_and_flat_bands(spark):
+    assert [focal.erosion_steps(n) for n in (0, 1, 5, 6, 7, 15, 16, 25, 30, 31, 300)] == [(3, 0), (3, 1), (3, 5), (3, 3), (3, 4), (3, 8), (5, 7), (5, 10), (5, 12), (7, 9), (7, 50)]
+    flat = spark.createDataFrame([(0, y, x, 7, 7, 7, 0.0 if y else None) for y in range(3) for x in range(3)], "scene_id long, y long, x long, r int, g int, b int, nir double")
+    assert {tuple(r["stack"]) for r in normalize.waterbody_stack(flat).collect()} == {(0.0,) * 5}
+
+
 def test_sources(spark, tmp_path):
     from groundmill.sources import layers
 

@@ -62,9 +62,16 @@ def test_green_cover_classes_follow_its_proxy(spark):
 def test_clean_mask_by_hand(spark):
     rows = [(0, y, x, int(2 <= y <= 6 and 2 <= x <= 6 and (y, x) != (4, 4) or (y, x) == (0, 9))) for y in range(10) for x in range(10)]
     px = spark.createDataFrame(rows, "scene_id long, y long, x long, mask int")
-    for profile in ("building", "v1", "v2"):
+    for profile in ("building", "conservative", "cultivation", "v1", "v2"):
         out = {(r["y"], r["x"]) for r in regions.clean_mask(px, profile).where("mask = 1").collect()}
-        assert (0, 9) not in out and ((4, 4) in out) == (profile != "v1") and out <= {(y, x) for y in range(1, 8) for x in range(1, 8)}
+        assert (0, 9) not in out and ((4, 4) in out) == (profile not in ("v1", "cultivation")) and out <= {(y, x) for y in range(1, 8) for x in range(1, 8)}
+
+
+def test_cultivation_mask_by_hand(spark):
+    """A block far from the border stays as it is, a lone cell goes."""
+    block = {(y, x) for y in range(5, 12) for x in range(5, 12)}
+    solid = spark.createDataFrame([(0, y, x, int((y, x) in block or (y, x) == (0, 16))) for y in range(17) for x in range(17)], "scene_id long, y long, x long, mask int")
+    assert {(r["y"], r["x"]) for r in regions.clean_mask(solid, "cultivation").where("mask = 1").collect()} == block
 
 
 def test_entry_and_registry(spark):
