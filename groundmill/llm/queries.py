@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from groundmill.llm import additive_search, chat, licences, mixing, near_dedup, pieces, range_join, substring_dedup, suffix_dedup, toxicity
+from groundmill.llm import additive_search, chat, licences, mixing, near_dedup, packing, pieces, range_join, ranked_search, substring_dedup, suffix_dedup, toxicity, whitening
 
 
 def queries():
@@ -19,8 +19,11 @@ def queries():
         "op8_mixing": mixing.op8_mixing,
         "op9_substring_dedup": substring_dedup.op9_substring_dedup,
         "op10_embedding_near_dedup": range_join.op10_embedding_near_dedup,
+        "op11_whitening": whitening.op11_whitening,
+        "op12_packing": packing.op12_packing,
+        "op13_ranked_search": ranked_search.op13_ranked_search,
     }
 
 
 def oracle_sql():
-    return {"op2_minhash_near_dedup": near_dedup.OP2_SQL, "op4_chat_format": chat.OP4_SQL, "op8_mixing": mixing.OP8_SQL, "op9_substring_dedup": substring_dedup.OP9_SQL, "op10_embedding_near_dedup": range_join.OP10_SQL}
+    return {"op2_minhash_near_dedup": near_dedup.OP2_SQL, "op4_chat_format": chat.OP4_SQL, "op8_mixing": mixing.OP8_SQL, "op9_substring_dedup": substring_dedup.OP9_SQL, "op10_embedding_near_dedup": range_join.OP10_SQL, "op13_ranked_search": ranked_search.OP13_SQL}
