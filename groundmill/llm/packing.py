@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from groundmill.llm.common import gathered, map_arrow, slices
 
 #: Bytes of text whose distinct words are encoded together, how many words one call encodes, how many a worker remembers.
-BLOCK, CALL, REMEMBERED = 32 << 20, 200, 750_000
+BLOCK, CALL, REMEMBERED = 16 << 20, 200, 500_000
 #: Open windows a task holds at most; beyond, they are completed by cutting documents.
 MOST_OPEN = 4096
 END_ID = 1
