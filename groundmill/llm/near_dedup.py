@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-from groundmill.llm.common import connected_components, join_labels, map_arrow, slices, sorted_groups, stored
+from groundmill.llm.common import connected_components, join_labels, map_arrow, slices, sorted_groups, split_join, stored
 from groundmill.llm.repeats import mixed, signed
 
 #: A signature has HASHES values of 16 bits in CHUNKS chunks. If two differ in fewer than CHUNKS * (ERRORS + 1) values,
@@ -89,9 +89,9 @@ def _keys(reps: DataFrame) -> DataFrame:
             if batch.num_rows:
                 keys = signature_keys(np.frombuffer(b"".join(batch["signature"].to_pylist()), np.uint16).reshape(-1, HASHES))
                 ends = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * keys.shape[1])
-                yield pa.RecordBatch.from_arrays([batch["rep"], pa.ListArray.from_arrays(ends, pa.array(signed(keys.ravel())))], ["rep", "keys"])
+                yield pa.RecordBatch.from_arrays([batch["digest"], pa.ListArray.from_arrays(ends, pa.array(signed(keys.ravel())))], ["digest", "keys"])
 
-    return map_arrow(reps.select("rep", "signature"), body, "rep long, keys array<long>").select("rep", F.explode("keys").alias("key"))
+    return map_arrow(reps.select("digest", "signature"), body, "digest binary, keys array<long>").select("digest", F.explode("keys").alias("key"))
 
 
 def _cells(rows: DataFrame, count: str, most: int, key: str, node: str) -> DataFrame:
@@ -106,10 +106,9 @@ def _cells(rows: DataFrame, count: str, most: int, key: str, node: str) -> DataF
     return cut.withColumn("cell", named).drop("blocks", "own", "other", count)
 
 
-def _near_signatures(table: pa.Table, node: str, size: str, tenths: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that connect the rows of each cell whose signatures are within DISTANCE and whose set sizes allow a link."""
-    cell, nodes = table["cell"].to_numpy(), table[node].to_numpy()
-    sizes = table[size].to_numpy()
+def _near_signatures(table: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges, as row numbers, that connect the rows of each cell whose signatures are within DISTANCE and whose set sizes allow a link."""
+    cell, sizes = table["cell"].to_numpy(), table["n_shingles"].to_numpy()
     marks = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint16).reshape(-1, HASHES)
     found_a, found_b = [], []
     for step in range(1, len(cell)):
@@ -117,7 +116,7 @@ def _near_signatures(table: pa.Table, node: str, size: str, tenths: int) -> tupl
         if not len(a):
             break
         b = a + step
-        fits = np.minimum(sizes[a], sizes[b]) * 100 >= tenths * np.maximum(sizes[a], sizes[b])
+        fits = np.minimum(sizes[a], sizes[b]) * 100 >= percent * np.maximum(sizes[a], sizes[b])
         a, b = a[fits], b[fits]
         near = (marks[a] != marks[b]).sum(axis=1) <= DISTANCE
         found_a.append(a[near])
@@ -125,25 +124,25 @@ def _near_signatures(table: pa.Table, node: str, size: str, tenths: int) -> tupl
     a, b = np.concatenate([*found_a, np.zeros(0, np.int64)]).astype(int), np.concatenate([*found_b, np.zeros(0, np.int64)]).astype(int)
     label = join_labels(len(cell), a, b)
     moved = np.flatnonzero(label != np.arange(len(cell)))
-    return nodes[moved], nodes[label[moved]]
+    return moved, label[moved]
 
 
 def _edges(rows: DataFrame, find, columns: list[str]) -> DataFrame:
-    """``(a, b)`` that ``find`` gives for the tables of whole cells of ``rows``."""
+    """``(a, b)``, digests of the rows that ``find`` pairs in the tables of whole cells of ``rows``."""
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in sorted_groups(batches, "cell"):
-            a, b = find(table)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            nodes = table["digest"].combine_chunks()
+            yield pa.RecordBatch.from_arrays([nodes.take(pa.array(x)) for x in find(table)], ["a", "b"])
 
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.select("cell", *columns).repartition(parts, "cell").sortWithinPartitions("cell")
-    return map_arrow(dealt, body, "a long, b long")
+    return map_arrow(dealt, body, "a binary, b binary")
 
 
 def _linked(table: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that connect the sets of each cell with ``100 * intersection >= percent * union``, counted on whole sets."""
-    cell, nodes = table["cell"].to_numpy(), table["rep"].to_numpy()
+    """Edges, as row numbers, that connect the sets of each cell with ``100 * intersection >= percent * union``, counted on whole sets."""
+    cell = table["cell"].to_numpy()
     sets = [np.frombuffer(s, np.uint64) for s in table["shingles"].to_pylist()]
     starts = np.append(np.flatnonzero(np.diff(cell, prepend=cell[0] - 1)), len(cell))
     out_a, out_b = [], []
@@ -164,8 +163,8 @@ def _linked(table: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
         if a:
             label = join_labels(hi - lo, np.concatenate(a), np.concatenate(b))
             moved = np.flatnonzero(label != np.arange(hi - lo))
-            out_a.append(nodes[lo:hi][moved])
-            out_b.append(nodes[lo:hi][label[moved]])
+            out_a.append(lo + moved)
+            out_b.append(lo + label[moved])
     return np.concatenate([*out_a, np.zeros(0)]).astype(np.int64), np.concatenate([*out_b, np.zeros(0)]).astype(np.int64)
 
 
@@ -185,34 +184,38 @@ def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80) -> Data
     For two sets of similarity 0.8 each of the 64 values differs with probability 0.2 at most, so the distance
     exceeds 31 with probability below 1e-6; more similar pairs are safer still.
 
-    Empty documents (null, blank) have no shingles and are their own component. Rows of one doc_id and equal text act
-    as one; of several texts under one doc_id each row has its own group, told apart by ``text_hash``. Rows without
-    doc_id are returned with a null component and link with nothing.
+    Empty documents (null, blank) have no shingles and are their own component. Graph nodes are shingle sets, so each
+    of several texts under one doc_id has the group of its own set, told apart by ``text_hash``; groups are named
+    once they are known. Rows of one doc_id and equal text act as one. Rows without doc_id are returned with a null
+    component and link with nothing.
     """
     sketched = _sketched(docs, length)
     named = sketched.where("doc_id IS NOT NULL AND n_shingles > 0")
-    members = named.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    reps = stored(named.join(members, "digest").where("doc_id = rep").select("rep", "n_shingles", "signature", "digest").dropDuplicates(["digest"]).drop("digest"))
+    # The smallest doc_id of a set, and one text under it, stand for the set.
+    reps = stored(named.groupBy("digest").agg(F.min(F.struct("doc_id", "text_hash")).alias("least"), F.any_value("n_shingles").alias("n_shingles"), F.any_value("signature").alias("signature")))
     keys = _keys(reps)
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    meeting = keys.join(shared, "key").join(reps, "rep")
-    near = _edges(_cells(meeting, "n", ROWS, "key", "rep"), lambda t: _near_signatures(t, "rep", "n_shingles", percent), ["rep", "n_shingles", "signature"])
+    meeting = keys.join(shared, "key").join(reps.drop("least"), "digest")
+    near = _edges(_cells(meeting, "n", ROWS, "key", "digest"), lambda t: _near_signatures(t, percent), ["digest", "n_shingles", "signature"])
     clusters = stored(connected_components(near))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, ["body"]):
             found = [shingles(t, length).tobytes() for t in batch["body"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["rep"], batch["cluster"], batch["n"], pa.array(found, pa.binary())], ["rep", "cluster", "n", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch["digest"], batch["cluster"], batch["n"], pa.array(found, pa.binary())], ["digest", "cluster", "n", "shingles"])
 
     sized = clusters.groupBy("component").count().select(F.col("component").alias("cluster"), F.col("count").alias("n"))
-    wanted = clusters.join(sized, F.col("component") == F.col("cluster")).select(F.col("node").alias("rep"), "cluster", "n")
-    texts = docs.select(F.col("doc_id").alias("rep"), F.coalesce("text", F.lit("")).cast("binary").alias("body"))
-    filled = map_arrow(texts.join(wanted.hint("merge"), "rep"), sets, "rep long, cluster long, n long, shingles binary").where(F.length("shingles") > 0)
-    links = connected_components(_edges(_cells(filled, "n", SETS, "cluster", "rep"), lambda t: _linked(t, percent), ["rep", "shingles"]))
-
-    placed = members.join(links, F.col("rep") == F.col("node"), "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
-    groups = sketched.join(placed, "digest", "left").select("doc_id", "text_hash", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
-    return groups
+    members = clusters.join(sized, F.col("component") == F.col("cluster")).select(F.col("node").alias("digest"), "cluster", "n")
+    wanted = members.join(reps, "digest").select("digest", "cluster", "n", "least.doc_id", "least.text_hash")
+    texts = docs.select("doc_id", text_hash(docs).alias("text_hash"), F.coalesce("text", F.lit("")).cast("binary").alias("body"))
+    filled = map_arrow(texts.join(wanted.hint("merge"), ["doc_id", "text_hash"]), sets, "digest binary, cluster binary, n long, shingles binary")
+    links = stored(connected_components(_edges(_cells(filled, "n", SETS, "cluster", "digest"), lambda t: _linked(t, percent), ["digest", "shingles"])))
+
+    own = reps.select("digest", F.col("least.doc_id").alias("rep"))
+    linked = links.join(own, F.col("node") == F.col("digest")).select("digest", "component", "rep")
+    groups = split_join(linked, linked.groupBy("component").agg(F.min("rep").alias("component_id")), ["component"]).select("digest", "component_id")
+    placed = own.join(groups, "digest", "left").select("digest", F.coalesce("component_id", "rep").alias("component_id"))
+    return sketched.join(placed, "digest", "left").select("doc_id", "text_hash", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
 def op2_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:

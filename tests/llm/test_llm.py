@@ -392,6 +392,24 @@ def test_near_copies_of_one_id_keep_their_own_texts(spark):
     assert sorted((r["doc_id"], r["text"]) for r in line.drop_near_copies(spark, docs, SF).collect()) == sorted([(1, PASSAGE), (2, LONG)])
 
 
+def test_texts_of_one_id_are_told_apart_in_the_graph(spark):
+    import corpus_pipeline as line
+
+    b, a = [f"b{i}" for i in range(200)], " ".join(f"a{i}" for i in range(200))
+    b1, b2, b3 = " ".join(b), " ".join([*b[:190], "n1"]), " ".join([*b[:180], "n2"])
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(0, b2), (1, a), (1, b1)]
+    docs = spark.createDataFrame([(*r, None, None, 1) for r in rows], schema)
+    by_text = {r["text"]: r["component_id"] for r in near_dedup.near_duplicates(docs).join(docs.select("text", near_dedup.text_hash(docs).alias("text_hash")), "text_hash").collect()}
+    assert by_text == {b2: 0, b1: 0, a: 1}
+    assert sorted((r["doc_id"], r["text"]) for r in line.drop_near_copies(spark, docs, SF).collect()) == [(0, b2), (1, a)]
+    # A chain through one id's two unlike texts is no chain: b3 - b1 meet under id 5, a - a2 under ids 5 and 9.
+    rows = [(4, b3), (5, b1), (5, a), (9, a + " more"), (9, "alone " * 9)]
+    docs = spark.createDataFrame([(*r, None, None, 1) for r in rows], schema)
+    by_text = {r["text"]: r["component_id"] for r in near_dedup.near_duplicates(docs).join(docs.select("text", near_dedup.text_hash(docs).alias("text_hash")), "text_hash").collect()}
+    assert by_text == {b3: 4, b1: 4, a: 5, a + " more": 5, "alone " * 9: 9}
+
+
 def test_mixing(spark, messy, none):
     out = mixing.mix_sources(messy).toPandas()
     assert len(out) == len(awkward()) and (out["copies"] <= 2).all() and (out["target"] <= 2 * out["source_size"] + 1e-9).all()
