@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from groundmill.llm.common import stored
 
-# Notices, headers and title blocks of common licences, as their publishers word them.
+# Notices, headers and title blocks of common licences, as their publishers word them. A name with "OR"
+# is that of words which several licences share.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
+    ("BSD-2-Clause OR BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3"),
@@ -29,11 +30,39 @@ TEMPLATES = (
     ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
     ("MIT", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:'),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+    ("BSD-2-Clause OR BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
     ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("LGPL-2.0", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Library General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2"),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License"),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"),
+    ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License"),
+    ("CC-BY-4.0", "Licensed under CC BY 4.0"),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0"),
+    ("MIT", "This project is licensed under the MIT License - see the LICENSE file for details"),
+    ("Apache-2.0", "This project is licensed under the Apache License 2.0 - see the LICENSE file for details"),
 )
+#: Words that tell licences of like wording apart: a unit is compared only with templates that hold the same of them.
+#: Version numbers with a point, and whole ones after "version" or "v", are such words too.
+MARKS = (
+    "mit", "apache", "bsd", "isc", "gnu", "gpl", "lgpl", "agpl", "mozilla", "mpl", "eclipse", "boost", "zlib", "artistic", "proprietary",
+    "affero", "lesser", "library", "endorse", "cc", "cc0", "by-nc", "by-sa", "by-nd", "by-nc-sa", "by-nc-nd", "nc", "sa", "nd",
+    "attribution", "attribution-noncommercial", "attribution-sharealike", "attribution-noderivatives", "attribution-noncommercial-sharealike",
+    "attribution-noncommercial-noderivatives", "noncommercial", "non-commercial", "sharealike", "share-alike", "noderivatives", "noderivs",
+)
+#: A unit whose best templates of two licences are this close names neither.
+MARGIN = 0.02
+#: A file that names its licence itself.
+DECLARED = r"SPDX-License-Identifier:[ \t]*([A-Za-z0-9.+-]+(?:[ \t]+(?:AND|OR|WITH)[ \t]+[A-Za-z0-9.+-]+)*)"
 #: What stands between paragraphs: lines without terms.
 BREAK = r"\n(?:[^A-Za-z0-9\n]*\n)+"
 TERM = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
@@ -47,6 +76,13 @@ def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"({TERM})"), F.lit(1))
 
 
+def marks(found: Column) -> Column:
+    """The marks among a unit's terms, sorted, as one string."""
+    after = F.transform(found, lambda t, i: F.when((i > 0) & t.rlike(r"^[0-9]+$") & F.get(found, i - 1).isin("version", "v"), F.concat(F.lit("version "), t)))
+    own = F.filter(found, lambda t: t.isin(*MARKS) | t.rlike(r"^[0-9]{1,2}[.][0-9]{1,2}$"))
+    return F.array_join(F.array_sort(F.array_distinct(F.concat(own, F.filter(after, lambda t: t.isNotNull())))), " ")
+
+
 def template_terms(spark: SparkSession, templates=TEMPLATES) -> dict[int, dict[str, int]]:
     """Terms of each template with their counts; templates are a short fixed list, so this stays on the driver."""
     rows = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(templates)], "template int, text string")
@@ -57,9 +93,9 @@ def template_terms(spark: SparkSession, templates=TEMPLATES) -> dict[int, dict[s
 
 
 def line_terms(files: DataFrame) -> DataFrame:
-    """``(path, paragraphs, lines)``: the terms of each line, by paragraph and in one row; texts are cut once, as no term crosses a line's end."""
+    """``(path, body, paragraphs, lines)``: a hash of the text, and the terms of each line, by paragraph and in one row; texts are cut once, as no term crosses a line's end."""
     paragraphs = F.transform(F.split(F.coalesce("text", F.lit("")), BREAK), lambda p: F.transform(F.split(p, "\n"), terms))
-    return files.select("path", paragraphs.alias("paragraphs")).select("path", "paragraphs", F.flatten("paragraphs").alias("lines"))
+    return files.select("path", F.xxhash64("text").alias("body"), paragraphs.alias("paragraphs")).select("path", "body", "paragraphs", F.flatten("paragraphs").alias("lines"))
 
 
 def squared(found: Column, weights: dict[str, float]) -> Column:
@@ -82,7 +118,7 @@ def telling_terms(counts: dict[int, dict[str, int]], idf: dict[str, float], leas
 
 
 def candidate_units(split: DataFrame, counts: dict[int, dict[str, int]], idf: dict[str, float], usual: list[str], floor: float, least: float) -> DataFrame:
-    """``(path, unit, terms)``: lines, paragraphs and whole files, numbered in one row, that can reach cosine ``least`` with some template.
+    """``(path, unit, terms, marks)``: lines, paragraphs and whole files, numbered within their text, that can reach cosine ``least`` with some template.
 
     By Cauchy-Schwarz a cosine is at most the share of the template's length that lies on common terms, and at most
     the share of the unit's length that lies on the templates' terms. Each other distinct term adds ``floor`` squared
@@ -92,7 +128,7 @@ def candidate_units(split: DataFrame, counts: dict[int, dict[str, int]], idf: di
     longer = F.transform(F.filter("paragraphs", lambda p: F.size(p) > 1), F.flatten)
     whole = F.when(F.size("paragraphs") > 1, F.array(F.flatten("lines"))).otherwise(F.array().cast("array<array<string>>"))
     told = telling_terms(counts, idf, least)
-    rows = split.select("path", F.posexplode(F.concat("lines", longer, whole)).alias("unit", "terms")).where(F.exists("terms", lambda t: t.isin(told)))
+    rows = split.select("path", "body", F.posexplode(F.concat("lines", longer, whole)).alias("unit", "terms")).where(F.exists("terms", lambda t: t.isin(told)))
     rows = rows.withColumn("known", F.filter("terms", lambda t: t.isin(sorted(idf))))
     rows = rows.withColumn("shared", F.array_distinct("known")).where(F.size("shared") >= min(SHARED, *(len(t) for t in counts.values())))
     near = F.lit(False)
@@ -103,7 +139,7 @@ def candidate_units(split: DataFrame, counts: dict[int, dict[str, int]], idf: di
     inside = F.aggregate("shared", F.lit(0.0), lambda acc, t: acc + F.pow(F.size(F.filter("known", lambda x: x == t)) * F.try_element_at(F.create_map(*(F.lit(x) for k in sorted(idf) for x in (k, idf[k]))), t), F.lit(2.0)))
     others = F.size(F.array_distinct(F.filter("terms", lambda t: ~t.isin(sorted({*idf, *usual})))))
     full = inside * (1 - least * least) >= others * F.lit(least * least * floor * floor) - 1e-6
-    return rows.where(F.when(near, full).otherwise(False)).select("path", "unit", "terms")
+    return rows.where(F.when(near, full).otherwise(False)).select("path", F.xxhash64("body", "unit").alias("unit"), "terms", marks(F.col("terms")).alias("marks"))
 
 
 def line_counts(split: DataFrame) -> DataFrame:
@@ -117,8 +153,13 @@ def find_licences(files: DataFrame, templates=TEMPLATES, least: float = 0.75) ->
 
     A term weighs count * idf; idf = ln((1 + lines) / (1 + lines with the term)) over all lines of all files, for
     every term of the corpus; the table of counts stays distributed. Lines, paragraphs (lines up to one without
-    terms) and files as a whole that share at least SHARED terms with a template are scored; ties go to the first
-    template. Null and empty texts have no licence; rows without path are left out; repeated paths act as one file.
+    terms) and files as a whole that share at least SHARED terms with a template are scored, with the templates that
+    hold the same MARKS: names, versions and clauses that tell licences of like wording apart. A unit whose two best
+    licences lie within MARGIN names neither; of a file's units the best counts, ties go to the first template. A name
+    with OR, of words that licences share, gives way to one of its own licences found elsewhere in the file.
+    An SPDX line names a file's licence, or an expression of several, by itself: similarity 1.
+
+    Null and empty texts have no licence; rows without path are left out; the texts of a repeated path are one file's.
     """
     spark = files.sparkSession
     counts = template_terms(spark, templates)
@@ -134,18 +175,28 @@ def find_licences(files: DataFrame, templates=TEMPLATES, least: float = 0.75) ->
     floor = lines - math.log(1.0 + top[-1]["count"]) if len(top) > USUAL else lines
     weights = [(i, templates[i][0], t, n * idf[t], math.sqrt(sum((m * idf[u]) ** 2 for u, m in of.items())), len(of)) for i, of in counts.items() for t, n in of.items()]
     vectors = spark.createDataFrame(weights, "template int, licence string, term string, w double, norm double, distinct_terms int")
+    own_marks = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(templates)], "template int, text string").select("template", marks(terms(F.col("text"))).alias("marks"))
+    vectors = vectors.join(F.broadcast(own_marks), "template")  # as many rows as templates
     likely = stored(candidate_units(split, counts, idf, list(usual), floor, least))
-    counted = stored(likely.select("path", "unit", F.explode("terms").alias("term")).groupBy("path", "unit", "term").agg(F.count("*").alias("tf")))
+    counted = stored(likely.select("path", "unit", "marks", F.explode("terms").alias("term")).groupBy("path", "unit", "marks", "term").agg(F.count("*").alias("tf")))
     # Terms on very many lines take their idf from a broadcast table of fixed size, so that none makes a hot task.
     often = F.broadcast(spark.createDataFrame(sorted({**idf, **usual}.items()), "term string, idf double"))
     common = counted.join(often, "term")
     seldom = counted.join(often, "term", "left_anti").join(seen.hint("merge"), "term").withColumn("idf", F.lit(lines) - F.log(1.0 + F.col("count"))).drop("count")
     scaled = lambda rows: rows.withColumn("x", F.col("tf") * F.col("idf"))
     length = scaled(common.unionByName(seldom)).groupBy("path", "unit").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("length"))
-    dots = scaled(common).join(F.broadcast(vectors), "term").groupBy("path", "unit", "template", "licence", "norm", "distinct_terms").agg(F.sum(F.col("x") * F.col("w")).alias("dot"), F.count("*").alias("common"))
+    dots = scaled(common).join(F.broadcast(vectors), ["term", "marks"]).groupBy("path", "unit", "template", "licence", "norm", "distinct_terms").agg(F.sum(F.col("x") * F.col("w")).alias("dot"), F.count("*").alias("common"))
     scored = dots.where(F.col("common") >= F.least(F.lit(SHARED), "distinct_terms")).join(length, ["path", "unit"]).withColumn("similarity", F.round(F.try_divide("dot", F.col("norm") * F.col("length")), 9))
-    best = F.max(F.struct("similarity", (-F.col("template")).alias("first"), "licence")).alias("best")
-    return stored(scored.where(F.col("similarity") >= least).groupBy("path").agg(best).select("path", F.col("best.licence").alias("licence"), F.col("best.similarity").alias("similarity")))
+    first = F.max(F.struct("similarity", (-F.col("template")).alias("first"), "licence"))
+    by_licence = scored.where(F.col("similarity") >= least).groupBy("path", "unit", "licence").agg(first.alias("best"))
+    ranked = by_licence.groupBy("path", "unit").agg(F.reverse(F.array_sort(F.collect_list("best"))).alias("best"))  # one for each licence at most
+    clear = ranked.where((F.size("best") == 1) | (F.col("best")[0]["similarity"] - F.get("best", F.lit(1))["similarity"] >= MARGIN)).select("path", F.col("best")[0].alias("best"))
+    each = clear.groupBy("path", "best.licence").agg(F.max("best").alias("best")).groupBy("path").agg(F.reverse(F.array_sort(F.collect_list("best"))).alias("best"))
+    shared = F.split(F.col("best")[0]["licence"], " OR ")
+    chosen = each.select("path", F.coalesce(F.get(F.filter("best", lambda b: (F.size(shared) > 1) & F.array_contains(shared, b["licence"])), F.lit(0)), F.col("best")[0]).alias("best"))
+    declared = files.where("path IS NOT NULL").select("path", F.regexp_extract("text", DECLARED, 1).alias("licence")).where("licence <> ''").groupBy("path").agg(F.min("licence").alias("declared"))
+    both = chosen.join(declared, "path", "full")
+    return stored(both.select("path", F.coalesce("declared", "best.licence").alias("licence"), F.when(F.col("declared").isNotNull(), 1.0).otherwise(F.col("best.similarity")).alias("similarity")))
 
 
 def directory(path: Column) -> Column:
