@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from itertools import combinations
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,11 +76,12 @@ def fitting_layouts(schema: T.StructType, layouts: tuple[Layout, ...] = LAYOUTS)
 
 
 def row_layout(fits: list[Layout]) -> Column:
-    """The place in ``fits`` of the layout that a row's fingerprint selects; a row that fits none is an error.
+    """The place in ``fits`` of the layout that a row's fingerprint selects.
 
     A row's fingerprint is the hash of the nested paths below its non-null fields. Each layout stands under the
     fingerprints of all choices of its text fields, since some may be null; the first of ``fits`` has one they share.
-    A row without any text goes to the first layout whose id it has.
+    A row with texts of several layouts goes to the first of these, the one of most paths: columns of the others
+    are extra ones there. A row without any text goes to the first layout whose id it has.
     """
     below: dict[str, set[str]] = {}
     for x in fits:
@@ -95,7 +98,8 @@ def row_layout(fits: list[Layout]) -> Column:
     table = F.create_map(*(F.lit(x) for pair in prints.items() for x in pair))
     kind = F.when(F.size(held) == 0, F.coalesce(*(F.when(F.col(x.conv_id).isNotNull(), i) for i, x in enumerate(fits)), F.lit(0)))
     found = F.try_element_at(table, F.sha2(F.array_join(F.array_sort(held), "\n"), 256))
-    return kind.when(found.isNotNull(), found).otherwise(F.raise_error(F.lit(f"a record has texts of several layouts: {[x.name for x in fits]}")).cast("int"))
+    first = F.coalesce(*(F.when(reduce(or_, (F.col(top).isNotNull() for top in sorted(x.filled))), i) for i, x in enumerate(fits)))
+    return kind.when(found.isNotNull(), found).otherwise(first)
 
 
 def choose_layout(schema: T.StructType, layouts: tuple[Layout, ...] = LAYOUTS) -> Layout:
