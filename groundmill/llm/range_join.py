@@ -17,6 +17,11 @@ PIVOTS, PIVOT_SAMPLE, CELL, BLOCK = 512, 8192, 8192, 8192
 EMPTY = np.zeros(0, np.int64)
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Rows times powers of two that bring their largest entry near one: exact, and no square over- or underflows."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1))[1][:, None]) if len(vectors) and vectors.shape[1] else vectors
+
+
 def choose_pivots(vectors: np.ndarray, count: int) -> np.ndarray:
     """Rows far from each other, greedily: each next pivot is the one farthest from those chosen."""
     if not len(vectors) or count < 1:
@@ -50,7 +55,7 @@ def _compare(table: pa.Table, width: int, cosine: float) -> pa.RecordBatch:
     """Links of each work unit, as counts per vector and edges that connect them."""
     unit = table["unit"].to_numpy()
     rep, own, side, weight = (table[c].to_numpy() for c in ("rep", "visitor", "side", "weight"))
-    vectors = matrix(table["embedding"], width)
+    vectors = scaled(matrix(table["embedding"], width))
     length = np.sqrt((vectors * vectors).sum(axis=1))
     links = np.zeros(len(unit), np.int64)
     ends_a, ends_b = [], []
@@ -84,7 +89,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, cell: int = CELL, bloc
     connect its links, never the links themselves.
 
     Equal vectors are one row with a weight, and link with each other. Null, zero and non-finite vectors link with
-    nothing. Vectors of unequal length compare as if padded with zeros. Rows of one vec_id and equal vector count
+    nothing; all others are scaled by powers of two first, so any magnitude is compared. Vectors of unequal length compare as if padded with zeros. Rows of one vec_id and equal vector count
     once; with unequal vectors, each counts, under the id's one result. Rows without vec_id get null results.
     """
     fine = usable(vectors).distinct()
@@ -92,13 +97,13 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, cell: int = CELL, bloc
     classes = stored(fine.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight")))
     count = classes.count()
     radius = float(np.sqrt(2 - 2 * cosine))
-    drawn = sample(classes.withColumnRenamed("rep", "vec_id"), PIVOT_SAMPLE, width)
+    drawn = scaled(sample(classes.withColumnRenamed("rep", "vec_id"), PIVOT_SAMPLE, width))
     drawn = drawn / np.sqrt((drawn * drawn).sum(axis=1))[:, None]
     pivots = choose_pivots(drawn, min(PIVOTS, -(-count // cell)))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            v = matrix(batch["embedding"], width)
+            v = scaled(matrix(batch["embedding"], width))
             home, row, cell = cells_of(v / np.sqrt((v * v).sum(axis=1))[:, None], pivots, radius)
             every = np.concatenate([np.arange(len(v)), row])
             told = np.concatenate([np.zeros(len(v), np.int32), np.ones(len(row), np.int32)])
