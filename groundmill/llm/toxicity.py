@@ -114,7 +114,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, most: int = 12_000, longest
     The toxic dictionary is trained on all words of two or more toxic documents whose share of toxic documents exceeds
     that of ordinary ones by ``tell`` in log odds, each as often as it is worth, and has room for all of them; where
     there are none, on those of any positive log odds, and else on words drawn from the toxic documents. The ordinary one is trained on ``drawn_words``
-    windows drawn from ordinary documents; the weights are fitted on the window lengths of the same documents. Equal
+    windows drawn from ordinary documents; words over WINDOW bytes are cut into windows, as in scoring. The weights are fitted on the window lengths of the same documents. Equal
     texts count once; a doc_id or text with several labels is toxic if any is. Only A-Z are lowered.
     Without documents of both kinds there is no model. All that the driver gets is bounded by the parameters.
     Words are judged one by one: a phrase of ordinary words tells nothing.
@@ -127,21 +127,23 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, most: int = 12_000, longest
     bad, good = sizes.get(1, 0), sizes.get(0, 0)
     if not bad or not good:
         return None
-    word = known.select("doc_id", "toxic", F.posexplode(F.split(F.translate("text", ascii_uppercase, ascii_lowercase), WORD_GAP)).alias("place", "word")).where("word <> '' AND octet_length(word) <= 64")
+    word = known.select("doc_id", "toxic", F.posexplode(F.split(F.translate("text", ascii_uppercase, ascii_lowercase), WORD_GAP)).alias("place", "word")).where("word <> ''")
+    cuts = F.transform(F.sequence(F.lit(0), ((F.octet_length("word") - 1) / WINDOW).cast("int")), lambda i: F.substring(F.col("word").cast("binary"), i * WINDOW + 1, F.lit(WINDOW)))
+    word = word.select("doc_id", "toxic", "place", F.explode(cuts).alias("word"))
     shares = word.select("doc_id", "toxic", "word").distinct().groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("o"))
     odds = F.log((F.col("t") + 0.5) / (bad + 1)) - F.log((F.col("o") + 0.5) / (good + 1))
     worth = F.col("t") * odds
     told_words = lambda least: shares.where((F.col("t") >= 2) & (odds > least)).select("word", worth.alias("worth")).orderBy(F.desc("worth"), "word").collect()
     marks = told_words(tell) or told_words(0.0)
-    plain = word.where("toxic = 0").orderBy(F.xxhash64("doc_id", "place"), "doc_id", "place").limit(drawn_words).collect()
+    plain = word.where("toxic = 0").orderBy(F.xxhash64("doc_id", "place"), "doc_id", "place", "word").limit(drawn_words).collect()
     rng = np.random.default_rng(5)
     if marks:
         share = 12_000 / sum(r["worth"] for r in marks)
-        telling = [r["word"].encode() for r in marks for _ in range(1 + int(r["worth"] * share))]
+        telling = [bytes(r["word"]) for r in marks for _ in range(1 + int(r["worth"] * share))]
     else:
-        telling = [r["word"].encode() for r in word.where("toxic = 1").orderBy(F.xxhash64("doc_id", "place"), "doc_id", "place").limit(drawn_words).collect()] or [b""]
-    usual = [r["word"].encode() for r in plain] or [b""]
-    room = max(DICTIONARY, 2 * sum(len(_framed(r["word"].encode())) for r in marks))
+        telling = [bytes(r["word"]) for r in word.where("toxic = 1").orderBy(F.xxhash64("doc_id", "place"), "doc_id", "place", "word").limit(drawn_words).collect()] or [b""]
+    usual = [bytes(r["word"]) for r in plain] or [b""]
+    room = max(DICTIONARY, 2 * sum(len(_framed(bytes(r["word"]))) for r in marks))
     model = ToxicityModel(train_dictionary([usual[i] for i in rng.permutation(len(usual))]), train_dictionary([telling[i] for i in rng.permutation(len(telling))], room))
     rows = measured(known, model, ["toxic"]).orderBy("doc_id").collect()
     return ToxicityModel(model.ordinary, model.toxic, calibrate(np.array([r["features"] for r in rows]), np.array([float(r["toxic"]) for r in rows])))

@@ -204,8 +204,10 @@ def test_chat_rows_of_several_layouts(spark):
     assert {k: v for k, v in out.items() if k != 5} == {1: [("user", "q"), ("assistant", "a")], 2: [("user", "m")], 3: [("user", "x"), ("assistant", "y")], 4: [("user", "half"), ("assistant", "")]}
     assert all(not text for _, text in out[5])
     both = spark.createDataFrame([(1, "q", "a", [("user", "m")], None, None, None, None)], kinds)
-    with pytest.raises(Exception, match="several layouts"):
-        chat.canonical_turns(both).collect()
+    assert [(r["conv_id"], r["turns"]) for r in chat.canonical_turns(both).collect()] == [(1, [(0, "user", "m")])]
+    # Turn rows beside columns that look like another layout are turn rows.
+    extra = spark.createDataFrame([(1, 0, "user", "x", 7, "p", "c"), (1, 1, "assistant", "y", 7, "p", "c")], "conv_id long, turn long, role string, text string, id long, prompt string, completion string")
+    assert [(r["conv_id"], r["turns"]) for r in chat.canonical_turns(extra).collect()] == [(1, [(0, "user", "x"), (1, "assistant", "y")])]
 
 
 def test_toxicity(spark, messy, none):
@@ -224,6 +226,40 @@ def test_toxicity(spark, messy, none):
     assert {r["toxicity"] for r in toxicity.score_toxicity(messy, None).collect()} == {0.0}
 
 
+def test_toxicity_is_that_of_a_plain_scorer(spark):
+    import zstandard
+
+    docs = spark.read.parquet(f"{DATA}/sf0.01/documents.parquet").where("doc_id < 400")
+    model = toxicity.fit_toxicity(docs, spark.read.parquet(f"{DATA}/sf0.01/labels.parquet"))
+
+    def plain(text):
+        gains = []
+        for word in re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower()) or [b""]:
+            for at in range(0, max(len(word), 1), 64):
+                framed, size = b"=<window>= " + word[at : at + 64] + b" =<window>=", []
+                for data, raw in (model.ordinary, model.toxic):
+                    known = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT if raw else zstandard.DICT_TYPE_AUTO)
+                    size.append(len(zstandard.ZstdCompressor(level=12, dict_data=known, write_checksum=False, write_content_size=False, write_dict_id=False).compress(framed)))
+                gains.append(size[0] - size[1])
+        top = sorted(gains, reverse=True)
+        share = lambda n: sum(g >= n for g in gains)
+        x = [top[0], np.mean(top[:2]), np.mean(top[:3]), np.mean(gains), share(3) / len(gains), share(5) / len(gains), min(share(4), 5), min(share(6), 5), np.log(len(gains)), top[min(1, len(top) - 1)]]
+        return 1 / (1 + np.exp(-np.clip(np.dot(x, model.weights[:-1]) + model.weights[-1], -35, 35)))
+
+    some = spark.createDataFrame([(1, "x" * 200 + " fool"), (2, None), (3, ""), (4, "Idiot I\u0307 \u212a"), *((10 + r["doc_id"], r["text"][:400]) for r in docs.limit(6).collect())], "doc_id long, text string")
+    for r in toxicity.score_toxicity(some, model).collect():
+        assert abs(r["toxicity"] - plain(r["text"])) < 1e-9
+
+
+def test_long_toxic_words_are_learnt_in_windows(spark):
+    bad = hashlib.sha512(b"x").hexdigest()[:120]
+    rows = [(i, f"some plain words {bad} here {i % 7}", 1) for i in range(40)] + [(100 + i, f"some plain words here {i % 7} and {i % 11}", 0) for i in range(80)]
+    some = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    fresh = spark.createDataFrame([(1, f"some plain words {bad} here 9"), (2, "some plain words here 9 and 9")], "doc_id long, text string")
+    scored = {r["doc_id"]: r["toxicity"] for r in toxicity.score_toxicity(fresh, toxicity.fit_toxicity(some, some)).collect()}
+    assert scored[1] >= 0.5 > scored[2]
+
+
 def test_toxicity_of_many_rare_words(spark):
     """100 words, each in 3 of 300 toxic documents, and labels of both kinds that no word tells apart."""
     draw = np.random.default_rng(6)
@@ -271,6 +307,12 @@ def test_range_join(spark, cell, block):
     assert range_join.near_vectors(table.limit(0)).count() == 0
 
 
+def test_vectors_of_any_magnitude(spark):
+    rows = [(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1e-170, 0.0]), (4, [0.0, 1e-170]), (5, [1e200, 0.0]), (6, [1e308, 1e308]), (7, [5e-324, 5e-324])]
+    found = range_join.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in found.collect()} == {1: (2, 1), 2: (1, 2), 3: (2, 1), 4: (1, 2), 5: (2, 1), 6: (1, 6), 7: (1, 6)}
+
+
 def test_additive_search(spark):
     table = spark.createDataFrame(vectors(), "vec_id long, embedding array<float>").withColumn("codes", F.lit(1))
     good = usable([(r["vec_id"], r["embedding"]) for r in table.collect()])
@@ -450,6 +492,46 @@ def test_licences(spark, messy, none):
         assert (r["similarity"] is not None) == bool(re.search("MIT License|Apache License|CC BY-NC 4.0|GNU General", docs[r["doc_id"]]))
 
 
+def test_licences_of_like_wording_are_told_apart(spark):
+    gnu = "This {0} is free software{1} you can redistribute it and/or modify it under the terms of the GNU {2}General Public License as published by the Free Software Foundation{3} either version {4} of the License, or (at your option) any later version."
+    cc = "This work is licensed under a Creative Commons Attribution{} 4.0 International License."
+    clauses = [
+        "Copyright (c) 2020, Someone\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:",
+        "1. Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the following disclaimer.",
+        "2. Redistributions in binary form must reproduce the above copyright notice,\n   this list of conditions and the following disclaimer in the documentation\n   and/or other materials provided with the distribution.",
+    ]
+    third = "3. Neither the name of the copyright holder nor the names of its contributors\n   may be used to endorse or promote products derived from this software without\n   specific prior written permission."
+    end = next(t for name, t in licences.TEMPLATES if name == "BSD-2-Clause").partition("distribution. ")[2]
+    notices = {
+        gnu.format("program", ":", "", ",", "3"): "GPL-3.0",
+        gnu.format("program", ";", "", ";", "2"): "GPL-2.0",
+        gnu.format("program", ":", "Affero ", ",", "3"): "AGPL-3.0",
+        gnu.format("library", ";", "Lesser ", ";", "2.1"): "LGPL-2.1",
+        gnu.format("library", ":", "Lesser ", ",", "3"): "LGPL-3.0",
+        gnu.format("library", ";", "Library ", ";", "2"): "LGPL-2.0",
+        gnu.format("program", ";", "", ";", "1"): None,
+        cc.format(""): "CC-BY-4.0",
+        cc.format("-ShareAlike"): "CC-BY-SA-4.0",
+        cc.format("-NonCommercial"): "CC-BY-NC-4.0",
+        cc.format("-NonCommercial-NoDerivatives"): "CC-BY-NC-ND-4.0",
+        "This work is licensed under a Creative Commons Attribution 3.0 International License.": None,
+        "\n\n".join([*clauses, end]): "BSD-2-Clause",
+        "\n\n".join([*clauses, third, end]): "BSD-3-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted": "BSD-2-Clause OR BSD-3-Clause",
+        "// SPDX-License-Identifier: MIT\nint x;": "MIT",
+        "# SPDX-License-Identifier: GPL-2.0-only OR MIT": "GPL-2.0-only OR MIT",
+        "This project is licensed under the MIT License - see the LICENSE file for details.": "MIT",
+        "This project is licensed under the BSD License - see the LICENSE file for details.": None,
+        "Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with the License.": "Apache-2.0",
+        "Licensed under the Apache License, Version 1.1": None,
+    }
+    rows = [(f"n/{i}", t) for i, t in enumerate(notices)] + [(f"doc/{d}", t) for d, t in enumerate(r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect())]
+    rows += [("twice", "Released under the"), ("twice", "MIT License"), ("twice", "Licensed under CC BY-SA 4.0")]
+    found = {r["path"]: r["licence"] for r in licences.find_licences(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert {t: found.get(f"n/{i}") for i, t in enumerate(notices)} == notices
+    assert found["twice"] == "CC-BY-SA-4.0"
+
+
 def test_licences_weigh_every_term_by_its_own_lines(spark, monkeypatch):
     """An ordinary word beside a notice must not sink it, however large the corpus; equal to a plain scorer."""
     filler = [f"by and see the plain w{i % 997} under v{i % 31}" for i in range(4000)] + [f"released mit license u{i}" for i in range(300)]
@@ -466,16 +548,21 @@ def test_licences_weigh_every_term_by_its_own_lines(spark, monkeypatch):
     idf = lambda w: np.log((1 + len(lines)) / (1 + df[w]))
     vector = lambda ws: {w: ws.count(w) * idf(w) for w in set(ws)}
     norm = lambda v: np.sqrt(sum(x * x for x in v.values()))
-    marks = [(name, vector(cut(t))) for name, t in licences.TEMPLATES]
+    versions = lambda ws: {f"version {b}" for a, b in zip(ws, ws[1:]) if a in ("version", "v") and b.isdigit()}  # noqa: B905, E731
+    told = lambda ws: {w for w in ws if w in licences.MARKS or re.fullmatch(r"\d{1,2}\.\d{1,2}", w)} | versions(ws)
+    models = [(name, vector(cut(t)), told(cut(t))) for name, t in licences.TEMPLATES]
     want = {}
     for path, t in texts:
         for unit in [*(cut(x) for x in t.split("\n")), *(cut(x) for x in re.split(licences.BREAK, t)), cut(t)]:
-            v = vector(unit)
-            for name, m in marks:
-                if len(v.keys() & m.keys()) >= min(3, len(m)):
-                    s = round(sum(v[w] * m[w] for w in v.keys() & m.keys()) / norm(v) / norm(m), 6)
-                    if s >= 0.75 and s > want.get(path, ("", 0))[1]:
-                        want[path] = (name, s)
+            v, near = vector(unit), {}
+            for name, m, own in models:
+                if len(v.keys() & m.keys()) >= min(3, len(m)) and own == told(unit):
+                    s = round(sum(v[w] * m[w] for w in v.keys() & m.keys()) / norm(v) / norm(m), 9)
+                    if s >= 0.75 and s > near.get(name, 0):
+                        near[name] = s
+            first, second = (sorted(near.values(), reverse=True) + [0, 0])[:2]
+            if first and first - second >= licences.MARGIN and round(first, 6) > want.get(path, ("", 0))[1]:
+                want[path] = (max(near, key=near.get), round(first, 6))
     assert {f"f/{len(filler)}", f"f/{len(filler) + 4}"} <= want.keys() and f"f/{len(filler) + 2}" not in want
     assert want[f"f/{len(filler) + 5}"][0] == "GPL-3.0" and want[f"f/{len(filler) + 6}"][0] == "Apache-2.0"
     for usual in (2, 1000):
