@@ -100,20 +100,57 @@ def augment(cells: DataFrame, size: int, seed: int, bands: tuple[str, ...] = ("r
 def _to_nearest(px: DataFrame, targets: DataFrame, out: str) -> DataFrame:
     """``out``: distance to the nearest target cell of the scene, however far; null only in scenes without a target.
 
-    Two exact passes: along each column that has a target the distance to its nearest one, on every row of the scene,
-    then along each row the least over those columns. A row's cells and columns are held together, never a scene.
+    Exact, in time linear in the scene's extent. Down each column the rows between two targets are dealt to them, so
+    every row knows each column's distance d. Along each row the squared distance is the lower envelope of the
+    parabolas (x - column)^2 + d^2, which one sweep over the columns builds; no cell is compared with all of them.
+    A task holds one row's columns and cells, never a scene.
     """
-    t = targets.select("scene_id", "y", F.col("x").alias("_tx"), F.col("y").alias("_ty")).distinct()
-    lines = px.select("scene_id", "y").distinct().join(t.select("scene_id", "_tx").distinct(), "scene_id").join(t, ["scene_id", "y", "_tx"], "left")
-    column = Window.partitionBy("scene_id", "_tx").orderBy("y")
-    above = F.last("_ty", ignorenulls=True).over(column.rowsBetween(Window.unboundedPreceding, 0))
-    below = F.first("_ty", ignorenulls=True).over(column.rowsBetween(0, Window.unboundedFollowing))
-    down = lines.select("scene_id", "y", F.col("_tx").alias("x"), F.least(F.col("y") - above, below - F.col("y")).alias("d"))
-    known = down.groupBy("scene_id", "y").agg(F.collect_list(F.struct("x", "d")).alias("_known"))
+    ends = px.groupBy("scene_id").agg(F.min("y").alias("_y0"), F.max("y").alias("_y1"))
+    column = Window.partitionBy("scene_id", "_tx").orderBy("_ty")
+    t = targets.select("scene_id", F.col("x").alias("_tx"), F.col("y").alias("_ty")).distinct()
+    t = t.withColumn("_prev", F.lag("_ty").over(column)).withColumn("_next", F.lead("_ty").over(column)).join(ends, "scene_id")
+    top = F.greatest(F.when(F.col("_prev").isNull(), F.col("_y0")).otherwise(F.col("_ty")), "_y0")
+    end = F.least(F.coalesce(F.col("_next") - 1, F.col("_y1")), "_y1")
+    rows = t.where(top <= end).select("scene_id", "_tx", "_ty", "_next", F.explode(F.sequence(top, end)).alias("y"))
+    d = F.least(F.abs(F.col("y") - F.col("_ty")), F.col("_next") - F.col("y")).cast("long")
+    known = rows.groupBy("scene_id", "y").agg(F.array_sort(F.collect_list(F.struct(F.col("_tx").cast("long").alias("x"), d.alias("d")))).alias("_known"))
     cells = px.groupBy("scene_id", "y").agg(F.collect_set("x").alias("_cells"))
-    near = F.transform("_cells", lambda x: F.struct(x.alias("x"), F.array_min(F.transform("_known", lambda k: F.hypot(k["x"] - x, k["d"]))).alias(out)))
-    found = cells.join(known, ["scene_id", "y"]).select("scene_id", "y", F.explode(near).alias("_n")).select("scene_id", "y", "_n.x", f"_n.{out}")
-    return px.join(found, ["scene_id", "y", "x"], "left")
+    met = cells.join(known, ["scene_id", "y"]).select("scene_id", "y", "_cells", F.col("_known.x").alias("_kx"), F.col("_known.d").alias("_kd"))
+
+    def sweep(batches):  # carries what it needs along: executors need not have this package
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            found, sizes = [], []
+            for i in range(batch.num_rows):
+                cells, xs, ds = (batch[c][i].values.to_numpy(zero_copy_only=False).astype(np.int64) for c in ("_cells", "_kx", "_kd"))
+                heights = (ds * ds + xs * xs).tolist()
+                places = xs.tolist()
+                held, starts = [0], [-np.inf]
+                for q in range(1, len(places)):
+                    while True:
+                        p = held[-1]
+                        cut = (heights[q] - heights[p]) / (2 * (places[q] - places[p]))
+                        if cut > starts[-1]:
+                            break
+                        held.pop()
+                        starts.pop()
+                    held.append(q)
+                    starts.append(cut)
+                at = np.searchsorted(starts, cells, side="right") - 1
+                # Cuts are rounded, so the parabolas beside are looked at, too; squares are whole numbers.
+                near = np.array(held)[np.clip(at + np.array([[-1], [0], [1]]), 0, len(held) - 1)]
+                best = near[((cells - xs[near]) ** 2 + ds[near] ** 2).argmin(axis=0), np.arange(len(cells))]
+                found.append(np.hypot(cells - xs[best], ds[best]))
+                sizes.append(len(cells))
+            ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch["scene_id"], batch["y"], batch["_cells"], pa.ListArray.from_arrays(ends, pa.array(np.concatenate([*found, np.zeros(0)])))], ["scene_id", "y", "_cells", "_d"])
+
+    kinds = dict(met.dtypes)
+    done = met.mapInArrow(sweep, f"scene_id {kinds['scene_id']}, y {kinds['y']}, _cells {kinds['_cells']}, _d array<double>")
+    each = done.select("scene_id", "y", F.explode(F.arrays_zip(F.col("_cells").alias("x"), F.col("_d").alias(out))).alias("_n")).select("scene_id", "y", "_n.x", f"_n.{out}")
+    return px.join(each, ["scene_id", "y", "x"], "left")
 
 
 def boundary_weight(px: DataFrame, mask: str = "mask", scale: float = 3.0) -> DataFrame:

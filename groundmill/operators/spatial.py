@@ -152,30 +152,72 @@ def cover_overlap_pairs(cover: DataFrame, id: str = "region_id", thr: float = 0.
     return both.where(F.col("common") > thr * F.least("na", "nb")).select("a", "b")
 
 
-def suppress_overlaps(boxes: DataFrame, id: str, rank: Sequence[Column], cell: float, thr: float = 0.1, rounds: int = 200) -> DataFrame:
+#: Edges of a walk that one task takes.
+WALK_BLOCK = 1_000_000
+
+
+def _losers(edges: DataFrame, block: int) -> DataFrame:
+    """``id`` of the nodes that lose when nodes are walked in rank order and win unless a better neighbour has won.
+
+    ``edges(first, second, rank)``: ``first`` is better, ``rank`` is that of ``second`` and total. Each round deals
+    edges out by range of rank, ``block`` edges a task, and each task walks its own nodes in order: a node loses to a
+    winner, wins once all its better neighbours have lost, and stays open if it hangs on a node of another task.
+    Dependences run from lower ranges to higher ones, so a round settles at least the lowest range that is open: a
+    chain takes as many rounds as it has ranges, not nodes, and short chains take one. Hot nodes are streamed.
+    """
+    kind = dict(edges.dtypes)["second"]
+
+    def walk(batches):  # carries what it needs along: executors need not have this package
+        import pyarrow as pa
+
+        won, lost = set(), set()
+        node, beaten, hangs = None, False, False
+
+        def settle(out):
+            if node is not None and (beaten or not hangs):
+                (lost if beaten else won).add(node)
+                out.append((node, beaten))
+
+        for batch in batches:
+            out = []
+            for first, second, root in zip(batch["first"].to_pylist(), batch["second"].to_pylist(), batch["root"].to_pylist(), strict=True):
+                if second != node:
+                    settle(out)
+                    node, beaten, hangs = second, False, False
+                beaten = beaten or root or first in won
+                hangs = hangs or not (root or first in won or first in lost)
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], batch.schema.field("second").type), pa.array([x[1] for x in out], pa.bool_())], ["id", "beaten"])
+            last = batch.schema.field("second").type
+        out = []
+        settle(out)
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array([out[0][0]], last), pa.array([out[0][1]], pa.bool_())], ["id", "beaten"])
+
+    open_, gone = stored(edges), None
+    while count := open_.count():
+        roots = open_.select(F.col("first").alias("_r")).distinct().join(open_.select(F.col("second").alias("_r")).distinct(), "_r", "left_anti")
+        told = open_.join(roots.hint("merge"), F.col("first") == F.col("_r"), "left").select("first", "second", "rank", F.col("_r").isNotNull().alias("root"))
+        dealt = told.repartitionByRange(-(-count // block), "rank").sortWithinPartitions("rank").select("first", "second", "root")
+        done = stored(dealt.mapInArrow(walk, f"id {kind}, beaten boolean"))
+        lost = done.where("beaten").select("id")
+        gone = lost if gone is None else gone.unionByName(lost)
+        left = open_.join(done.select(F.col("id").alias("second")), "second", "left_anti").join(lost.withColumnRenamed("id", "first"), "first", "left_anti")
+        open_ = stored(left.select("first", "second", "rank"))
+    return edges.select(F.col("second").alias("id")).limit(0) if gone is None else gone
+
+
+def suppress_overlaps(boxes: DataFrame, id: str, rank: Sequence[Column], cell: float, thr: float = 0.1, block: int = WALK_BLOCK) -> DataFrame:
     """Rows kept by walking in rank order and keeping a row unless a kept earlier one overlaps it.
 
-    The walk runs in rounds over the pair graph: a row without an undecided better neighbour is kept, neighbours of
-    kept rows go. Ranks compare as tuples, ``id`` last, so they are total; the rounds needed are the longest chain of
-    ever worse neighbours.
+    Ranks compare as tuples, ``id`` last, so they are total. Chains of any length settle (``_losers``).
     """
     ranked = boxes.select(F.col(id).alias("id"), F.struct(*(c.alias(f"k{i}") for i, c in enumerate(rank)), F.col(id).alias("id")).alias("rank"))
     pairs = overlap_pairs(boxes, id, cell, thr)
     both = pairs.join(ranked.toDF("a", "ra"), "a").join(ranked.toDF("b", "rb"), "b")
     better = F.col("ra") < F.col("rb")
-    open_ = stored(both.select(F.when(better, F.col("a")).otherwise(F.col("b")).alias("first"), F.when(better, F.col("b")).otherwise(F.col("a")).alias("second")))
-    gone = None
-    for _ in range(rounds):
-        if open_.isEmpty():
-            break
-        kept = open_.select(F.col("first").alias("k")).distinct().join(open_.select(F.col("second").alias("k")).distinct(), "k", "left_anti")
-        lost = stored(open_.join(kept, F.col("first") == F.col("k"), "left_semi").select(F.col("second").alias("id")).distinct())
-        gone = lost if gone is None else gone.unionByName(lost)
-        left = open_.join(lost.withColumnRenamed("id", "first"), "first", "left_anti").join(lost.withColumnRenamed("id", "second"), "second", "left_anti")
-        open_ = stored(left.select("first", "second"))
-    else:
-        raise RuntimeError(f"suppression did not settle in {rounds} rounds")
-    return boxes if gone is None else boxes.join(gone.withColumnRenamed("id", id), id, "left_anti")
+    swap = lambda x, y: F.when(better, F.col(x)).otherwise(F.col(y))
+    gone = _losers(both.select(swap("a", "b").alias("first"), swap("b", "a").alias("second"), swap("rb", "ra").alias("rank")), block)
+    return boxes.join(gone.withColumnRenamed("id", id), id, "left_anti")
 
 
 def dissolve(a: DataFrame, b: DataFrame, conn: int = 8) -> DataFrame:
@@ -223,21 +265,16 @@ def scene_overlap_pct(gt: DataFrame, pred: DataFrame) -> DataFrame:
     return out.withColumn("warn", F.least("pct_of_gt", "pct_of_pred") < 30)
 
 
-def group_nearby(boxes: DataFrame, id: str, d: float, cell: float) -> DataFrame:
+def group_nearby(boxes: DataFrame, id: str, d: float, cell: float, block: int = WALK_BLOCK) -> DataFrame:
     """``boxes`` with ``group``: rows in id order take later rows within ``d`` that no earlier seed took; not transitive.
 
-    Each round settles at least the first open row of every chain, and rounds go on until none is open.
+    Chains of any length settle (``_losers``).
     """
     side = boxes.select(id, "bbox")
     gap = lambda lo, hi: F.greatest(F.col(f"_p.{lo}") - F.col(f"_q.{hi}"), F.col(f"_q.{lo}") - F.col(f"_p.{hi}"), F.lit(0.0))
     near = candidate_pairs(side, side, id, id, cell, pad=d).toDF("a", "b").where("a < b").join(side.toDF("a", "_p"), "a").join(side.toDF("b", "_q"), "b")
     pairs = stored(near.where(F.hypot(gap("x0", "x1"), gap("y0", "y1")) <= d).select("a", "b"))
-    open_, gone = pairs, None
-    while not open_.isEmpty():
-        seeds = open_.select(F.col("a").alias("k")).distinct().join(open_.select(F.col("b").alias("k")).distinct(), "k", "left_anti")
-        taken = stored(open_.join(seeds, F.col("a") == F.col("k"), "left_semi").select("b").distinct())
-        gone = taken if gone is None else gone.unionByName(taken)
-        open_ = stored(open_.join(taken.withColumnRenamed("b", "a"), "a", "left_anti").join(taken, "b", "left_anti").select("a", "b"))
-    seeds_of = pairs if gone is None else pairs.join(gone.distinct().withColumnRenamed("b", "a"), "a", "left_anti").join(gone.distinct(), "b", "left_semi")
+    gone = _losers(pairs.select(F.col("a").alias("first"), F.col("b").alias("second"), F.col("b").alias("rank")), block)
+    seeds_of = pairs.join(gone.withColumnRenamed("id", "a"), "a", "left_anti").join(gone.withColumnRenamed("id", "b"), "b", "left_semi")
     first = seeds_of.groupBy("b").agg(F.min("a").alias("group"))
     return boxes.join(first, F.col(id) == F.col("b"), "left").withColumn("group", F.coalesce("group", id)).drop("b")
