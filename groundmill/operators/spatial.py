@@ -103,6 +103,7 @@ def geometry_anti(every: DataFrame, present: DataFrame, wkt: str = "wkt") -> Dat
     return every.withColumn("_h", F.sha2(wkt, 256)).join(gone, "_h", "left_anti").drop("_h")
 
 
+# Usual names of id columns, in the order in which they are tried.
 ID_NAMES = ("FID", "OBJECTID", "ID", "index", "ORIG_FID")
 
 
@@ -134,13 +135,55 @@ def box_area(b: Column) -> Column:
     return (b["x1"] - b["x0"]) * (b["y1"] - b["y0"])
 
 
-def overlap_pairs(boxes: DataFrame, id: str, cell: float, thr: float = 0.1) -> DataFrame:
-    """``(a, b)``, a < b, of boxes whose common area exceeds ``thr`` of the smaller one."""
+def ring_area(ring: Column) -> Column:
+    return F.abs(F.aggregate(edges(ring), F.lit(0.0), lambda s, e: s + e["a"]["x"] * e["b"]["y"] - e["b"]["x"] * e["a"]["y"])) / 2
+
+
+def _sides_above(ring: Column, base: Column) -> Column:
+    """Sides that are not upright, from left to right: struct<x0,x1,y0,slope,sign>, heights above ``base``."""
+    leans = F.filter(edges(ring), lambda e: e["a"]["x"] != e["b"]["x"])
+
+    def side(e: Column) -> Column:
+        forth = e["a"]["x"] < e["b"]["x"]
+        pick = lambda k, lo: F.when(forth == lo, e["a"][k]).otherwise(e["b"][k])
+        slope = (e["b"]["y"] - e["a"]["y"]) / (e["b"]["x"] - e["a"]["x"])
+        return F.struct(pick("x", True).alias("x0"), pick("x", False).alias("x1"), (pick("y", True) - base).alias("y0"), slope.alias("slope"), F.when(forth, 1.0).otherwise(-1.0).alias("sign"))
+
+    return F.transform(leans, side)
+
+
+def ring_overlap_area(a: Column, b: Column) -> Column:
+    """The common area of two simple rings of any shape, exactly but for rounding.
+
+    A point inside a ring lies below one more of its sides that run one way than of those that run the other. So the
+    common area is a sum over pairs of sides, one of each ring: the area below both, down to a line under both rings,
+    with the product of their signs. Below two straight sides that is a trapezoid, or two where they cross.
+    """
+    lowest = lambda r: F.array_min(F.transform(r, lambda p: p["y"]))
+    base = F.least(lowest(a), lowest(b))
+
+    def below(s: Column, t: Column) -> Column:
+        lo, hi = F.greatest(s["x0"], t["x0"]), F.least(s["x1"], t["x1"])
+        at = lambda e, x: e["y0"] + e["slope"] * (x - e["x0"])
+        d0, d1 = at(s, lo) - at(t, lo), at(s, hi) - at(t, hi)
+        # Area below the lower one: below t, less the part where s is lower still.
+        under = (at(t, lo) + at(t, hi)) / 2 * (hi - lo)
+        less = F.when((d0 >= 0) & (d1 >= 0), 0.0).when((d0 <= 0) & (d1 <= 0), (d0 + d1) / 2 * (hi - lo)).otherwise(F.least(d0, d1) * F.abs(F.least(d0, d1)) / (F.abs(d0) + F.abs(d1)) / 2 * (hi - lo))
+        return F.when(lo < hi, s["sign"] * t["sign"] * (under + less)).otherwise(0.0)
+
+    sum_over = lambda sides, f: F.aggregate(sides, F.lit(0.0), lambda acc, x: acc + f(x))
+    return F.abs(sum_over(_sides_above(a, base), lambda s: sum_over(_sides_above(b, base), lambda t: below(s, t))))
+
+
+def overlap_pairs(boxes: DataFrame, id: str, cell: float, thr: float = 0.1, exact: bool = False) -> DataFrame:
+    """``(a, b)``, a < b, of boxes whose common area exceeds ``thr`` of the smaller one; with ``exact`` of their rings."""
+    shape = "ring" if exact else "bbox"
     side = boxes.select(id, "bbox")
     pairs = candidate_pairs(side, side, id, id, cell).toDF("a", "b").where("a < b")
-    both = pairs.join(side.toDF("a", "_p"), "a").join(side.toDF("b", "_q"), "b")
+    both = pairs.join(boxes.select(F.col(id).alias("a"), F.col(shape).alias("_p")), "a").join(boxes.select(F.col(id).alias("b"), F.col(shape).alias("_q")), "b")
     p, q = F.col("_p"), F.col("_q")
-    return both.where(box_overlap_area(p, q) > thr * F.least(box_area(p), box_area(q))).select("a", "b")
+    common, area = (ring_overlap_area, ring_area) if exact else (box_overlap_area, box_area)
+    return both.where(common(p, q) > thr * F.least(area(p), area(q))).select("a", "b")
 
 
 def cover_overlap_pairs(cover: DataFrame, id: str = "region_id", thr: float = 0.1) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from groundmill.functions import pixels
 from groundmill.operators import curate, focal, labels, metrics, mosaic, normalize, polygons, spatial, tiling
 from groundmill.plans import greencover
-from groundmill.plans.queries import TILES, _boxes, _px, _scenes, _tiles, mirror, near_sql, query
+from groundmill.plans.queries import CELL, TILES, _boxes, _px, _scenes, _tiles, mirror, near_sql, query
 
 THRESHOLDS = {"building": 0.5, "vegetation": 0.28}
 #: An affine map with turn and stretch: x = a col + b row + c, y = d col + e row + f.
@@ -278,3 +278,53 @@ def guarded_open(spark, d):
     """Every second scene is a clean block and is opened, the others are noise and stay."""
     block = F.col("y").between(10, 19) & F.col("x").between(10, 29) | ((F.col("scene_id") % 2 == 1) & (F.col("gt") == 1))
     return focal.guarded_open(_px(spark, d).select("scene_id", "y", "x", block.cast("int").alias("mask")))
+
+
+@query("""WITH b AS (SELECT scene_id, y, x, least(floor(p_building * 64), 63)::INT AS bin, least(floor(y / 7.5), 3)::INT AS gy, least(floor(x / 12.5), 3)::INT AS gx FROM px),
+h AS (SELECT scene_id, gy, gx, bin, count(*) AS c FROM b GROUP BY 1, 2, 3, 4), n AS (SELECT scene_id, gy, gx, sum(c) AS n FROM h GROUP BY 1, 2, 3),
+cut AS (SELECT n.scene_id, n.gy, n.gx, k AS bin, n, least(coalesce(c, 0), greatest(1.0::DOUBLE, 0.02::DOUBLE * n)) AS cut FROM n CROSS JOIN range(64) r(k) LEFT JOIN h ON h.scene_id = n.scene_id AND h.gy = n.gy AND h.gx = n.gx AND h.bin = k),
+spread AS (SELECT *, cut + (n - sum(cut) OVER (PARTITION BY scene_id, gy, gx)) / 64 AS v FROM cut),
+cdf AS (SELECT scene_id, gy, gx, bin, sum(v) OVER (PARTITION BY scene_id, gy, gx ORDER BY bin) / n AS cdf FROM spread),
+f AS (SELECT scene_id, y, x, bin, (y + 0.5::DOUBLE) / 7.5::DOUBLE - 0.5::DOUBLE AS fy, (x + 0.5::DOUBLE) / 12.5::DOUBLE - 0.5::DOUBLE AS fx FROM b),
+near AS (SELECT scene_id, y, x, bin, (CASE WHEN i = 1 THEN fy - floor(fy) ELSE 1 - (fy - floor(fy)) END) * (CASE WHEN j = 1 THEN fx - floor(fx) ELSE 1 - (fx - floor(fx)) END) AS w,
+  least(greatest(floor(fy) + i, 0), 3)::INT AS gy, least(greatest(floor(fx) + j, 0), 3)::INT AS gx FROM f, range(2) a(i), range(2) c(j))
+SELECT scene_id, y, x, round(sum(w * cdf), 9) AS p FROM near JOIN cdf USING (scene_id, gy, gx, bin) GROUP BY 1, 2, 3""")
+def adaptive_equalize(spark, d):
+    px = _px(spark, d).select("scene_id", "y", "x", "p_building")
+    return normalize.adaptive_equalize(px, "p_building", 30, 50, grid=4, clip=0.02, bins=64).select("scene_id", "y", "x", F.round("p_building_e", 9).alias("p"))
+
+
+def _round_sql(before: str, k: int) -> str:
+    return f"""n{k} AS (SELECT p.scene_id, p.y, p.x, min(sqrt(pow(p.y - q.y, 2) + pow(p.x - q.x, 2))) AS d FROM {before} p JOIN {before} q ON p.scene_id = q.scene_id AND NOT q.p > 0.5 WHERE p.p > 0.5 GROUP BY 1, 2, 3),
+s{k} AS (SELECT b.scene_id, b.y, b.x, v, 0.75::DOUBLE * v + 0.5::DOUBLE * CASE WHEN b.p > 0.5 THEN coalesce(d / max(d) OVER (PARTITION BY b.scene_id), 1) ELSE 0 END AS p FROM {before} b LEFT JOIN n{k} USING (scene_id, y, x))"""
+
+
+@query(f"WITH s0 AS (SELECT scene_id, y, x, p_building AS v, 0.75::DOUBLE * p_building AS p FROM px), {_round_sql('s0', 1)}, {_round_sql('s1', 2)} SELECT scene_id, y, x, round(p, 9) AS p FROM s2")
+def refine_iteratively(spark, d):
+    """A linear score of a band and of the distance inside the mask so far."""
+    score = lambda px: px.withColumn("p", 0.75 * F.col("v") + 0.5 * F.col("inside_distance"))
+    px = _px(spark, d).select("scene_id", "y", "x", F.col("p_building").alias("v"))
+    return mosaic.refine_iteratively(px, score).select("scene_id", "y", "x", F.round("p", 9).alias("p"))
+
+
+def _notched(name: str, u: bool):
+    """Rings of a box less its top right quarter (L), or less the upper half of its middle third (U), in either direction."""
+    x, y = lambda k: F.col("bbox.x0") + (F.col("bbox.x1") - F.col("bbox.x0")) * k, lambda k: F.col("bbox.y0") + (F.col("bbox.y1") - F.col("bbox.y0")) * k
+    corners = [(0, 0), (1, 0), (1, 1), (0.75, 1), (0.75, 0.5), (0.25, 0.5), (0.25, 1), (0, 1)] if u else [(0, 0), (1, 0), (1, 0.5), (0.5, 0.5), (0.5, 1), (0, 1)]
+    ring = F.array(*(F.struct(x(F.lit(float(i))).alias("x"), y(F.lit(float(j))).alias("y")) for i, j in corners))
+    return F.when(F.col(f"{name}_id") % 2 == 0, ring).otherwise(F.reverse(ring))
+
+
+_common = lambda a, b: f"greatest(least({a}1x, {b}1x) - greatest({a}0x, {b}0x), 0) * greatest(least({a}1y, {b}1y) - greatest({a}0y, {b}0y), 0)"
+
+
+@query(f"""WITH l AS (SELECT parcel_id, x0::DOUBLE AS b0x, y0::DOUBLE AS b0y, x1::DOUBLE AS b1x, y1::DOUBLE AS b1y, (x0 + x1) / 2::DOUBLE AS n0x, x1::DOUBLE AS n1x, (y0 + y1) / 2::DOUBLE AS n0y, y1::DOUBLE AS n1y FROM parcel),
+u AS (SELECT det_id, x0::DOUBLE AS c0x, y0::DOUBLE AS c0y, x1::DOUBLE AS c1x, y1::DOUBLE AS c1y, x0 + (x1 - x0) * 0.25::DOUBLE AS m0x, x0 + (x1 - x0) * 0.75::DOUBLE AS m1x, (y0 + y1) / 2::DOUBLE AS m0y, y1::DOUBLE AS m1y FROM det),
+a AS (SELECT parcel_id, det_id, {_common('b', 'c')} - {_common('b', 'm')} - {_common('n', 'c')} + {_common('n', 'm')} AS area FROM l JOIN u ON b0x <= c1x AND c0x <= b1x AND b0y <= c1y AND c0y <= b1y)
+SELECT parcel_id, det_id, round(area, 9) AS area FROM a WHERE round(area, 9) > 0""")
+def ring_overlap_area(spark, d):
+    """Common areas of L-shaped parcels and U-shaped detections whose rings touch."""
+    a = _boxes(spark, d, "parcel").withColumn("ring", _notched("parcel", False)).select("parcel_id", "bbox", "ring")
+    b = _boxes(spark, d, "det").withColumn("ring", _notched("det", True)).select("det_id", F.col("bbox"), F.col("ring"))
+    pairs = spatial.spatial_join(a, b, "parcel_id", "det_id", CELL, exact=True)
+    return pairs.select("parcel_id", "det_id", F.round(spatial.ring_overlap_area(F.col("ring"), F.col("ring_right")), 9).alias("area")).where("area > 0")

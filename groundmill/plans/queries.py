@@ -177,10 +177,13 @@ def blend_tiles(spark, d):
     return mosaic.blend_tiles(preds, 16, 4, "p").select("scene_id", "y", "x", F.round("p", 11).alias("p"))
 
 
-@query(f"WITH {TILES} SELECT scene_id, i AS grid_i, j AS grid_j, ty, tx, round(p_building, 9) AS p FROM tc WHERE i = 0 AND j < 3")
+@query(f"WITH {TILES} SELECT scene_id, i AS grid_i, j AS grid_j, ty, tx, round(p_water, 9) AS p FROM (SELECT *, count(*) OVER (PARTITION BY scene_id, i, j) AS n FROM tc) WHERE n = 256")
 def tta_merge(spark, d):
-    cells = _tiles(_px(spark, d)).where("grid_i = 0 AND grid_j < 3").select("scene_id", "grid_i", "grid_j", "ty", "tx", F.col("p_building").alias("p"))
-    return mosaic.tta_merge(mosaic.tta_expand(cells, 16), 16, "p").withColumn("p", F.round("p", 9))
+    """The four flips, on every whole tile of every scene."""
+    px = _px(spark, d)
+    whole = tiling.tile_grid(_scenes(px), 16, "overlap", 0.25).where("win_h = 16 AND win_w = 16")
+    cells = tiling.assign_pixels_to_tiles(px, 16, 12, whole).select("scene_id", "grid_i", "grid_j", "ty", "tx", F.col("p_water").alias("p"))
+    return mosaic.tta_merge(mosaic.tta_expand(cells, 16, 4), 16, "p", variants=4).withColumn("p", F.round("p", 9))
 
 
 @query(f"WITH {TILES} SELECT scene_id, i AS grid_i, j AS grid_j, ty, tx, round(p_building, 9) AS p FROM (SELECT *, count(*) OVER (PARTITION BY scene_id, i, j) AS n FROM tc) WHERE n = 256")
@@ -356,10 +359,11 @@ def exclude_category(spark, d):
     return pixels.exclude_category(parcels, "category", parcels.agg(F.min("category")).first()[0])
 
 
-@query("SELECT parcel_id FROM parcel WHERE EXISTS (SELECT 1 FROM (SELECT DISTINCT category FROM parcel WHERE parcel_id < 40) f WHERE f.category IS NOT DISTINCT FROM parcel.category)")
+@query("SELECT parcel_id FROM parcel WHERE EXISTS (SELECT 1 FROM (SELECT DISTINCT category FROM parcel WHERE (x1 - x0) * (y1 - y0) > 24 AND rs_no > 'Brand#4') f WHERE f.category IS NOT DISTINCT FROM parcel.category)")
 def key_semi(spark, d):
     parcels = view(spark, d, "parcel").select("parcel_id", "category")
-    return spatial.key_semi(parcels, parcels.where("parcel_id < 40"), "category").select("parcel_id")
+    flagged = view(spark, d, "parcel").where("(x1 - x0) * (y1 - y0) > 24 AND rs_no > 'Brand#4'")
+    return spatial.key_semi(parcels, flagged, "category").select("parcel_id")
 
 
 @query("SELECT parcel_id FROM parcel WHERE EXISTS (SELECT 1 FROM (SELECT category FROM parcel GROUP BY category HAVING count(*) > (SELECT count(*) FROM parcel) / (SELECT count(DISTINCT coalesce(category, '')) FROM parcel)) f WHERE f.category IS NOT DISTINCT FROM parcel.category)")

@@ -28,6 +28,26 @@ def read_pixels(spark: SparkSession, path: str, bands: list[str] | None = None,
     return px if bands is None else px.select("scene_id", "y", "x", *bands)
 
 
+def write_tiles(tiles: DataFrame, path: str, files: int = 200) -> None:
+    """Tiles in a layout that reads prune: sorted by scene and grid place, so files and row groups hold few scenes and rows.
+
+    Scenes are dealt out by range, so one with many tiles spreads over several files.
+    """
+    tiles.repartitionByRange(files, "scene_id", "grid_i", "grid_j").sortWithinPartitions("scene_id", "grid_i", "grid_j").write.parquet(path)
+
+
+def read_tiles(spark: SparkSession, path: str, columns: list[str] | None = None, scenes: list | None = None, rows: tuple[int, int] | None = None, cols: tuple[int, int] | None = None) -> DataFrame:
+    """Tiles of some scenes and grid ranges (both ends included) with some columns; all of it reaches the scan.
+
+    The statistics of ``write_tiles``' files let the scan skip row groups of other scenes and places.
+    """
+    tiles = spark.read.parquet(path)
+    tiles = tiles if scenes is None else tiles.where(F.col("scene_id").isin(*scenes))
+    for name, ends in (("grid_i", rows), ("grid_j", cols)):
+        tiles = tiles if ends is None else tiles.where(F.col(name).between(*ends))
+    return tiles if columns is None else tiles.select("scene_id", "grid_i", "grid_j", *columns)
+
+
 def read_polygon_folder(spark: SparkSession, path: str) -> DataFrame:
     """All layers under a folder, with where each row came from, a priority per file in path order, and a running id.
 
