@@ -328,3 +328,16 @@ def ring_overlap_area(spark, d):
     b = _boxes(spark, d, "det").withColumn("ring", _notched("det", True)).select("det_id", F.col("bbox"), F.col("ring"))
     pairs = spatial.spatial_join(a, b, "parcel_id", "det_id", CELL, exact=True)
     return pairs.select("parcel_id", "det_id", F.round(spatial.ring_overlap_area(F.col("ring"), F.col("ring_right")), 9).alias("area")).where("area > 0")
+
+
+@query("""WITH t AS (SELECT scene_id, quantile_cont(g::DOUBLE, 0.025) AS t1, quantile_cont(g::DOUBLE, 0.99) AS t2 FROM px WHERE g > 0 GROUP BY scene_id)
+SELECT px.scene_id, y, x, CASE WHEN t2 > t1 THEN floor(255 * (least(greatest(g, t1), t2) - t1) / (t2 - t1)) ELSE 0 END::INT AS g_s FROM px JOIN t USING (scene_id)""")
+def sampled_stretch(spark, d):
+    """Draws that take in every value of a block give the percentiles of all."""
+    px = _px(spark, d).select("scene_id", "y", "x", "g").withColumn("part", F.floor(F.col("y") / 10))
+    return normalize.sampled_stretch(px, "g", ["part"], per_block=5000).select("scene_id", "y", "x", "g_s")
+
+
+@query("SELECT a.scene_id, a.y, a.x, min(b.gt)::INT AS m FROM px a JOIN px b ON a.scene_id = b.scene_id AND abs(a.y - b.y) <= 2 AND abs(a.x - b.x) <= 2 GROUP BY 1, 2, 3")
+def gentle_erode(spark, d):
+    return focal.gentle_erode(_px(spark, d).select("scene_id", "y", "x", F.col("gt").alias("m")), 2, "m").select("scene_id", "y", "x", F.col("m").cast("int").alias("m"))
