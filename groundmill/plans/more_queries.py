@@ -288,10 +288,11 @@ cdf AS (SELECT scene_id, gy, gx, bin, sum(v) OVER (PARTITION BY scene_id, gy, gx
 f AS (SELECT scene_id, y, x, bin, (y + 0.5::DOUBLE) / 7.5::DOUBLE - 0.5::DOUBLE AS fy, (x + 0.5::DOUBLE) / 12.5::DOUBLE - 0.5::DOUBLE AS fx FROM b),
 near AS (SELECT scene_id, y, x, bin, (CASE WHEN i = 1 THEN fy - floor(fy) ELSE 1 - (fy - floor(fy)) END) * (CASE WHEN j = 1 THEN fx - floor(fx) ELSE 1 - (fx - floor(fx)) END) AS w,
   least(greatest(floor(fy) + i, 0), 3)::INT AS gy, least(greatest(floor(fx) + j, 0), 3)::INT AS gx FROM f, range(2) a(i), range(2) c(j))
-SELECT scene_id, y, x, round(sum(w * cdf), 9) AS p FROM near JOIN cdf USING (scene_id, gy, gx, bin) GROUP BY 1, 2, 3""")
+SELECT scene_id, y, x, round(sum(w * cdf) + 1.7e-11::DOUBLE, 9) AS p FROM near JOIN cdf USING (scene_id, gy, gx, bin) GROUP BY 1, 2, 3""")
 def adaptive_equalize(spark, d):
+    """A little is added before rounding, since many values lie half-way between two roundings."""
     px = _px(spark, d).select("scene_id", "y", "x", "p_building")
-    return normalize.adaptive_equalize(px, "p_building", 30, 50, grid=4, clip=0.02, bins=64).select("scene_id", "y", "x", F.round("p_building_e", 9).alias("p"))
+    return normalize.adaptive_equalize(px, "p_building", 30, 50, grid=4, clip=0.02, bins=64).select("scene_id", "y", "x", F.round(F.col("p_building_e") + 1.7e-11, 9).alias("p"))
 
 
 def _round_sql(before: str, k: int) -> str:

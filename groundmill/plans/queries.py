@@ -359,10 +359,10 @@ def exclude_category(spark, d):
     return pixels.exclude_category(parcels, "category", parcels.agg(F.min("category")).first()[0])
 
 
-@query("SELECT parcel_id FROM parcel WHERE EXISTS (SELECT 1 FROM (SELECT DISTINCT category FROM parcel WHERE (x1 - x0) * (y1 - y0) > 24 AND rs_no > 'Brand#4') f WHERE f.category IS NOT DISTINCT FROM parcel.category)")
+@query("SELECT parcel_id FROM parcel WHERE EXISTS (SELECT 1 FROM (SELECT DISTINCT category FROM parcel WHERE coalesce(category, 'Z') > 'PROMO') f WHERE f.category IS NOT DISTINCT FROM parcel.category)")
 def key_semi(spark, d):
     parcels = view(spark, d, "parcel").select("parcel_id", "category")
-    flagged = view(spark, d, "parcel").where("(x1 - x0) * (y1 - y0) > 24 AND rs_no > 'Brand#4'")
+    flagged = view(spark, d, "parcel").where("coalesce(category, 'Z') > 'PROMO'")
     return spatial.key_semi(parcels, flagged, "category").select("parcel_id")
 
 
