@@ -20,32 +20,6 @@ def line(axis: str):
     return Window.partitionBy("scene_id", AXES[axis]).orderBy(axis)
 
 
-def shifted_sum(px: DataFrame, value: str, out: str, weights: Mapping[int, float], axis: str) -> DataFrame:
-    """``out`` = sum of weight * value at each offset along ``axis``; beyond the border the mirror image, edge repeated.
-
-    A null among the cells that count makes the sum null.
-    """
-    w = line(axis)
-    place, size = F.row_number().over(w), F.count("*").over(Window.partitionBy("scene_id", AXES[axis]))
-    reach = max(abs(k) for k in weights)
-    around = F.collect_list(F.struct(F.col(value).alias("v"))).over(w.rowsBetween(-2 * reach, 2 * reach))
-    rows = px.withColumn("_i", place).withColumn("_n", size).withColumn("_near", around)
-    # The window's first element is at place max(1, i - 2 reach).
-    first = F.greatest(F.col("_i") - 2 * reach, F.lit(1))
-
-    def at(k: int | Column) -> Column:
-        p = F.col("_i") + k
-        mirrored = F.when(p < 1, 1 - p).when(p > F.col("_n"), 2 * F.col("_n") + 1 - p).otherwise(p)
-        return F.get("_near", (F.least(F.greatest(mirrored, F.lit(1)), F.col("_n")) - first).cast("int"))["v"]
-
-    if len(weights) <= 3:
-        total = sum((at(k) * w for k, w in weights.items()), F.lit(0.0))
-    else:  # one lambda, where as many terms as a wide kernel has would make a plan too large to compile
-        terms = F.zip_with(F.lit(list(weights)), F.lit([float(w) for w in weights.values()]), lambda k, w: at(k) * w)
-        total = F.aggregate(terms, F.lit(0.0), lambda s, t: s + t)
-    return rows.withColumn(out, total).drop("_i", "_n", "_near")
-
-
 def _folded(px: DataFrame, axis: str, reach: int) -> DataFrame:
     """``px`` with ``_p``, each pixel's place on its line, and copies beyond both ends: the mirror image, edge repeated."""
     rows = px.withColumn("_i", F.row_number().over(line(axis)).cast("long")).withColumn("_n", F.count("*").over(Window.partitionBy("scene_id", AXES[axis])))
@@ -63,6 +37,16 @@ def _pass(px: DataFrame, axis: str, reach: int, out: Mapping[str, Callable]) ->
     return rows.withColumns({n: f(frame) for n, f in out.items()}).where("_p = _i").drop("_i", "_n", "_p")
 
 
+def shifted_sum(px: DataFrame, value: str, out: str, weights: Mapping[int, float], axis: str) -> DataFrame:
+    """``out`` = sum of weight * value at each offset along ``axis``; beyond the border the mirror image, edge repeated.
+
+    A null among the cells that count makes the sum null.
+    """
+    reach = max(abs(k) for k in weights)
+    total = lambda frame: sum((F.first(value).over(frame(k, k)) * float(w) for k, w in weights.items()), F.lit(0.0))
+    return _pass(px, axis, reach, {out: total})
+
+
 def box_means(px: DataFrame, measures: Mapping[str, tuple[str, int]], axes: tuple[str, str] = ("x", "y")) -> DataFrame:
     """``px`` with ``{name: (column, k)}``: means over k x k cells, mirrored borders, nulls left out; null where all are.
 

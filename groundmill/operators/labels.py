@@ -6,26 +6,47 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from groundmill.operators.focal import dilate
-from groundmill.operators.spatial import box_ring, candidate_pairs, edges, point_in_ring, ring_box, segments_touch
+from groundmill.operators.spatial import box_ring, candidate_pairs, edges
+
+
+def _sides(ring: Column) -> Column:
+    """A ring's sides as struct<x0,y0,x1,y1>, from the lower end to the upper; a ring that is one point is one side."""
+    flat = lambda a, b: F.struct(*((p[k].cast("double") + 0.0).alias(n) for p, k, n in ((a, "x", "x0"), (a, "y", "y0"), (b, "x", "x1"), (b, "y", "y1"))))
+    up = F.transform(edges(ring), lambda e: F.when(e["a"]["y"] <= e["b"]["y"], flat(e["a"], e["b"])).otherwise(flat(e["b"], e["a"])))
+    return F.when(F.size(up) > 0, up).otherwise(F.transform(F.slice(ring, 1, 1), lambda p: flat(p, p)))
+
+
+#: Sides that only run along a cell's border, or pass it by rounding, touch nothing inside it.
+HAIR = 1e-9
 
 
 def rasterize(polys: DataFrame, id: str, ring: str = "ring", all_touched: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``(id, keep.., y, x)``: unit cells a ring touches, or whose centre lies inside it; rings are in cell units."""
-    b = F.col("_b")
-    lo = lambda c: F.floor(b[c]).cast("long")
-    cells = polys.select(id, *keep, F.col(ring).alias("_r"), ring_box(F.col(ring)).alias("_b"))
-    cells = cells.withColumn("y", F.explode(F.sequence(lo("y0"), lo("y1")))).withColumn("x", F.explode(F.sequence(lo("x0"), lo("x1"))))
-    r, x, y = F.col("_r"), F.col("x").cast("double"), F.col("y").cast("double")
-    centre = point_in_ring(x + 0.5, y + 0.5, r)
-    if all_touched:
-        cell = F.array(*(F.struct((x + i).alias("x"), (y + j).alias("y")) for i, j in ((0, 0), (1, 0), (1, 1), (0, 1))))
-        inner = F.exists(r, lambda p: (p["x"] > x) & (p["x"] < x + 1) & (p["y"] > y) & (p["y"] < y + 1))
-        # Sides that only run along the cell's border touch nothing inside it: the cell is shrunk by a hair.
-        eps = 1e-9
-        small = F.transform(cell, lambda p: F.struct((p["x"] + F.when(p["x"] == x, eps).otherwise(-eps)).alias("x"), (p["y"] + F.when(p["y"] == y, eps).otherwise(-eps)).alias("y")))
-        crossed = F.exists(edges(r), lambda s: F.exists(edges(small), lambda t: segments_touch(s, t)))
-        centre = centre | inner | crossed
-    return cells.where(centre).select(id, *keep, "y", "x").distinct()
+    """``(id, keep.., y, x)``: unit cells whose inside a ring touches, or whose centre lies inside it; rings are in cell units.
+
+    Each side is cut at the rows it runs through and leaves in each the columns it touches and where it crosses the
+    row's middle. The crossings of a row, in order, bound what lies inside. So the work grows with the length of the
+    sides and with the cells found, not with the bounding box, and the rows of a large ring are rows of many tasks.
+    Several rings of one ``id`` are united; null rings and rings without corners have no cells.
+    """
+    s, row = F.col("_s"), F.col("y")
+    rows = F.sequence(F.floor(s["y0"] + HAIR), F.ceil(s["y1"] - HAIR) - 1)
+    sides = polys.select(id, *keep, F.xxhash64(ring).alias("_ring"), F.posexplode(_sides(F.col(ring))).alias("_i", "_s"))
+    cut = sides.withColumn("y", F.explode(F.when(F.floor(s["y0"] + HAIR) < F.ceil(s["y1"] - HAIR), rows)))
+    at = lambda y: s["x0"] + F.try_divide((s["x1"] - s["x0"]) * (y - s["y0"]), s["y1"] - s["y0"])
+    enter = F.when(s["y0"] >= row, s["x0"]).otherwise(at(row))
+    leave = F.when(s["y1"] <= row + 1, s["x1"]).otherwise(at(row + 1))
+    middle = row + 0.5
+    cut = cut.select(
+        id, *keep, "_ring", "y", F.when((s["y0"] > middle) != (s["y1"] > middle), F.struct(at(middle).alias("at"), "_i")).alias("_cross"),
+        F.struct(F.floor(F.least(enter, leave) + HAIR).alias("a"), (F.ceil(F.greatest(enter, leave) - HAIR) - 1).alias("b")).alias("_touch"),
+    )
+    # Equal rings of one id cross at the same places with the same sides, and count once.
+    met = cut.groupBy(id, *keep, "_ring", "y").agg(F.sort_array(F.collect_set("_cross")).alias("_c"), F.collect_set("_touch").alias("_t"))
+    place = lambda k: F.ceil(F.get("_c", k)["at"] - 0.5)
+    spans = F.when(F.size("_c") > 1, F.transform(F.sequence(F.lit(0), F.size("_c") - 2, F.lit(2)), lambda k: F.struct(place(k).alias("a"), (place(k + 1) - 1).alias("b"))))
+    spans = F.coalesce(spans, F.slice("_t", 1, 0))
+    spans = F.filter(F.concat(spans, "_t") if all_touched else spans, lambda r: r["a"] <= r["b"])
+    return met.select(id, *keep, "y", F.explode(spans).alias("_r")).select(id, *keep, "y", F.explode(F.sequence("_r.a", "_r.b")).alias("x")).distinct()
 
 
 def segment_distance(x: Column, y: Column, s: Column) -> Column:
@@ -37,10 +58,20 @@ def segment_distance(x: Column, y: Column, s: Column) -> Column:
 
 
 def burn_lines(segments: DataFrame, width: float, touch: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``(keep.., y, x)``: cells whose centre is within half the width of a segment, plus half a cell's diagonal if ``touch``."""
+    """``(keep.., y, x)``: cells whose centre is within half the width of a segment, plus half a cell's diagonal if ``touch``.
+
+    Of each row only the columns beside the part of the segment that comes within reach of the row's middle are tested.
+    """
     reach = width / 2 + (0.5**0.5 if touch else 0)
     span = lambda a, b: F.sequence(F.floor(F.least(a, b) - reach).cast("long"), F.floor(F.greatest(a, b) + reach).cast("long"))
-    cells = segments.withColumn("y", F.explode(span("y0", "y1"))).withColumn("x", F.explode(span("x0", "x1")))
+    rows = segments.withColumn("y", F.explode(span(F.col("y0"), F.col("y1"))))
+    x0, x1, y0, y1 = (F.col(c).cast("double") for c in ("x0", "x1", "y0", "y1"))
+    # Shares of the segment's length at which it comes within reach of the row and leaves it.
+    share = lambda y: F.least(F.greatest(F.coalesce(F.try_divide(y - y0, y1 - y0), F.lit(0.0)), F.lit(0.0)), F.lit(1.0))
+    low, high = share(F.col("y") + 0.5 - reach), share(F.col("y") + 0.5 + reach)
+    level = y0 == y1
+    near = span(F.when(level, x0).otherwise(x0 + (x1 - x0) * low), F.when(level, x1).otherwise(x0 + (x1 - x0) * high))
+    cells = rows.withColumn("x", F.explode(near))
     s = F.struct("x0", "y0", "x1", "y1")
     return cells.where(segment_distance(F.col("x") + 0.5, F.col("y") + 0.5, s) <= reach).select(*keep, "y", "x").distinct()
 

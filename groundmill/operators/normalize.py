@@ -6,12 +6,12 @@ read once for the statistics (with map-side sums where the statistic allows) and
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from groundmill.operators.focal import shifted_sum
+from groundmill.operators.focal import line
 
 
 def _with_stats(px: DataFrame, scope: Sequence[str], aggs: dict[str, Column], out: dict[str, Column]) -> DataFrame:
@@ -117,13 +117,29 @@ def adaptive_equalize(px: DataFrame, band: str, height: int, width: int, grid: i
 
 
 def sobel(px: DataFrame, value: Column | None = None, height: int | None = None, width: int | None = None) -> DataFrame:
-    """``edge``: hypot of the 3x3 Sobel sums of ``value`` (grey by default), borders mirrored with the edge repeated."""
+    """``edge``: hypot of the 3x3 Sobel sums of ``value`` (grey by default), borders mirrored with the edge repeated.
+
+    One pass along each axis: each takes differences and smooth sums of the neighbours at once. A null among the nine cells makes the edge null.
+    """
     v = grey() if value is None else value
-    base = px.withColumn("_v", v)
-    smooth, diff = {-1: 0.25, 0: 0.5, 1: 0.25}, {-1: -1.0, 1: 1.0}
-    both = shifted_sum(shifted_sum(base, "_v", "_a", smooth, "y"), "_a", "_gx", diff, "x")
-    both = shifted_sum(shifted_sum(both, "_v", "_b", smooth, "x"), "_b", "_gy", diff, "y")
-    return both.withColumn("edge", F.sqrt((F.col("_gx") ** 2 + F.col("_gy") ** 2) / 2)).drop("_v", "_a", "_b", "_gx", "_gy")
+
+    def ends(axis: str, name: str) -> tuple[Column, Column]:
+        # A missing neighbour is the border, whose mirror image is the cell itself; a null one stays null.
+        cell = F.struct(F.col(name).alias("v"))
+        near = lambda f: F.coalesce(f(cell).over(line(axis)), cell)["v"]
+        return near(F.lag), near(F.lead)
+
+    def smooth(axis: str, name: str) -> Column:
+        before, after = ends(axis, name)
+        return 0.25 * before + 0.5 * F.col(name) + 0.25 * after
+
+    def diff(axis: str, name: str) -> Column:
+        before, after = ends(axis, name)
+        return after - before
+
+    first = px.withColumn("_v", v).withColumns({"_dx": diff("x", "_v"), "_sx": smooth("x", "_v")})
+    both = first.withColumns({"_gx": smooth("y", "_dx"), "_gy": diff("y", "_sx")})
+    return both.withColumn("edge", F.sqrt((F.col("_gx") ** 2 + F.col("_gy") ** 2) / 2)).drop("_v", "_dx", "_sx", "_gx", "_gy")
 
 
 def sobel_normalised(px: DataFrame, norm: str = "min_max", scope: Sequence[str] = ("scene_id",)) -> DataFrame:
@@ -133,13 +149,24 @@ def sobel_normalised(px: DataFrame, norm: str = "min_max", scope: Sequence[str]
         aggs = {"_p1": F.percentile("edge_n", F.lit(0.025)), "_p2": F.percentile("edge_n", F.lit(0.99))}
         v = F.try_divide(F.least(F.greatest(F.col("edge_n"), "_p1"), "_p2") - F.col("_p1"), F.col("_p2") - F.col("_p1"))
         return _with_stats(scaled, scope, aggs, {"edge_n": F.coalesce(v, F.lit(0.0))})
-    edges = sobel(px)
-    if norm == "sigma":
-        out = F.when(grey() > 0, F.coalesce(F.try_divide(F.col("edge") - F.col("_lo"), F.col("_sd")), F.lit(0.0))).otherwise(0.0)
-        return _with_stats(edges, scope, {"_lo": F.min("edge"), "_sd": F.stddev_pop("edge")}, {"edge_n": out})
-    if norm == "percentile":
-        return positive_percentiles(edges, ["edge"], scope)
-    return min_max(edges, ["edge"], scope)
+    return sobel_norms(px, {"edge_n": norm}, scope)
+
+
+def sobel_norms(px: DataFrame, norms: Mapping[str, str], scope: Sequence[str] = ("scene_id",)) -> DataFrame:
+    """``sobel`` with a column for each name in ``norms``, of one of the norms "sigma", "percentile" and "min_max"; all share the edges and one pass for statistics."""
+    edge, some = F.col("edge"), F.when(F.col("edge") > 0, F.col("edge"))
+    aggs = {
+        "min_max": {"_lo": F.min("edge"), "_hi": F.max("edge")}, "sigma": {"_lo": F.min("edge"), "_sd": F.stddev_pop("edge")},
+        "percentile": {"_p1": F.percentile(some, F.lit(0.025)), "_p2": F.percentile(some, F.lit(0.975))},
+    }
+    top = F.when(F.col("_p1") == F.col("_p2"), F.col("_p1") + 1e-5).otherwise(F.col("_p2"))
+    out = {
+        "min_max": F.coalesce(F.try_divide(edge - F.col("_lo"), F.col("_hi") - F.col("_lo")), F.lit(0.0)),
+        "sigma": F.when(grey() > 0, F.coalesce(F.try_divide(edge - F.col("_lo"), F.col("_sd")), F.lit(0.0))).otherwise(0.0),
+        "percentile": F.coalesce((F.least(F.greatest(edge, F.col("_p1")), top) - F.col("_p1")) / (top - F.col("_p1")), F.lit(0.0)),
+    }
+    needed = {n: a for norm in norms.values() for n, a in aggs[norm].items()}
+    return _with_stats(sobel(px), scope, needed, {name: out[norm] for name, norm in norms.items()})
 
 
 def positive_percentiles(px: DataFrame, cols: Sequence[str], scope: Sequence[str] = ("scene_id",)) -> DataFrame:

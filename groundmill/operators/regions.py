@@ -79,14 +79,26 @@ def clean_mask(px: DataFrame, profile: str, mask: str = "mask", min_cells: int =
     raise ValueError(f"no profile {profile!r}")
 
 
-def shape_irregularity(px: DataFrame, mask: str = "mask", top: int = 500, min_cells: int = 100) -> DataFrame:
-    """1 - solidity * extent of each scene's largest regions; ``(scene_id, region, cells, irregularity)``."""
+def _irregularity(labels: DataFrame, top: int, min_cells: int) -> DataFrame:
     from groundmill.operators.polygons import hull_of_points
 
-    labels = label_regions(px, mask, 8)
     box = (F.max("x") - F.min("x") + 1) * (F.max("y") - F.min("y") + 1)
     stats = labels.groupBy("scene_id", "region").agg(F.count("*").alias("cells"), box.alias("box")).where(F.col("cells") >= min_cells)
     large = stats.withColumn("_n", F.row_number().over(Window.partitionBy("scene_id").orderBy(F.desc("cells"), "region"))).where(F.col("_n") <= top).drop("_n")
-    corners = labels.join(large.select("region"), "region", "left_semi").select("region", F.explode(F.array(*(F.struct((F.col("x") + i).cast("double").alias("x"), (F.col("y") + j).cast("double").alias("y")) for i in (0, 1) for j in (0, 1)))).alias("p"))
-    hulls = hull_of_points(corners, ["region"])
+    # Of each column only the ends of its cells can be corners of the hull.
+    ends = labels.join(large.select("region"), "region", "left_semi").groupBy("region", "x").agg(F.min("y").alias("lo"), (F.max("y") + 1).alias("hi"))
+    corner = lambda i, y: F.struct((F.col("x") + i).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+    hulls = hull_of_points(ends.select("region", F.explode(F.array(*(corner(i, y) for i in (0, 1) for y in ("lo", "hi")))).alias("p")), ["region"])
     return large.join(hulls, "region").select("scene_id", "region", "cells", (1 - (F.col("cells") / F.col("hull_area")) * (F.col("cells") / F.col("box"))).alias("irregularity"))
+
+
+def shape_irregularity(px: DataFrame, mask: str = "mask", top: int = 500, min_cells: int = 100) -> DataFrame:
+    """1 - solidity * extent of each scene's largest regions; ``(scene_id, region, cells, irregularity)``."""
+    return _irregularity(stored(label_regions(px, mask, 8)), top, min_cells)
+
+
+def with_irregularity(px: DataFrame, mask: str = "mask", top: int = 500, min_cells: int = 100) -> DataFrame:
+    """``px`` with ``irregularity``, that of the cell's region; 0 off the mask and in regions that are not measured."""
+    labels = stored(label_regions(px, mask, 8))
+    measured = labels.join(_irregularity(labels, top, min_cells).select("region", "irregularity"), "region").select("scene_id", "y", "x", "irregularity")
+    return px.join(measured, ["scene_id", "y", "x"], "left").fillna(0.0, ["irregularity"])

@@ -3,6 +3,7 @@
 Polygons have an id, ``bbox`` struct<x0,y0,x1,y1> and, where shapes are not boxes, ``ring`` array<struct<x,y>>. Both
 sides are spread over the grid cells their boxes cover; a cell equi-join gives candidates, of which the cell that
 holds the lower corner of the common box alone reports a pair, so no distinct is needed; then the exact test runs.
+Grids are nested: a box takes the level at which it covers few cells, and boxes of two levels meet on the coarser one.
 """
 
 from __future__ import annotations
@@ -58,20 +59,43 @@ def rings_intersect(a: Column, b: Column) -> Column:
     return touch | point_in_ring(a[0]["x"], a[0]["y"], b) | point_in_ring(b[0]["x"], b[0]["y"], a)
 
 
-def cover_cells(df: DataFrame, cell: float, pad: float = 0.0, bbox: str = "bbox") -> DataFrame:
-    """One row for each grid cell that the box, grown by ``pad``, touches: columns ``cx, cy``."""
-    at = lambda c, d: F.floor((F.col(f"{bbox}.{c}") + d) / cell)
-    return df.withColumn("cx", F.explode(F.sequence(at("x0", -pad), at("x1", pad)))).withColumn("cy", F.explode(F.sequence(at("y0", -pad), at("y1", pad))))
+#: Levels of the nested grids, and how much wider the cells of each are than those of the level below.
+LEVELS, WIDER = 8, 8
+
+
+def _level(b: Column, cell: float) -> Column:
+    """The finest level at which a box is no wider than ``WIDER`` cells; the top level takes all that are wider."""
+    wide = F.greatest(b["x1"] - b["x0"], b["y1"] - b["y0"])
+    return F.size(F.filter(F.lit([float(cell * WIDER ** (k + 1)) for k in range(LEVELS - 1)]), lambda most: wide > most))
+
+
+def _spread(df: DataFrame, own: str, other: str, present: DataFrame, cell: float, bbox: str) -> DataFrame:
+    """A row for each cell of each level at which the box can meet one of ``present``, rows of ``(own, other)`` levels."""
+    met = df.withColumn(own, _level(F.col(bbox), cell)).join(F.broadcast(present.toDF(own, other)), own)
+    met = met.withColumn("_size", cell * F.pow(F.lit(float(WIDER)), F.greatest(own, other)))
+    at = lambda c: F.floor(F.col(f"{bbox}.{c}") / F.col("_size"))
+    return met.withColumn("cx", F.explode(F.sequence(at("x0"), at("x1")))).withColumn("cy", F.explode(F.sequence(at("y0"), at("y1"))))
+
+
+def _pairs_of_levels(df: DataFrame, bbox: str, cell: float) -> DataFrame:
+    """Every level beside each level that occurs in ``df``: at most ``LEVELS ** 2`` rows."""
+    occur = df.select(_level(F.col(bbox), cell).alias("level")).distinct()
+    return occur.select(F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))).alias("any"), "level")
 
 
 def candidate_pairs(a: DataFrame, b: DataFrame, a_id: str, b_id: str, cell: float, pad: float = 0.0, exact: bool = False) -> DataFrame:
-    """``(a_id, b_id)`` of polygons whose boxes, those of ``a`` grown by ``pad``, meet; with ``exact`` whose rings do."""
-    keep = ["bbox", *(["ring"] if exact else [])]
-    left = cover_cells(a.select(F.col(a_id).alias("_a"), *(F.col(c).alias(f"_a{c}") for c in keep)), cell, pad, "_abbox")
-    right = cover_cells(b.select(F.col(b_id).alias("_b"), *(F.col(c).alias(f"_b{c}") for c in keep)), cell, 0.0, "_bbbox")
-    grown = F.struct(*((F.col(f"_abbox.{c}") + (pad if c[1] == "1" else -pad)).alias(c) for c in ("x0", "y0", "x1", "y1")))
-    corner = lambda c: F.floor(F.greatest(grown[c], F.col(f"_bbbox.{c}")) / cell)
-    met = left.join(right, ["cx", "cy"]).where(bbox_overlaps(grown, F.col("_bbbox")) & (F.col("cx") == corner("x0")) & (F.col("cy") == corner("y0")))
+    """``(a_id, b_id)`` of polygons whose boxes, those of ``a`` grown by ``pad``, meet; with ``exact`` whose rings do.
+
+    A box of any size is at most ``(WIDER + 1) ** 2`` rows for each level of the other side, short of the top level.
+    """
+    grown = F.struct(*((F.col(f"bbox.{c}") + (pad if c[1] == "1" else -pad)).alias(c) for c in ("x0", "y0", "x1", "y1"))) if pad else F.col("bbox")
+    ring = lambda n: [F.col("ring").alias(n)] if exact else []
+    left = a.select(F.col(a_id).alias("_a"), grown.alias("_abbox"), *ring("_aring"))
+    right = b.select(F.col(b_id).alias("_b"), F.col("bbox").alias("_bbbox"), *ring("_bring"))
+    for_left, for_right = _pairs_of_levels(right, "_bbbox", cell), _pairs_of_levels(left, "_abbox", cell)
+    left, right = _spread(left, "_la", "_lb", for_left, cell, "_abbox"), _spread(right, "_lb", "_la", for_right, cell, "_bbbox").drop("_size")
+    corner = lambda c: F.floor(F.greatest(f"_abbox.{c}", f"_bbbox.{c}") / F.col("_size"))
+    met = left.join(right, ["_la", "_lb", "cx", "cy"]).where(bbox_overlaps(F.col("_abbox"), F.col("_bbbox")) & (F.col("cx") == corner("x0")) & (F.col("cy") == corner("y0")))
     if exact:
         met = met.where(rings_intersect(F.col("_aring"), F.col("_bring")))
     return met.select(F.col("_a").alias(a_id), F.col("_b").alias(b_id if b_id != a_id else f"{b_id}_r"))

@@ -56,9 +56,13 @@ def green_cover(px: DataFrame, height: str = "dem", method: str = "combined", sc
 
 
 def tree_vs_crop(px: DataFrame, veg: str = "veg") -> DataFrame:
-    """``tree``: .30 texture + .25 irregularity + .25 deviation + .20 slope, all normalised over vegetation, above 0.5."""
+    """``tree``: .30 texture + .25 irregularity + .25 deviation + .20 slope on vegetation, above 0.5.
+
+    Texture, deviation and slope are those of ``g``, normalised over vegetation; ``irregularity`` counts as it is
+    (``regions.with_irregularity``).
+    """
     measured = focal.slope(focal.focal_std(focal.texture_variance(px), "g", 15, "_sd"), "g", "_sl")
-    weights = {"texture": 0.30, "irregularity": 0.25, "_sd": 0.25, "_sl": 0.20}
+    weights = {"texture": 0.30, "_sd": 0.25, "_sl": 0.20}
     scaled = veg_normalize(measured, list(weights), veg)
-    score = sum((F.col(f"{c}_v") * w for c, w in weights.items()), F.lit(0.0))
-    return scaled.withColumn("tree_score", score).withColumn("tree", ((score > 0.5) & (F.col(veg) == 1)).cast("int")).drop("_sd", "_sl", *(f"{c}_v" for c in weights))
+    score = F.when(F.col(veg) == 1, sum((F.col(f"{c}_v") * w for c, w in weights.items()), 0.25 * F.col("irregularity"))).otherwise(0.0)
+    return scaled.withColumn("tree_score", score).withColumn("tree", (score > 0.5).cast("int")).drop("_sd", "_sl", *(f"{c}_v" for c in weights))

@@ -42,9 +42,8 @@ EDGES = near_sql(3, "sqrt((pow(sum(v * dx * (2 - abs(dy)) / 4.0), 2) + pow(sum(v
 SELECT scene_id, y, x, round(CASE WHEN r + g + b > 0 THEN coalesce((edge - lo) / sd, 0) ELSE 0 END, 6) AS sigma, round((edge - lo) / (hi - lo), 6) AS min_max, round((least(greatest(edge, p1), p2) - p1) / (p2 - p1), 6) AS percentile
 FROM e JOIN s USING (scene_id) JOIN px USING (scene_id, y, x)""")
 def sobel_norms(spark, d):
-    px, keys = _px(spark, d), ["scene_id", "y", "x"]
-    each = [normalize.sobel_normalised(px, n).select(*keys, F.round("edge_n", 6).alias(n)) for n in ("sigma", "min_max", "percentile")]
-    return each[0].join(each[1], keys).join(each[2], keys)
+    names = ("sigma", "min_max", "percentile")
+    return normalize.sobel_norms(_px(spark, d), {n: n for n in names}).select("scene_id", "y", "x", *(F.round(n, 6).alias(n) for n in names))
 
 
 @query(f"""WITH e AS ({EDGES}), s AS (SELECT scene_id, min(edge) AS lo, max(edge) AS hi FROM e GROUP BY 1), t AS (SELECT scene_id, min(r) AS r0, max(r) AS r1, min(g) AS g0, max(g) AS g1 FROM px GROUP BY 1)

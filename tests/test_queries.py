@@ -5,6 +5,7 @@ from conftest import DATA, rows_of
 
 from groundmill.operators import regions
 import groundmill.plans.more_queries  # noqa: F401  registers its queries
+import groundmill.plans.vector_queries  # noqa: F401  registers its queries
 from groundmill.plans.fixtures import with_views
 from groundmill.plans.queries import QUERIES, SQL
 
