@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from groundmill.operators.focal import focal_max
+from groundmill.plans.graph import ranked_within
 
 
 def area_summary(polys: DataFrame, group: str, area: str) -> DataFrame:
@@ -89,9 +90,17 @@ def boundary_f1(px: DataFrame, pred: str, gt: str, theta0: int = 3, theta: int =
     return out.withColumn("f1", 2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall") + eps))
 
 
-def rolling_loss(log: DataFrame, n: int = 50, by: str = "stage") -> DataFrame:
-    """``rolling``: the mean of the last ``n`` losses of the stage."""
-    return log.withColumn("rolling", F.avg("loss").over(Window.partitionBy(by).orderBy("batch").rowsBetween(1 - n, 0)))
+def rolling_loss(log: DataFrame, n: int = 50, by: str = "stage", block: int = 100_000) -> DataFrame:
+    """``rolling``: the mean of the last ``n`` losses of the stage; equal batches follow one another by their loss, null losses are left out.
+
+    A stage is cut into blocks of ``block`` rows, each with copies of the n - 1 rows before it, so one long stage is many tasks.
+    """
+    size = max(block, n)
+    ranked = ranked_within(log, by, ("batch", "loss"), "_rank").withColumn("_own", F.floor((F.col("_rank") - 1) / size))
+    late = (F.col("_rank") - 1) % size > size - n
+    copied = ranked.withColumn("_block", F.explode(F.when(late, F.array("_own", F.col("_own") + 1)).otherwise(F.array("_own"))))
+    last = Window.partitionBy(by, "_block").orderBy("_rank").rowsBetween(1 - n, 0)
+    return copied.withColumn("rolling", F.avg("loss").over(last)).where("_block = _own").drop("_rank", "_own", "_block")
 
 
 def early_stop(log: DataFrame, value: str = "loss", patience: int = 10, larger: bool = False, by: str = "stage") -> DataFrame:

@@ -6,8 +6,9 @@ import atexit
 import tempfile
 import uuid
 import weakref
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _folders: dict[str, str] = {}
@@ -101,3 +102,18 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     roots = now.select(F.col("v").alias("node")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))
+
+
+def ranked_within(df: DataFrame, by: str, order: Sequence[str], name: str = "rank") -> DataFrame:
+    """``df`` with ``name``, 1, 2, .. within each value of ``by`` in the order of ``order``; equal rows in any order.
+
+    Rows are dealt into ranges of (by, order) and numbered inside each, so one value may fill many tasks; summed up are
+    only the ranges' counts, a row for each value in each range.
+    """
+    dealt = stored(df.repartitionByRange(by, *order).withColumn("_part", F.spark_partition_id()))
+    counts = dealt.groupBy("_part", F.col(by).alias("_by")).agg(F.count("*").alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy("_by").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    before = counts.select(F.col("_part").alias("_p"), "_by", F.coalesce(upto, F.lit(0)).alias("_before"))
+    inside = dealt.withColumn("_place", F.row_number().over(Window.partitionBy("_part", by).orderBy(*order)))
+    met = inside.join(before, (F.col("_part") == F.col("_p")) & F.col(by).eqNullSafe(F.col("_by")))
+    return met.withColumn(name, F.col("_before") + F.col("_place")).drop("_part", "_p", "_by", "_before", "_place")

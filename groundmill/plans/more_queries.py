@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from groundmill.functions import pixels
 from groundmill.operators import curate, focal, labels, metrics, mosaic, normalize, polygons, spatial, tiling
 from groundmill.plans import greencover
-from groundmill.plans.queries import CELL, TILES, _boxes, _px, _scenes, _tiles, mirror, near_sql, query
+from groundmill.plans.fixtures import with_views
+from groundmill.plans.queries import CELL, SQL, TILES, _boxes, _px, _scenes, _tiles, mirror, near_sql, query
 
 THRESHOLDS = {"building": 0.5, "vegetation": 0.28}
 #: An affine map with turn and stretch: x = a col + b row + c, y = d col + e row + f.
@@ -214,19 +215,26 @@ def _scaled(c: str) -> str:
 MEASURES = ("range15", "std15", "abs15", "std25", "rough")
 
 
-@query(f"""WITH s AS (SELECT scene_id, y, x, v, lag(v) OVER c AS l, lead(v) OVER c AS r_, lag(v) OVER k AS u, lead(v) OVER k AS d FROM (SELECT *, {DEM} AS v FROM px) WINDOW c AS (PARTITION BY scene_id, y ORDER BY x), k AS (PARTITION BY scene_id, x ORDER BY y)),
+PROXY = f"""WITH s AS (SELECT scene_id, y, x, v, lag(v) OVER c AS l, lead(v) OVER c AS r_, lag(v) OVER k AS u, lead(v) OVER k AS d FROM (SELECT *, {DEM} AS v FROM px) WINDOW c AS (PARTITION BY scene_id, y ORDER BY x), k AS (PARTITION BY scene_id, x ORDER BY y)),
 slope AS (SELECT scene_id, y, x, degrees(atan(sqrt(pow(CASE WHEN l IS NULL THEN r_ - v WHEN r_ IS NULL THEN v - l ELSE (r_ - l) / 2 END, 2) + pow(CASE WHEN u IS NULL THEN d - v WHEN d IS NULL THEN v - u ELSE (d - u) / 2 END, 2)))) AS v FROM s),
 a AS ({near_sql(15, f"max(v) - min(v) AS range15, {SPREAD} AS std15, abs(max(CASE WHEN dy = 0 AND dx = 0 THEN v END) - avg(v)) AS abs15", DEM)}), b AS ({near_sql(25, f"{SPREAD} AS std25", DEM)}),
 r AS (SELECT o.scene_id, o.y, o.x, {SPREAD} AS rough FROM (SELECT px.scene_id, px.y, px.x, {mirror('px.y + dy', '30')} AS ny, {mirror('px.x + dx', '50')} AS nx FROM px, range(-4, 5) t(dy), range(-4, 5) c(dx)) o JOIN slope n ON o.scene_id = n.scene_id AND ny = n.y AND nx = n.x GROUP BY 1, 2, 3),
-m AS (SELECT *, (2 * g - r - b) / 255.0::DOUBLE > 0.1 AS veg FROM px JOIN a USING (scene_id, y, x) JOIN b USING (scene_id, y, x) JOIN r USING (scene_id, y, x)),
-q AS (SELECT scene_id, {', '.join(f"quantile_cont({c}, 0.01) FILTER (veg) AS {c}_1, quantile_cont({c}, 0.99) FILTER (veg) AS {c}_9" for c in MEASURES)} FROM m GROUP BY 1)
-SELECT scene_id, y, x, veg::INT AS veg, round(CASE WHEN veg THEN {' + '.join(f"{w} * {_scaled(c)}" for c, w in zip(MEASURES, (0.30, 0.25, 0.20, 0.15, 0.10), strict=True))} ELSE 0 END, 5) AS proxy FROM m JOIN q USING (scene_id)""".replace("2 * g - r - b", "2 * px.g - px.r - px.b").replace("FROM px JOIN a USING", "FROM px JOIN a USING"))
+m AS (SELECT *, (2 * px.g - px.r - px.b) / 255.0::DOUBLE > 0.1 AS veg FROM px JOIN a USING (scene_id, y, x) JOIN b USING (scene_id, y, x) JOIN r USING (scene_id, y, x)),
+q AS (SELECT scene_id, {', '.join(f"quantile_cont({c}, 0.01) FILTER (veg) AS {c}_1, quantile_cont({c}, 0.99) FILTER (veg) AS {c}_9" for c in MEASURES)} FROM m GROUP BY 1),
+p AS (SELECT scene_id, y, x, veg, CASE WHEN veg THEN {' + '.join(f"{w} * {_scaled(c)}" for c, w in zip(MEASURES, (0.30, 0.25, 0.20, 0.15, 0.10), strict=True))} ELSE 0 END AS proxy FROM m JOIN q USING (scene_id))"""
+
+
+@query(f"{PROXY} SELECT scene_id, y, x, veg::INT AS veg, round(proxy, 5) AS proxy FROM p")
 def height_proxy(spark, d):
     px = pixels.excess_green(_px(spark, d).withColumn("dem", F.coalesce("dem", F.lit(20.0))))
     done = greencover.height_proxy(greencover.veg_metrics(px, "dem"))
     return done.select("scene_id", "y", "x", "veg", F.round("proxy", 5).alias("proxy"))
 
 
+SQL["green_cover"] = with_views(f"""{PROXY}, ends AS (SELECT scene_id, quantile_cont(proxy, 0.33) AS p33, quantile_cont(proxy, 0.66) AS p66 FROM p WHERE veg GROUP BY scene_id)
+SELECT scene_id, y, x, veg::INT AS veg, round(proxy, 6) AS proxy, CASE WHEN NOT veg THEN 0 WHEN proxy > p66 THEN 3 WHEN proxy > p33 THEN 2 ELSE 1 END AS height_class FROM p LEFT JOIN ends USING (scene_id)""")
+
+
 def _unit(c: str) -> str:
     return f"({c} - min({c}) OVER (PARTITION BY px.scene_id)) / (max({c}) OVER (PARTITION BY px.scene_id) - min({c}) OVER (PARTITION BY px.scene_id))::DOUBLE"
 

@@ -67,12 +67,17 @@ def zones_of_all_sizes(spark, d):
     return pairs.groupBy("zone_id").agg(F.count("*").alias("dets"), F.min("det_id").alias("first"))
 
 
-#: Regions of eight neighbours of a sparse mask, and 1 - solidity * extent of each scene's four largest: between the
-#: columns' ends the hull's upper side is the highest chord over each column, its lower side the lowest one.
-SHAPES = """m AS (SELECT scene_id, y, x FROM px WHERE gt = 1 AND p_vegetation < 0.7),
+def _eight(mask: str) -> str:
+    """``lab8``: cells of a mask with the first cell of their region of eight neighbours."""
+    return f"""m AS (SELECT scene_id, y, x FROM px WHERE {mask}),
 reach8(scene_id, y, x, ry, rx) AS (SELECT scene_id, y, x, y, x FROM m
   UNION SELECT p.scene_id, p.y, p.x, q.ry, q.rx FROM reach8 q JOIN m p ON p.scene_id = q.scene_id AND greatest(abs(p.y - q.y), abs(p.x - q.x)) = 1 AND (q.ry, q.rx) < (p.y, p.x)),
-lab8 AS (SELECT scene_id, y, x, min((ry, rx)) AS root FROM reach8 GROUP BY 1, 2, 3),
+lab8 AS (SELECT scene_id, y, x, min((ry, rx)) AS root FROM reach8 GROUP BY 1, 2, 3)"""
+
+
+#: Regions of eight neighbours of a sparse mask, and 1 - solidity * extent of each scene's four largest: between the
+#: columns' ends the hull's upper side is the highest chord over each column, its lower side the lowest one.
+SHAPES = f"""{_eight('gt = 1 AND p_vegetation < 0.7')},
 size8 AS (SELECT scene_id, root, count(*) AS n, (max(x) - min(x) + 1) * (max(y) - min(y) + 1) AS box FROM lab8 GROUP BY 1, 2 HAVING count(*) >= 12 QUALIFY row_number() OVER (PARTITION BY scene_id ORDER BY count(*) DESC, root) <= 4),
 col8 AS (SELECT scene_id, root, x + i AS x, min(y) AS lo, max(y) + 1 AS hi FROM lab8 JOIN size8 USING (scene_id, root), range(2) a(i) GROUP BY 1, 2, 3),
 side8 AS (SELECT c.scene_id, c.root, c.x, max(p.hi + (q.hi - p.hi) * coalesce((c.x - p.x) / nullif(q.x - p.x, 0)::DOUBLE, 0)) AS top, min(p.lo + (q.lo - p.lo) * coalesce((c.x - p.x) / nullif(q.x - p.x, 0)::DOUBLE, 0)) AS low
@@ -105,3 +110,11 @@ def tree_vs_crop(spark, d):
     """The score of trees against crops; the class is the score above 0.5."""
     done = greencover.tree_vs_crop(excess_green(_sparse(spark, d)))
     return done.select("scene_id", "y", "x", F.col("veg").cast("int").alias("veg"), F.round("tree_score", 6).alias("score"))
+
+
+@query(f"WITH {_eight('gt = 1 AND p_vegetation < 0.45 OR gt = 0 AND p_water < 0.2')} SELECT scene_id, y, x, root[1] AS region_y, root[2] AS region_x FROM lab8")
+def dissolve(spark, d):
+    """Two covers that touch and interlock become one set of regions."""
+    px = _px(spark, d)
+    done = spatial.dissolve(px.where("gt = 1 AND p_vegetation < 0.45"), px.where("gt = 0 AND p_water < 0.2"))
+    return done.select("scene_id", "y", "x", F.col("region.y").alias("region_y"), F.col("region.x").alias("region_x"))

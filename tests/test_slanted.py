@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import DATA
 import groundmill.plans.more_queries  # noqa: F401  registers its queries
 import groundmill.plans.vector_queries  # noqa: F401  registers its queries
-from groundmill.operators import focal, labels, normalize, regions, spatial
+from groundmill.operators import focal, labels, metrics, normalize, regions, spatial
 from groundmill.plans.queries import QUERIES
 
 
@@ -127,3 +127,20 @@ def test_nulls_make_edges_null_and_lines_shorter_than_a_kernel_fold(spark):
     got = {r["x"]: r["s"] for r in focal.shifted_sum(tiny, "v", "s", {-3: 1.0, 0: 10.0, 3: 100.0}, "x").collect()}
     # Mirrored with the edge repeated, places -3 to 4 read 1 1 0 0 1 1 0 0.
     assert got == {0: 1.0, 1: 11.0}
+
+
+def test_rolling_loss_of_one_stage_is_many_blocks(spark):
+    """Blocks shorter than, as long as and longer than the window, batches with gaps and ties, null losses and stages."""
+    draw = random.Random(3)
+    rows = [(draw.choice(["a", "b", None]) if i % 5 == 0 else "a", i // 2 * 3, None if i % 11 == 0 else float(draw.randint(0, 99))) for i in range(400)]
+    log = spark.createDataFrame(rows, "stage string, batch long, loss double")
+    want = []
+    for stage in ("a", "b", None):
+        mine = sorted((r for r in rows if r[0] == stage), key=lambda r: (r[1], r[2] is not None, r[2] or 0))
+        for i, r in enumerate(mine):
+            some = [x[2] for x in mine[max(0, i - 6) : i + 1] if x[2] is not None]
+            want.append((str(stage), r[1], str(r[2]), round(sum(some) / len(some), 9) if some else None))
+    for block in (1, 7, 10, 64, 1000):
+        got = [(str(r["stage"]), r["batch"], str(r["loss"]), r["rolling"] if r["rolling"] is None else round(r["rolling"], 9)) for r in metrics.rolling_loss(log, 7, block=block).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str), block
+    assert metrics.rolling_loss(log.limit(0)).count() == 0
