@@ -60,7 +60,7 @@ def reflect_tiles(px: DataFrame, scenes: DataFrame, size: int, overlap: int) ->
     grid = tile_grid(scenes, size, "reflect", overlap).join(scenes, "scene_id")
     cells = grid.withColumn("ty", F.explode(F.sequence(F.lit(0), F.lit(size - 1)))).withColumn("tx", F.explode(F.sequence(F.lit(0), F.lit(size - 1))))
     placed = reflect_cells(cells, size, F.col("height"), F.col("width"))
-    return placed.select("scene_id", "grid_i", "grid_j", "ty", "tx", "y", "x").join(px, ["scene_id", "y", "x"])
+    return placed.select("scene_id", "grid_i", "grid_j", "ty", "tx", "y", "x").hint("merge").join(px, ["scene_id", "y", "x"])
 
 
 def assemble_tiles(cells: DataFrame, value: str, size: int) -> DataFrame:
@@ -99,7 +99,8 @@ def tile_quality(cells: DataFrame, bands: list[str], size: int | None = None) ->
 def resample(px: DataFrame, scenes: DataFrame, value: str, zoom: float, method: str = "bilinear") -> DataFrame:
     """``(scene_id, y, x, <value>)`` on a grid of int(dim * zoom) cells from the same origin; a zoom within 0.01 of 1 changes nothing.
 
-    Each new cell takes its one or four source cells by equi-join, clamped at the border.
+    Each new cell takes its one or four source cells by equi-join, clamped at the border. The new cells come of rows of
+    scenes, by whose size Spark would take them for few and send all to the driver: the joins say that they are to merge.
     """
     if abs(zoom - 1) < 0.01:
         return px.select("scene_id", "y", "x", value)
@@ -115,19 +116,20 @@ def _sample(dest: DataFrame, px: DataFrame, value: str, fy: Column, fx: Column,
     source = px.select("scene_id", F.col("y").cast("long").alias("_sy"), F.col("x").cast("long").alias("_sx"), F.col(value).alias("_v"))
     if method == "nearest":
         near = at.withColumn("_sy", clamp(F.floor(F.col("_fy") + 0.5), "height")).withColumn("_sx", clamp(F.floor(F.col("_fx") + 0.5), "width"))
-        return near.join(source, ["scene_id", "_sy", "_sx"]).select("scene_id", "y", "x", F.col("_v").alias(value))
+        return near.hint("merge").join(source, ["scene_id", "_sy", "_sx"]).select("scene_id", "y", "x", F.col("_v").alias(value))
     four = at.withColumn("_d", F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)))))
     wy, wx = F.col("_fy") - F.floor("_fy"), F.col("_fx") - F.floor("_fx")
     weight = F.when(F.col("_d.i") == 1, wy).otherwise(1 - wy) * F.when(F.col("_d.j") == 1, wx).otherwise(1 - wx)
     near = four.withColumn("_w", weight).where("_w > 0").withColumn("_sy", clamp(F.floor("_fy") + F.col("_d.i"), "height")).withColumn("_sx", clamp(F.floor("_fx") + F.col("_d.j"), "width"))
-    return near.join(source, ["scene_id", "_sy", "_sx"]).groupBy("scene_id", "y", "x").agg(F.sum(F.col("_w") * F.col("_v")).alias(value))
+    return near.hint("merge").join(source, ["scene_id", "_sy", "_sx"]).groupBy("scene_id", "y", "x").agg(F.sum(F.col("_w") * F.col("_v")).alias(value))
 
 
 def align_to(px: DataFrame, scenes: DataFrame, reference: DataFrame, value: str, method: str = "nearest") -> DataFrame:
     """``value`` on the reference's grid; both scene tables hold scene_id, height, width and the affine ``transform``."""
     side = lambda d: F.explode(F.sequence(F.lit(0).cast("long"), F.col(d).cast("long") - 1))
     ref = reference.select("scene_id", F.col("transform").alias("_t"), F.col("height").alias("_h"), F.col("width").alias("_w"))
-    dest = ref.withColumn("y", side("_h")).withColumn("x", side("_w")).join(scenes.select("scene_id", "height", "width", F.col("transform").alias("_s")), "scene_id")
+    both = ref.join(scenes.select("scene_id", "height", "width", F.col("transform").alias("_s")), "scene_id")
+    dest = both.withColumn("y", side("_h")).withColumn("x", side("_w"))
     from groundmill.functions.pixels import pixel_to_world, world_to_pixel
 
     world = pixel_to_world(F.col("x") + 0.5, F.col("y") + 0.5, F.col("_t"))
