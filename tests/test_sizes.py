@@ -1,8 +1,12 @@
 """Plans and blocks that must not depend on a table being small."""
 
+import random
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from groundmill.operators import tiling
+from groundmill.operators import labels, polygons, regions, spatial, tiling
+from groundmill.plans.graph import whole_groups
 
 
 def plan_after_run(df):
@@ -23,3 +27,69 @@ def test_cells_made_from_scenes_are_not_broadcast(spark):
     got = {(r["y"], r["x"]): r["v"] for r in tiling.resample(px, scenes, "v", 0.5).where("scene_id = 1").collect()}
     assert got == {(y, x): 3 * (2 * y + 0.5) + 2 * x + 0.5 for y in range(4) for x in range(3)}
     assert "SortMergeJoin" in plan_after_run(tiling.reflect_tiles(px, scenes, 4, 1))  # the grid itself may be sent
+
+
+def walked(cells, conn):
+    """The first cell of each cell's region."""
+    near = [(dy, dx) for dy in (-1, 0, 1) for dx in (-1, 0, 1) if (dy or dx) and (conn == 8 or not (dy and dx))]
+    root = {}
+    for c in sorted(cells):
+        todo = [] if c in root else [c]
+        while todo:
+            s, y, x = todo.pop()
+            if (s, y, x) in cells and (s, y, x) not in root:
+                root[s, y, x] = c
+                todo += [(s, y + dy, x + dx) for dy, dx in near]
+    return root
+
+
+def test_regions_across_blocks(spark, monkeypatch):
+    monkeypatch.setattr(regions, "BLOCK", 4)
+    random.seed(5)
+    cells = {(s, y, x) for s in ("a", "b") for y in range(-9, 12) for x in range(-7, 14) if random.random() < 0.55}
+    px = spark.createDataFrame([(s, y, x, 1) for s, y, x in cells], "scene_id string, y int, x long, mask int")
+    for conn in (4, 8):
+        done = regions.label_regions(px, conn=conn)
+        assert dict(done.dtypes)["region"] == "struct<scene_id:string,y:int,x:bigint>"
+        assert {(r["scene_id"], r["y"], r["x"]): tuple(r["region"]) for r in done.collect()} == walked(cells, conn)
+
+
+def test_regions_inside_a_block_take_no_rounds(spark, monkeypatch):
+    monkeypatch.setattr(regions, "connected_components", None)
+    px = pixels_of(spark, 3, 8, 6).withColumn("mask", F.lit(1))
+    assert regions.label_regions(px).select("region").distinct().count() == 3
+
+
+def test_groups_stay_whole_where_tables_are_cut():
+    t = pa.table({"k": [None, None, "a", "a", "a", "b", "c", "c"], "v": list(range(8))})
+    for most in (1, 2, 3, 5, 100):
+        cut = list(whole_groups(["k"], most)(t.to_batches(max_chunksize=1)))
+        assert pa.concat_tables([p for p, _ in cut]).equals(t)
+        seen = [k for p, g in cut for k in dict.fromkeys(zip(p["k"].to_pylist(), g.tolist()))]
+        assert [k for k, _ in seen] == [None, "a", "b", "c"]
+
+
+def test_holes_are_found_without_windows_of_a_scene(spark):
+    ring = [(0, y, x, int(max(abs(y - 3), abs(x - 3)) == 2)) for y in range(7) for x in range(7)]
+    done = regions.fill_holes(spark.createDataFrame(ring, "scene_id long, y long, x long, mask int"))
+    assert "Window" not in plan_after_run(done)
+    assert {(r["y"], r["x"]) for r in done.where("mask = 1").collect()} == {(y, x) for y in range(1, 6) for x in range(1, 6)}
+
+
+def test_rings_are_named_once_a_cut(spark):
+    """Each half-plane pass named its ring three times and more, so that four passes worked it out hundreds of times."""
+    ring = F.col("ring")
+    window = F.struct(*(F.lit(float(v)).alias(n) for v, n in ((1, "x0"), (1, "y0"), (3, "x1"), (2, "y1"))))
+    given = spark.createDataFrame([(1, [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0)]), (2, [(9.0, 9.0), (10.0, 9.0), (9.0, 10.0)]), (3, None)], "id int, ring array<struct<x: double, y: double>>")
+    assert str(labels.clip_ring(ring, window)._jc.toString()).count("ring") < 12
+    assert [(r["id"], round(r["a"], 9)) for r in labels.clip_to_box(given, window).select("id", F.abs(polygons.shoelace(ring)).alias("a")).collect()] == [(1, 1.5)]
+    area = str(spatial.ring_overlap_area(F.col("a"), F.col("b"))._jc.toString())
+    assert area.count("zip_with") == 2
+
+
+def test_tiles_are_told_apart_without_sorting_cells(spark):
+    cells = pixels_of(spark, 2, 8, 8).selectExpr("scene_id", "y", "x", "floor(y / 4) AS grid_i", "floor(x / 4) AS grid_j", "int(y = 0 AND x = 0 AND scene_id = 0) AS mask")
+    for kind, n in ((labels.positive_tiles, 16), (labels.negative_tiles, 112)):
+        done = kind(cells).groupBy("scene_id").count()
+        assert "Sort" not in plan_after_run(done)
+        assert sum(r["count"] for r in done.collect()) == n
