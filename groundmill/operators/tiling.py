@@ -41,7 +41,7 @@ def assign_pixels_to_tiles(px: DataFrame, size: int, step: int, tiles: DataFrame
     span = lambda c: F.sequence(F.greatest(F.ceil((F.col(c) - size + 1) / step), F.lit(0)).cast("long"), F.floor(F.col(c) / step).cast("long"))
     out = px.withColumn("grid_i", F.explode(span("y"))).withColumn("grid_j", F.explode(span("x")))
     out = out.withColumn("ty", F.col("y") - F.col("grid_i") * step).withColumn("tx", F.col("x") - F.col("grid_j") * step)
-    return out if tiles is None else out.join(tiles.select("scene_id", "grid_i", "grid_j"), ["scene_id", "grid_i", "grid_j"], "left_semi")
+    return out if tiles is None else out.join(tiles.select("scene_id", "grid_i", "grid_j").hint("shuffle_hash"), ["scene_id", "grid_i", "grid_j"], "left_semi")
 
 
 def reflect_cells(cells: DataFrame, size: int, height: Column, width: Column) -> DataFrame:
