@@ -88,20 +88,29 @@ def tile_polygon_join(tiles: DataFrame, polys: DataFrame, poly_id: str, cell: fl
     return candidate_pairs(tiles, polys, "tile_id", poly_id, cell)
 
 
+TILE = ["scene_id", "grid_i", "grid_j"]
+
+
+def _labelled(cells: DataFrame, mask: str) -> DataFrame:
+    """The tiles with a label cell, a row each: few beside the cells, so tasks hash them and need not sort the cells."""
+    return cells.where(F.col(mask) > 0).select(*TILE).distinct().hint("shuffle_hash")
+
+
 def positive_tiles(cells: DataFrame, mask: str = "mask") -> DataFrame:
     """Cells of tiles with at least one label cell."""
-    keys = ["scene_id", "grid_i", "grid_j"]
-    return cells.join(cells.where(F.col(mask) > 0).select(*keys).distinct(), keys, "left_semi")
+    return cells.join(_labelled(cells, mask), TILE, "left_semi")
 
 
 def negative_tiles(cells: DataFrame, mask: str = "mask") -> DataFrame:
     """Cells of tiles without a label cell, their mask 0."""
-    keys = ["scene_id", "grid_i", "grid_j"]
-    return cells.join(cells.where(F.col(mask) > 0).select(*keys).distinct(), keys, "left_anti").withColumn(mask, F.lit(0))
+    return cells.join(_labelled(cells, mask), TILE, "left_anti").withColumn(mask, F.lit(0))
 
 
 def clip_ring(ring: Column, b: Column) -> Column:
-    """A ring within a box: four half-plane passes over its sides."""
+    """A ring within a box: four half-plane passes over its sides; a ring that lies beyond one of the box's sides is empty."""
+    ends = lambda k: F.transform(ring, lambda p: p[k])
+    beyond = (F.array_max(ends("x")) < b["x0"]) | (F.array_min(ends("x")) > b["x1"]) | (F.array_max(ends("y")) < b["y0"]) | (F.array_min(ends("y")) > b["y1"])
+    ring = F.when(beyond, F.slice(ring, 1, 0)).otherwise(ring)
     for axis, at, sign in (("x", b["x0"], 1), ("x", b["x1"], -1), ("y", b["y0"], 1), ("y", b["y1"], -1)):
         ring = _cut_half(ring, axis, at, sign)
     return ring
@@ -123,7 +132,8 @@ def _cut_half(ring: Column, axis: str, at: Column, sign: int) -> Column:
 
 
 def clip_to_box(polys: DataFrame, b: Column, ring: str = "ring") -> DataFrame:
-    return polys.withColumn(ring, clip_ring(F.col(ring), b)).where(F.size(ring) >= 3)
+    """The parts of rings within a box; the cut ring is a generated row, so that no filter works it out again."""
+    return polys.withColumn(ring, F.explode(F.filter(F.array(clip_ring(F.col(ring), b)), lambda r: F.size(r) >= 3)))
 
 
 def boxes_as_rings(boxes: DataFrame) -> DataFrame:
