@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from groundmill.operators import labels, polygons, regions, spatial, tiling
-from groundmill.plans.graph import whole_groups
+from groundmill.plans.graph import stored, tasks_for, whole_groups
 
 
 def plan_after_run(df):
@@ -93,3 +93,26 @@ def test_tiles_are_told_apart_without_sorting_cells(spark):
         done = kind(cells).groupBy("scene_id").count()
         assert "Sort" not in plan_after_run(done)
         assert sum(r["count"] for r in done.collect()) == n
+
+
+def test_zones_count_whole_cells_at_once(spark, monkeypatch):
+    random.seed(3)
+    box = lambda most: (lambda x, y: (x, y, x + random.random() * most, y + random.random() * most))(random.uniform(-90, 90), random.uniform(-90, 90))
+    boxes, zones = [(i, *box(30 if i % 9 else 120)) for i in range(150)], [(i, *box((3, 60, 500)[i % 3])) for i in range(60)]
+    table = lambda rows: spark.createDataFrame(rows, "id long, x0 double, y0 double, x1 double, y1 double").withColumn("bbox", spatial.box())
+    want = {}
+    for z, a, b, c, d in zones:
+        hit = [i for i, x0, y0, x1, y1 in boxes if a <= x1 and x0 <= c and b <= y1 and y0 <= d]
+        if hit:
+            want[z] = (len(hit), min(hit))
+    monkeypatch.setattr(spatial, "candidate_pairs", None)
+    assert {r["zone"]: (r["n"], r["first"]) for r in spatial.count_in_zones(table(zones).withColumnRenamed("id", "zone"), table(boxes), "zone", "id", 4.0).collect()} == want
+
+
+def test_stored_rows_set_the_number_of_tasks(spark):
+    df = spark.range(40_000).repartition("id")
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(k, None) for k in keys]
+    out = stored(df, 1_000_000)
+    assert len(out.inputFiles()) == tasks_for(spark, 1_000_000) == 10 and out.count() == 40_000
+    assert [spark.conf.get(k, None) for k in keys] == before
