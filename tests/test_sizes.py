@@ -60,6 +60,63 @@ def test_regions_inside_a_block_take_no_rounds(spark, monkeypatch):
     assert regions.label_regions(px).select("region").distinct().count() == 3
 
 
+def rings_walked(cells):
+    """The rings round the cells of one region, from the end of each ring's smallest side on."""
+    sides = {}
+    for y, x in cells:
+        for dy, dx, a, b in ((-1, 0, (x, y), (x + 1, y)), (0, 1, (x + 1, y), (x + 1, y + 1)), (1, 0, (x + 1, y + 1), (x, y + 1)), (0, -1, (x, y + 1), (x, y))):
+            if (y + dy, x + dx) not in cells:
+                sides.setdefault(a, []).append(b)
+    turn = lambda a, b, c: (b[0] - a[0]) * (c[1] - b[1]) - (b[1] - a[1]) * (c[0] - b[0])
+    todo, rings = {(a, b) for a, ends in sides.items() for b in ends}, []
+    while todo:
+        a, b = head = min(todo)
+        ring = []
+        while (a, b) in todo:
+            todo.remove((a, b))
+            c = max(sides[b], key=lambda c: turn(a, b, c))
+            if turn(a, b, c):
+                ring.append(b)
+            a, b = b, c
+        assert (a, b) == head
+        rings.append(ring)
+    return rings
+
+
+def rings_of(done):
+    return sorted((r["region"], [(p["x"], p["y"]) for p in r["ring"]], r["is_hole"]) for r in done.collect())
+
+
+def test_rings_across_blocks(spark, monkeypatch):
+    monkeypatch.setattr(polygons, "BLOCK", 4)
+    random.seed(6)
+    cells = {k: {(y, x) for y in range(-9, 12) for x in range(-7, 14) if random.random() < p} for k, p in (("a", 0.55), ("b", 0.8))}
+    given = [(k, y, x) for k, c in cells.items() for y, x in c]
+    cover = spark.createDataFrame(given + given[:20] + [(None, 0, 0), ("a", None, 0)], "region string, y int, x long")
+    area = lambda r: sum(p[0] * q[1] - q[0] * p[1] for p, q in zip(r, r[1:] + r[:1]))
+    want = sorted((k, [(x + 0.5, y - 2.0) for x, y in r], area(r) < 0) for k, c in cells.items() for r in rings_walked(c))
+    assert any(h for _, _, h in want) and rings_of(polygons.polygonize(cover, 0.5, -2)) == want
+
+
+def test_rings_inside_a_block_take_no_rounds(spark, monkeypatch):
+    """Each doubling of a ring's length wrote every side once more."""
+    written = []
+    monkeypatch.setattr(polygons, "stored", lambda df, *a: written.append(df) or stored(df, *a))
+    comb = {(y, x) for y in range(0, 40, 2) for x in range(40)} | {(y, 0) for y in range(40)}
+    done = polygons.polygonize(spark.createDataFrame([(7, y, x) for y, x in comb], "region long, y long, x long"))
+    assert len(written) == 2
+    assert rings_of(done) == [(7, rings_walked(comb)[0], False)]
+    assert "Broadcast" not in plan_after_run(done)
+
+
+def test_groups_start_where_they_are_told():
+    t = pa.table({"n": [1, 2, 1, 1, 2, 3], "v": list(range(6))})
+    for most in (1, 2, 100):
+        cut = list(whole_groups((), most, "n")(t.to_batches(max_chunksize=1)))
+        assert pa.concat_tables([p for p, _ in cut]).equals(t)
+        assert [p["n"].to_pylist()[i] for p, g in cut for i in range(len(g)) if not i or g[i] != g[i - 1]] == [1, 1, 1]
+
+
 def test_groups_stay_whole_where_tables_are_cut():
     t = pa.table({"k": [None, None, "a", "a", "a", "b", "c", "c"], "v": list(range(8))})
     for most in (1, 2, 3, 5, 100):
