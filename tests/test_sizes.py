@@ -109,6 +109,14 @@ def test_rings_inside_a_block_take_no_rounds(spark, monkeypatch):
     assert "Broadcast" not in plan_after_run(done)
 
 
+def test_sides_are_found_without_broadcast_cells(spark, tmp_path):
+    cover = spark.createDataFrame([(1, 0, 0), (1, 0, 1), (2, 1, 0)], "region long, y long, x long")
+    cover.write.parquet(f"{tmp_path}/cover")
+    sides = polygons.boundary_sides(spark.read.parquet(f"{tmp_path}/cover"))
+    assert "Broadcast" not in plan_after_run(sides)
+    assert {r["region"]: r["count"] for r in sides.groupBy("region").count().collect()} == {1: 6, 2: 4}
+
+
 def test_groups_start_where_they_are_told():
     t = pa.table({"n": [1, 2, 1, 1, 2, 3], "v": list(range(6))})
     for most in (1, 2, 100):
